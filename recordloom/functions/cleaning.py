@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 # Python-style whitespace: the Unicode White_Space class plus the four ASCII separators.
 _EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_DECIMAL_TEXT = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-_SPECIAL_TEXT = r"(?i)^[+-]?(inf|infinity|nan)$"
-_INTEGER_TEXT = r"^[+-]?\d+(\.0*)?$"
+_DIGITS = r"\d(_?\d)*"
+_NUMBER_TEXT = (
+    rf"^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))\s*$"
+)
+_INTEGER_TEXT = r"^\s*[+-]?\d+(\.0*)?\s*$"
 _ISO_TEXT = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?\s?([+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?$"
+    r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,9})?)?)?\s?(Z|[+-]\d{2}(:?\d{2}(:\d{2})?)?)?)?$"
 )
+_ISO_UNUSUAL = r"^\d{8}([T ]|$)|,"
 
 
 def strip_space(c: Column) -> Column:
@@ -32,20 +35,18 @@ def clean_string(c: Column) -> Column:
 
 def to_double(c: Column) -> Column:
     """Text to DOUBLE; NULL where the text is not a number ('12d', which CAST accepts, is not)."""
-    text = F.regexp_replace(strip_space(c), r"(?<=\d)_(?=\d)", "")
-    return F.when(text.rlike(_DECIMAL_TEXT) | text.rlike(_SPECIAL_TEXT), text.try_cast("double"))
+    return F.when(c.rlike(_NUMBER_TEXT), F.replace(c, F.lit("_"), F.lit("")).try_cast("double"))
 
 
 def to_bigint(c: Column) -> Column:
     """Text to BIGINT; an all-zero fraction is allowed ('1.0'), any other fraction gives NULL."""
-    text = strip_space(c)
-    return F.when(text.rlike(_INTEGER_TEXT), F.regexp_replace(text, r"\.0*$", "").try_cast("bigint"))
+    return F.when(c.rlike(_INTEGER_TEXT), F.split_part(c, F.lit("."), F.lit(1)).try_cast("bigint"))
 
 
 def parse_price(c: Column) -> Column:
-    """Money text to DOUBLE: '$' and ',' dropped, missing or empty is 0.0, NULL when unparsable."""
-    text = strip_space(F.replace(F.replace(c, F.lit("$"), F.lit("")), F.lit(","), F.lit("")))
-    return F.when(c.isNull() | (text == ""), F.lit(0.0)).otherwise(to_double(text))
+    """Money text to DOUBLE: '$' and ',' dropped, missing or blank is 0.0, NULL when unparsable."""
+    text = F.translate(c, "$,", "")
+    return F.when(c.isNull() | text.rlike(r"^\s*$"), F.lit(0.0)).otherwise(to_double(text))
 
 
 def parse_quantity(c: Column) -> Column:
@@ -57,13 +58,13 @@ def parse_quantity(c: Column) -> Column:
 
 def iso_timestamp(c: Column) -> Column:
     """ISO-8601 text to TIMESTAMP, NULL when it is not one. A text without zone is UTC."""
-    dashed = F.regexp_replace(
-        F.regexp_replace(c, r"Z", "+00:00"), r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3"
-    )
-    full = F.regexp_replace(
-        F.regexp_replace(dashed, r"(?<=[T ]\d{2})(\d{2})(\d{2})(?=$|[.,+-])", ":$1:$2"), ",", "."
-    )
-    return F.when(full.rlike(_ISO_TEXT), full.try_cast("timestamp"))
+    usual = F.when(c.rlike(_ISO_TEXT), c.try_cast("timestamp"))
+    # Compact dates and times, decimal commas: rewritten to the usual form first.
+    dashed = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
+    full = F.regexp_replace(dashed, r"(?<=[T ]\d{2})(\d{2})(\d{2})(?=$|[.,Z+-])", ":$1:$2")
+    dotted = F.replace(full, F.lit(","), F.lit("."))
+    unusual = F.when(c.rlike(_ISO_UNUSUAL) & dotted.rlike(_ISO_TEXT), dotted.try_cast("timestamp"))
+    return F.coalesce(usual, unusual)
 
 
 def mail_or_iso_timestamp(c: Column) -> Column:

@@ -68,6 +68,21 @@ def normalize_symbol(symbol: Column, aliases: dict[str, str] = SYMBOL_ALIASES) -
     return F.coalesce(F.try_element_at(_literal_map(aliases), bare), bare)
 
 
+def _resolve(source: Column, source_id: Column, bare: Column, plain_name: Column, aliases, names) -> Column:
+    first_word = F.substring(F.regexp_extract(plain_name, r"(?U)^(\S+)", 1), 1, NAME_WORD_LENGTH)
+    return F.coalesce(
+        F.try_element_at(_literal_map(aliases), bare),
+        F.when(bare != "", bare),
+        F.try_element_at(_literal_map(names), plain_name),
+        F.when(plain_name != "", first_word),
+        F.concat_ws("_", source, source_id),
+    )
+
+
+def _plain(name: Column) -> Column:
+    return strip_space(F.lower(name))
+
+
 def canonical_id(
     source: Column,
     source_id: Column,
@@ -77,14 +92,24 @@ def canonical_id(
     names: dict[str, str] = NAME_TO_SYMBOL,
 ) -> Column:
     """Normalised symbol, else the name's known symbol, else its first word, else source + id."""
-    plain_name = strip_space(F.lower(name))
-    first_word = F.substring(F.regexp_extract(plain_name, r"(?U)^(\S+)", 1), 1, NAME_WORD_LENGTH)
-    return F.coalesce(
-        F.nullif(normalize_symbol(symbol, aliases), F.lit("")),
-        F.try_element_at(_literal_map(names), plain_name),
-        F.nullif(first_word, F.lit("")),
-        F.concat_ws("_", source, source_id),
-    )
+    return _resolve(source, source_id, bare_symbol(symbol), _plain(name), aliases, names)
+
+
+def with_canonical_id(
+    df: DataFrame,
+    source: Column,
+    source_id: Column,
+    symbol: Column,
+    name: Column,
+    out: str = "canonical_id",
+    aliases: dict[str, str] = SYMBOL_ALIASES,
+    names: dict[str, str] = NAME_TO_SYMBOL,
+) -> DataFrame:
+    """``canonical_id`` as a column, its regular expressions evaluated once per row: the two
+    normalised texts are projected first and used several times after."""
+    staged = df.withColumns({"_bare": bare_symbol(symbol), "_plain": _plain(name)})
+    resolved = _resolve(source, source_id, F.col("_bare"), F.col("_plain"), aliases, names)
+    return staged.withColumn(out, resolved).drop("_bare", "_plain")
 
 
 def with_alias_table(df: DataFrame, symbol: str, aliases: DataFrame, out: str) -> DataFrame:

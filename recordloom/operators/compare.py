@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.operators.ordered import with_previous
+from recordloom.operators.validate import messages
 
 # Thresholds.
 DURATION_LIMIT_PCT = 50
@@ -69,7 +70,7 @@ def compare_columns(one: str, two: str) -> dict[str, Column]:
     return {
         "duration_diff_seconds": dur,
         "records_diff": rec,
-        "anomalies": F.filter(F.array(*rules), lambda a: a.isNotNull()),
+        "anomalies": messages(rules),
     }
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordloom.functions.identity import canonical_id
+from recordloom.functions.identity import with_canonical_id
 
 UNIFIED_INPUT = (
     "source",
@@ -61,12 +61,13 @@ def ticker(df: DataFrame, keep: tuple[str, ...] = (), source: str = "coinpaprika
     def usd(name: str) -> Column:
         return F.try_variant_get(_r("quotes"), f"$.USD.{name}", "double")
 
+    resolved = with_canonical_id(df, F.lit(source), _r("id"), _r("symbol"), _r("name"), "_cid")
     return _emit(
-        df,
+        resolved,
         keep,
         source=F.lit(source),
         source_id=_r("id"),
-        canonical_id=canonical_id(F.lit(source), _r("id"), _r("symbol"), _r("name")),
+        canonical_id=F.col("_cid"),
         symbol=F.lower(_r("symbol")),
         title=_r("name"),
         content=F.concat(_r("symbol"), F.lit(" - Rank #"), _r("rank").cast("string")),
@@ -91,12 +92,13 @@ def ticker(df: DataFrame, keep: tuple[str, ...] = (), source: str = "coinpaprika
 
 def market(df: DataFrame, keep: tuple[str, ...] = (), source: str = "coingecko") -> DataFrame:
     rank_text = F.coalesce(F.nullif(_r("market_cap_rank"), F.lit(0)).cast("string"), F.lit("N/A"))
+    resolved = with_canonical_id(df, F.lit(source), _r("id"), _r("symbol"), _r("name"), "_cid")
     return _emit(
-        df,
+        resolved,
         keep,
         source=F.lit(source),
         source_id=_r("id"),
-        canonical_id=canonical_id(F.lit(source), _r("id"), _r("symbol"), _r("name")),
+        canonical_id=F.col("_cid"),
         symbol=F.lower(_r("symbol")),
         title=_r("name"),
         content=F.concat(F.upper(_r("symbol")), F.lit(" - Rank #"), rank_text),

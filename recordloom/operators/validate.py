@@ -2,11 +2,16 @@
 
 A record is checked in a single pass; ``validate`` adds ``rec`` (typed struct), ``errors``
 (array of messages, empty when valid) and ``checksum``. ``accepted``/``rejected`` split on it.
+
+The work is laid out in stages (raw value, JSON type, typed value, rules), each a projection of its
+own: a stage's columns are used several times by the next one, so the optimizer keeps them apart and
+every conversion runs once per row. The last stage goes through a one-element ``inline``: without it
+the filter on ``errors`` would be pushed down to the scan together with a copy of all the rules.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -90,14 +95,18 @@ def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Colu
     raise ValueError(kind)
 
 
-def json_cell(payload: Column) -> Callable[[Field], Cell]:
-    def read(field: Field) -> Cell:
-        raw = F.try_variant_get(payload, f"$.{field.raw_key}", "variant")
-        json_type = F.schema_of_variant(raw)
-        value, convertible = _json_value(field.kind, raw, json_type)
-        return Cell(raw.isNull(), json_type == "VOID", value, convertible)
-
-    return read
+def _json_cells(
+    df: DataFrame, fields: Sequence[Field], payload: Column
+) -> tuple[DataFrame, dict[str, Cell]]:
+    raws = {f.name: F.try_variant_get(payload, f"$.{f.raw_key}", "variant") for f in fields}
+    df = df.withColumns({f"_raw_{n}": raw for n, raw in raws.items()})
+    df = df.withColumns({f"_type_{n}": F.schema_of_variant(f"_raw_{n}") for n in raws})
+    cells = {}
+    for f in fields:
+        raw, json_type = F.col(f"_raw_{f.name}"), F.col(f"_type_{f.name}")
+        value, convertible = _json_value(f.kind, raw, json_type)
+        cells[f.name] = Cell(raw.isNull(), json_type == "VOID", value, convertible)
+    return df, cells
 
 
 # --- text records (CSV rows, feed entries: columns already split) --------------------------------
@@ -123,25 +132,33 @@ def _text_value(kind: str, raw: Column) -> tuple[Column, Column]:
     return value, value.isNotNull()
 
 
+# Kinds that are convertible exactly when their typed value is there.
+_CONVERTIBLE_IF_VALUE = ("int", "float", "price", "quantity", "strict_time")
+
 # Kinds whose cleaner gives NULL input a value of its own, so an explicit null is no violation.
 _NULL_HAS_VALUE = ("price", "quantity", "clean_str")
 
 
-def text_cell(columns: Sequence[str]) -> Callable[[Field], Cell]:
-    present = set(columns)
+def _text_cells(columns: Sequence[str], fields: Sequence[Field]) -> dict[str, Cell]:
+    cells = {}
+    for f in fields:
+        if f.raw_key in columns:
+            raw = F.col(f.raw_key)
+            value, convertible = _text_value(f.kind, raw)
+            cells[f.name] = Cell(F.lit(False), raw.isNull(), value, convertible)
+        else:
+            value, _ = _text_value(f.kind, F.lit(None).cast("string"))
+            cells[f.name] = Cell(F.lit(True), F.lit(False), value, F.lit(True))
+    return cells
 
-    def read(field: Field) -> Cell:
-        if field.raw_key not in present:
-            raw = F.lit(None).cast("string")
-            return Cell(F.lit(True), F.lit(False), _text_value(field.kind, raw)[0], F.lit(True))
-        raw = F.col(field.raw_key)
-        value, convertible = _text_value(field.kind, raw)
-        return Cell(F.lit(False), raw.isNull(), value, convertible)
 
-    return read
+# --- rules ---------------------------------------------------------------------------------------
 
 
-# --- rules ---------------------------------------------------------------------------------------
+def messages(rules: Sequence[Column]) -> Column:
+    """Array of the rules that fired. A lambda filter would evaluate all rules outside of generated
+    code; a set difference does not."""
+    return F.array_except(F.array(*rules), F.array(F.lit(None).cast("string")))
 
 
 def _violations(field: Field, cell: Cell) -> list[Column]:
@@ -166,23 +183,26 @@ def _violations(field: Field, cell: Cell) -> list[Column]:
 
 def _apply(
     df: DataFrame,
+    keep: Sequence[str],
     fields: Sequence[Field],
-    cell_of: Callable[[Field], Cell],
+    cells: dict[str, Cell],
     extras: Column | None,
     extra_rules: Sequence[Column],
 ) -> DataFrame:
-    cells = {f.name: cell_of(f) for f in fields}
-    values = {name: cell.value for name, cell in cells.items()}
-    rules = [r for f in fields for r in _violations(f, cells[f.name])] + list(extra_rules)
-    # Typed values are projected once; the checksum reads the projected struct.
-    typed = df.withColumns(
-        {
-            "errors": F.filter(F.array(*rules), lambda e: e.isNotNull()),
-            "rec": F.struct(*[v.alias(n) for n, v in values.items()]),
-        }
+    df = df.withColumns({f"_val_{n}": c.value for n, c in cells.items()})
+    typed = {n: Cell(c.missing, c.null, F.col(f"_val_{n}"), c.convertible) for n, c in cells.items()}
+    for f in fields:
+        if f.kind in _CONVERTIBLE_IF_VALUE:
+            cell = typed[f.name]
+            typed[f.name] = Cell(cell.missing, cell.null, cell.value, cell.value.isNotNull())
+    rules = [r for f in fields for r in _violations(f, typed[f.name])] + list(extra_rules)
+    checked = F.struct(
+        messages(rules).alias("errors"),
+        F.struct(*[c.value.alias(n) for n, c in typed.items()]).alias("rec"),
     )
-    hashed = {n: F.col(f"rec.{n}") for n in values}
-    return typed.withColumn("checksum", record_checksum(hashed, extras))
+    out = df.select(*keep, F.inline(F.array(checked)))
+    hashed = {f.name: F.col(f"rec.{f.name}") for f in fields}
+    return out.withColumn("checksum", record_checksum(hashed, extras))
 
 
 def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payload") -> DataFrame:
@@ -195,7 +215,8 @@ def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payloa
         F.col(payload).isNull() | ~F.schema_of_variant(F.col(payload)).startswith("OBJECT"),
         F.lit("record: not an object"),
     )
-    return _apply(df, fields, json_cell(F.col(payload)), extras, [malformed])
+    staged, cells = _json_cells(df, fields, F.col(payload))
+    return _apply(staged, df.columns, fields, cells, extras, [malformed])
 
 
 def validate_text(
@@ -213,7 +234,7 @@ def validate_text(
             F.array(*[F.col(c).cast("string") for c in sorted(extra_columns)]),
         )
     columns = [c for c in df.columns if not c.startswith("_")]
-    return _apply(df, fields, text_cell(columns), extras, extra_rules)
+    return _apply(df, df.columns, fields, _text_cells(columns, fields), extras, extra_rules)
 
 
 def accepted(validated: DataFrame) -> DataFrame:
@@ -231,7 +252,7 @@ def width_errors(limits: dict[str, int] = UNIFIED_WIDTHS) -> Column:
         F.when(F.length(name) > limit, F.lit(f"{name}: longer than {limit}"))
         for name, limit in limits.items()
     ]
-    return F.filter(F.array(*rules), lambda e: e.isNotNull())
+    return messages(rules)
 
 
 def drop_internal(df: DataFrame) -> DataFrame:

@@ -447,8 +447,18 @@ def clean_string(spark: SparkSession, sf: str) -> DataFrame:
 # --- transforms ----------------------------------------------------------------------------------
 
 
-def _extra(name: str, kind: str) -> F.Column:
-    return F.get_json_object("extra_data", f"$.{name}").cast(kind)
+_EXTRA = (
+    "price_usd double, rank bigint, total_supply double, volume_24h_usd double, percent_change_24h double, "
+    "_source string, ath double, image string, ath_date string, price double, stock_quantity bigint, updated_at string"
+)
+
+
+def _with_extra(df: DataFrame) -> DataFrame:
+    return df.withColumn("x", F.from_json("extra_data", _EXTRA))
+
+
+def _extra(name: str) -> F.Column:
+    return F.col(f"x.{name}")
 
 
 @query(
@@ -457,12 +467,12 @@ def _extra(name: str, kind: str) -> F.Column:
     {S.ts_text("created")} AS created, price, rank, total_supply, volume, change_24h, 'coinpaprika' AS extra_source, 11 AS extra_keys FROM ut""",
 )
 def ticker_record(spark: SparkSession, sf: str) -> DataFrame:
-    return I.unified(spark, sf, "tickers").select(
+    return _with_extra(I.unified(spark, sf, "tickers")).select(
         "source", "source_id", "canonical_id", "symbol", "title", "content", "category", "url",
-        ts_text("external_created_at").alias("created"), _extra("price_usd", "double").alias("price"),
-        _extra("rank", "bigint").alias("rank"), _extra("total_supply", "double").alias("total_supply"),
-        _extra("volume_24h_usd", "double").alias("volume"), _extra("percent_change_24h", "double").alias("change_24h"),
-        _extra("_source", "string").alias("extra_source"), F.size(F.json_object_keys("extra_data")).alias("extra_keys"),
+        ts_text("external_created_at").alias("created"), _extra("price_usd").alias("price"),
+        _extra("rank").alias("rank"), _extra("total_supply").alias("total_supply"),
+        _extra("volume_24h_usd").alias("volume"), _extra("percent_change_24h").alias("change_24h"),
+        _extra("_source").alias("extra_source"), F.size(F.json_object_keys("extra_data")).alias("extra_keys"),
     )
 
 
@@ -473,12 +483,12 @@ def ticker_record(spark: SparkSession, sf: str) -> DataFrame:
     strftime(ath_date, '%Y-%m-%dT%H:%M:%S+00:00') AS ath_date, 14 AS extra_keys FROM um""",
 )
 def market_record(spark: SparkSession, sf: str) -> DataFrame:
-    return I.unified(spark, sf, "markets").select(
+    return _with_extra(I.unified(spark, sf, "markets")).select(
         "source", "source_id", "canonical_id", "symbol", "title", "content", "category", "url",
-        ts_text("external_created_at").alias("created"), _extra("price_usd", "double").alias("price"),
-        _extra("rank", "bigint").alias("rank"), _extra("volume_24h_usd", "double").alias("volume"),
-        _extra("ath", "double").alias("ath"), _extra("image", "string").alias("image"),
-        _extra("ath_date", "string").alias("ath_date"), F.size(F.json_object_keys("extra_data")).alias("extra_keys"),
+        ts_text("external_created_at").alias("created"), _extra("price_usd").alias("price"),
+        _extra("rank").alias("rank"), _extra("volume_24h_usd").alias("volume"),
+        _extra("ath").alias("ath"), _extra("image").alias("image"),
+        _extra("ath_date").alias("ath_date"), F.size(F.json_object_keys("extra_data")).alias("extra_keys"),
     )
 
 
@@ -489,11 +499,11 @@ def market_record(spark: SparkSession, sf: str) -> DataFrame:
     stock_v AS stock FROM pv WHERE error = ''""",
 )
 def product_record(spark: SparkSession, sf: str) -> DataFrame:
-    rows = T.product(V.accepted(V.validate_text(I.products(spark, sf), V.PRODUCT_FIELDS)))
+    rows = _with_extra(T.product(V.accepted(V.validate_text(I.products(spark, sf), V.PRODUCT_FIELDS))))
     return rows.select(
         "source", "source_id", "canonical_id", "title", "content", "category",
-        ts_text("external_created_at").alias("created"), _extra("price", "double").alias("price"),
-        _extra("stock_quantity", "bigint").alias("stock"),
+        ts_text("external_created_at").alias("created"), _extra("price").alias("price"),
+        _extra("stock_quantity").alias("stock"),
     )
 
 
@@ -505,10 +515,10 @@ def product_record(spark: SparkSession, sf: str) -> DataFrame:
     {S.ts_text("coalesce(published, updated)")} AS created, strftime(updated, '%Y-%m-%dT%H:%M:%S+00:00') AS updated FROM ne""",
 )
 def news_record(spark: SparkSession, sf: str) -> DataFrame:
-    rows = T.news(V.accepted(V.validate_text(I.news_entries(spark, sf), V.NEWS_FIELDS)))
+    rows = _with_extra(T.news(V.accepted(V.validate_text(I.news_entries(spark, sf), V.NEWS_FIELDS))))
     return rows.select(
         "source", "source_id", "canonical_id", "title", "content", "author", "category", "url",
-        ts_text("external_created_at").alias("created"), _extra("updated_at", "string").alias("updated"),
+        ts_text("external_created_at").alias("created"), _extra("updated_at").alias("updated"),
     )
 
 
