@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 _ITEM_SCHEMA = (
     "guid STRING, title STRING, link STRING, description STRING, "
-    "`content:encoded` ARRAY<STRING>, author STRING, pubDate STRING, updated STRING, "
+    "`content:encoded` ARRAY<STRING>, content ARRAY<STRING>, author STRING, pubDate STRING, updated STRING, "
     "category ARRAY<STRING>"
 )
 
@@ -42,13 +42,14 @@ def entries_from_items(items: DataFrame) -> DataFrame:
     def text(name: str):
         return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
+    contents = F.concat(*[F.coalesce(F.col(f"`{c}`"), F.array().cast("array<string>")) for c in ("content:encoded", "content")])
     tags = F.coalesce("category", F.array().cast("array<string>"))
     return items.select(
         F.coalesce(F.nullif(F.col("guid"), F.lit("")), text("link")).alias("id"),
         text("title").alias("title"),
         text("link").alias("link"),
         text("description").alias("summary"),
-        F.coalesce(F.get(F.col("`content:encoded`"), F.lit(0)), text("description")).alias("content"),
+        F.coalesce(F.get(contents, F.lit(0)), text("description")).alias("content"),
         text("author").alias("author"),
         text("pubDate").alias("published"),
         text("updated").alias("updated"),

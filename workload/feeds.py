@@ -180,7 +180,7 @@ REQUESTS = """
 SELECT event_id,
        event_type AS source,
        user_id,
-       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '0.2' SECOND * event_id AS at,
+       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL '0.2' SECOND * event_id AS requested_at,
        event_type = 'error' AS is_error
 FROM events
 """

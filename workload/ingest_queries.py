@@ -107,7 +107,7 @@ def news_items(spark: SparkSession, sf: str) -> DataFrame:
     content = F.when(F.col("content") != "", F.array("content"))
     (
         feed(spark, sf, "news").select(
-            "guid", "title", "link", F.col("summary").alias("description"), content.alias("content:encoded"),
+            "guid", "title", "link", F.col("summary").alias("description"), content.alias("content"),
             "author", F.col("published").alias("pubDate"), "updated", tags.alias("category"),
         )
         .write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)

@@ -426,8 +426,8 @@ def schema_registry(spark: SparkSession, sf: str) -> DataFrame:
 _PER_MINUTE, _BURST = 30, 5
 
 # The bucket of every key in whole micro-units, one request per step.
-_BUCKET = cte("requests").replace("WITH ", "WITH RECURSIVE ", 1) + f""", q AS (SELECT event_id, source, is_error, epoch_us(at) AS us,
-        row_number() OVER (PARTITION BY source ORDER BY at, event_id) AS n FROM requests),
+_BUCKET = cte("requests").replace("WITH ", "WITH RECURSIVE ", 1) + f""", q AS (SELECT event_id, source, is_error, epoch_us(requested_at) AS us,
+        row_number() OVER (PARTITION BY source ORDER BY requested_at, event_id) AS n FROM requests),
     bucket AS (SELECT source, n, us, true AS admitted, CAST({_BURST - 1} * 60000000 AS BIGINT) AS tokens FROM q WHERE n = 1
         UNION ALL SELECT q.source, q.n, q.us,
             least({_BURST} * 60000000, b.tokens + (q.us - b.us) * {_PER_MINUTE}) >= 60000000,
@@ -437,8 +437,8 @@ _BUCKET = cte("requests").replace("WITH ", "WITH RECURSIVE ", 1) + f""", q AS (S
 
 
 def _admitted(spark: SparkSession, sf: str) -> DataFrame:
-    requests = feed(spark, sf, "requests").select("event_id", "source", "at", "is_error")
-    return A.token_admission(requests, "source", "at", ["event_id"], _PER_MINUTE, _BURST)
+    requests = feed(spark, sf, "requests").select("event_id", "source", "requested_at", "is_error")
+    return A.token_admission(requests, "source", "requested_at", ["event_id"], _PER_MINUTE, _BURST)
 
 
 @query(
@@ -451,12 +451,12 @@ def token_bucket(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "R2_error_backoff",
-    cte("requests") + """, i AS (SELECT *, count(*) FILTER (NOT is_error) OVER (PARTITION BY user_id ORDER BY at, event_id) AS island FROM requests),
-    n AS (SELECT event_id, user_id, count(*) FILTER (is_error) OVER (PARTITION BY user_id, island ORDER BY at, event_id) AS consecutive_errors FROM i)
+    cte("requests") + """, i AS (SELECT *, count(*) FILTER (NOT is_error) OVER (PARTITION BY user_id ORDER BY requested_at, event_id) AS island FROM requests),
+    n AS (SELECT event_id, user_id, count(*) FILTER (is_error) OVER (PARTITION BY user_id, island ORDER BY requested_at, event_id) AS consecutive_errors FROM i)
     SELECT *, CASE WHEN consecutive_errors = 0 THEN 0.0 ELSE least(power(2.0, consecutive_errors), 300.0) END AS backoff_seconds FROM n""",
 )
 def error_backoff(spark: SparkSession, sf: str) -> DataFrame:
-    out = A.error_backoff(feed(spark, sf, "requests"), "user_id", ["at", "event_id"], F.col("is_error"))
+    out = A.error_backoff(feed(spark, sf, "requests"), "user_id", ["requested_at", "event_id"], F.col("is_error"))
     return out.select("event_id", "user_id", "consecutive_errors", "backoff_seconds")
 
 
