@@ -5,8 +5,8 @@ request when it holds a whole token. That is a sequential fold per key, yet one
 of the log, so it is split over range chunks:
 
 1. for a key that crosses chunk borders, each chunk is summarised as a *transfer function* from the
-   tokens at its start to the tokens at its end. It is piecewise linear with at most about
-   ``2 * burst`` pieces, because two different fillings can differ by at most ``burst`` admissions;
+   tokens at its start to the tokens at its end. It is piecewise linear with a few pieces, because
+   two different fillings can differ by at most ``burst`` admissions;
 2. the functions (one row per border) are composed in order, giving each chunk its starting tokens;
 3. every chunk is replayed independently from there.
 
@@ -17,8 +17,8 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
+from heapq import heappop, heappush
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,44 +38,86 @@ _MICROS = "_micros"
 
 
 class Transfer:
-    """Tokens after some requests as a function of the tokens before them, on [0, cap].
+    """Tokens after some requests as a function of the tokens before them, on 0..cap.
 
-    Pieces are (low, fixed, value): from ``low`` on, the result is ``value`` itself when fixed, else
-    the input plus ``value``.
+    Starting values that were never capped keep their differences: they form ``linear`` segments
+    (low, high, shift), at most one per possible number of admissions. Values that met the cap in
+    the same request are equal from then on: each such group has one value, kept in a heap with a
+    common offset, so that a request only touches the groups that hold a whole token.
     """
 
-    def __init__(self, cap: int, pieces: list[tuple[int, bool, int]] | None = None):
+    def __init__(self, cap: int, start: int | None = None):
         self.cap = cap
-        self.pieces = pieces or [(0, False, 0)]
+        self.linear = [(0, cap, 0)] if start is None else []
+        self._offset = 0
+        self._heap: list[tuple[int, int]] = []  # (-(value - offset), group)
+        self._parent: list[int] = []
+        self._ranges: list[tuple[int, int, int]] = []  # (low, high, group) of starting values
+        if start is not None:
+            self._ranges.append((0, cap, self._new_group(start)))
+
+    def _new_group(self, value: int) -> int:
+        group = len(self._parent)
+        self._parent.append(group)
+        heappush(self._heap, (self._offset - value, group))
+        return group
+
+    def _root(self, group: int) -> int:
+        while self._parent[group] != group:
+            self._parent[group] = group = self._parent[self._parent[group]]
+        return group
 
     def request(self, refill: int) -> None:
+        self._offset += refill
+        full, holding = [], []
+        while self._heap and self._offset - self._heap[0][0] >= TOKEN:
+            key, group = heappop(self._heap)
+            (full if self._offset - key >= self.cap else holding).append((key, group))
+        for key, group in holding:
+            heappush(self._heap, (key + TOKEN, group))
+        capped = self._request_linear(refill)
+        if full:
+            group = full[0][1]
+            heappush(self._heap, (self._offset - self.cap + TOKEN, group))
+            for _, other in full[1:]:
+                self._parent[other] = group
+        elif capped:
+            group = self._new_group(self.cap - TOKEN)
+        self._ranges += [(low, high, group) for low, high in capped]
+
+    def _request_linear(self, refill: int) -> list[tuple[int, int]]:
+        """Move the linear segments on; returns the ranges of starting values that met the cap."""
+        capped, out = [], []
+        for low, high, shift in self.linear:
+            shift += refill
+            full_from = max(low, self.cap - shift)
+            if full_from <= high:
+                capped.append((full_from, high))
+            high = min(high, full_from - 1)
+            admit_from = max(low, TOKEN - shift)
+            for part in ((low, min(high, admit_from - 1), shift), (admit_from, high, shift - TOKEN)):
+                if part[0] > part[1]:
+                    continue
+                if out and out[-1][1] + 1 == part[0] and out[-1][2] == part[2]:
+                    part = (out.pop()[0], *part[1:])
+                out.append(part)
+        self.linear = out
+        return capped
+
+    def pieces(self) -> list[tuple[int, bool, int]]:
+        """(low, fixed, value): from ``low`` on the result is ``value``, or the start plus it."""
+        values = {group: self._offset - key for key, group in self._heap}
+        fixed = [(low, True, values[self._root(group)]) for low, _, group in self._ranges]
         out: list[tuple[int, bool, int]] = []
-        highs = [p[0] for p in self.pieces[1:]] + [self.cap + 1]
-        for (low, fixed, value), high in zip(self.pieces, highs):
-            if fixed:
-                value = min(self.cap, value + refill)
-                _push(out, low, True, value - TOKEN if value >= TOKEN else value)
-                continue
-            value += refill
-            full_from = max(low, self.cap - value)
-            admit_from = min(max(low, TOKEN - value), full_from, high)
-            if low < admit_from:
-                _push(out, low, False, value)
-            if admit_from < min(full_from, high):
-                _push(out, admit_from, False, value - TOKEN)
-            if full_from < high:
-                _push(out, full_from, True, self.cap - TOKEN)
-        self.pieces = out
-
-    def __call__(self, tokens: int) -> int:
-        at = bisect_right([p[0] for p in self.pieces], tokens) - 1
-        _, fixed, value = self.pieces[at]
-        return value if fixed else tokens + value
-
-
-def _push(out: list[tuple[int, bool, int]], low: int, fixed: bool, value: int) -> None:
-    if not out or out[-1][1:] != (fixed, value):
-        out.append((low, fixed, value))
+        for piece in sorted(fixed + [(low, False, shift) for low, _, shift in self.linear]):
+            if not out or out[-1][1:] != piece[1:]:
+                out.append(piece)
+        return out
+
+
+def apply_pieces(lows: Sequence[int], fixed: Sequence[bool], values: Sequence[int], tokens: int) -> int:
+    at = bisect_right(lows, tokens) - 1
+    return values[at] if fixed[at] else tokens + values[at]
 
 
 def _summarise(per_minute: int, cap: int):
@@ -88,12 +130,12 @@ def _summarise(per_minute: int, cap: int):
                 if state is None:
                     chunk = start
                     # A key that begins here begins with a full bucket.
-                    state = Transfer(cap, [(0, True, cap)] if prev is None else None)
+                    state = Transfer(cap, cap if prev is None else None)
                     last = at if prev is None else prev
                 state.request((at - last) * per_minute)
                 last = at
         if state is not None:
-            lows, fixed, values = zip(*state.pieces)
+            lows, fixed, values = zip(*state.pieces())
             columns = {CHUNK: pa.array([chunk], pa.int32()), "lows": pa.array([lows], pa.list_(pa.int64())),
                        "fixed": pa.array([fixed], pa.list_(pa.bool_())), "vals": pa.array([values], pa.list_(pa.int64()))}
             yield pa.RecordBatch.from_pydict(columns)
@@ -102,16 +144,18 @@ def _summarise(per_minute: int, cap: int):
 
 
 def _compose(cap: int):
-    """Tokens with which each chunk of one key ends, from the chunk functions in order."""
+    """Tokens with which each chunk ends, from the chunk functions of each key in order."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(CHUNK)
-        tokens, ends = cap, []
-        for lows, fixed, vals in zip(rows["lows"], rows["fixed"], rows["vals"]):
-            pieces = [(int(a), bool(b), int(c)) for a, b, c in zip(lows, fixed, vals)]
-            tokens = Transfer(cap, pieces)(tokens)
-            ends.append(tokens)
-        return pd.DataFrame({CHUNK: rows[CHUNK], "_tokens": ends})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, tokens = None, cap
+        for batch in batches:
+            ends = []
+            for key, *pieces in zip(*(batch.column(c).to_pylist() for c in ("_key", "lows", "fixed", "vals"))):
+                if key != current:
+                    current, tokens = key, cap
+                tokens = apply_pieces(*pieces, tokens)
+                ends.append(tokens)
+            yield pa.RecordBatch.from_arrays([batch.column(CHUNK), pa.array(ends, pa.int64())], names=[CHUNK, "_tokens"])
 
     return run
 
@@ -182,11 +226,12 @@ def token_admission(
     functions = crossing.select(CHUNK, _MICROS, "_prev").mapInArrow(
         _summarise(per_minute, cap), f"{CHUNK} int, lows array<long>, fixed array<boolean>, vals array<long>"
     )
-    # One row per border; composed per key, the only sequential step.
+    # One row per border; composed per key, streamed: the only sequential step.
     tokens = (
-        functions.join(open_ended.select(CHUNK, F.col("_last_key").alias("_key")), CHUNK)
-        .groupBy("_key")
-        .applyInPandas(_compose(cap), f"{CHUNK} int, _tokens long")
+        functions.join(F.broadcast(open_ended.select(CHUNK, F.col("_last_key").alias("_key"))), CHUNK)
+        .repartition("_key")
+        .sortWithinPartitions("_key", CHUNK)
+        .mapInArrow(_compose(cap), f"{CHUNK} int, _tokens long")
     )
     carried = borders.filter(F.col("_prev_key") == F.col("_first_key")).select(
         CHUNK, F.col("_prev_chunk"), F.col("_prev_at").alias("_carry_at")
