@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.upsert import sequence
 from recordloom.operators.validate import POST_FIELDS, validate_json
-from recordloom.session import spread
 from recordloom.sources.json_feed import parse_documents
 from recordloom.sources.registry import SOURCES
 from workload.feeds import feed
@@ -22,7 +21,7 @@ def ts_text(c: Column | str) -> Column:
 def documents(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """Ticker or market documents with their write sequence."""
     order = {"tickers": 0, "markets": 1}[name]
-    rows = spread(feed(spark, sf, name)).withColumn(
+    rows = feed(spark, sf, name, heavy=True).withColumn(
         "seq", sequence(F.col("written_at"), F.lit(order), F.col("batch_no"), F.col("row_pos"))
     )
     return parse_documents(rows.drop("batch_no", "row_pos"), "doc")
