@@ -131,11 +131,20 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None) -> DataF
     latest value of every key that does not start with ``_`` (an explicit null counts).
 
     ``new``: (canonical_id, source, extra_data, _last_seq); ``existing``: (canonical_id, extra_data,
-    _last_seq), whose keys are all kept. Reduced per (id, key) first, so the final per-id collection
-    holds one entry per distinct key whatever the row count.
+    _last_seq), whose keys are all kept.
+
+    Of the payloads of one source that have the same keys only the latest can matter, so the rows are
+    reduced to those before any key is unfolded. The final per-id collection holds one entry per
+    distinct key whatever the row count.
     """
+    new = (
+        new.filter(F.col("extra_data").isNotNull())
+        .groupBy("canonical_id", "source", F.array_sort(F.json_object_keys("extra_data")).alias("_keys"))
+        .agg(F.max_by("extra_data", LAST_SEQ).alias("extra_data"), F.max(LAST_SEQ).alias(LAST_SEQ))
+        .drop("_keys")
+    )
     from_keys = _entries(new).filter(~F.col("key").startswith("_")).select("canonical_id", "key", "value", LAST_SEQ)
-    from_source = new.filter(F.col("extra_data").isNotNull()).select(
+    from_source = new.select(
         "canonical_id",
         F.concat(F.lit("_"), F.col("source")).alias("key"),
         F.col("extra_data").alias("value"),

@@ -54,11 +54,9 @@ class Cell:
 _NUMERIC = ("BIGINT", "DOUBLE", "FLOAT")
 
 
-def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Column]:
-    """(typed value, convertible) for a variant; the JSON type is checked before any cast because
-    the variant casts are laxer than the rules (1.5 would become the integer 1)."""
-    text = F.try_variant_get(raw, "$", "string")
-    number = F.try_variant_get(raw, "$", "double")
+def _json_value(kind: str, raw: Column, text: Column, json_type: Column) -> tuple[Column, Column]:
+    """(typed value, convertible). The JSON type decides before any cast: a cast alone is laxer than
+    the rules (1.5 would become the integer 1). Scalars are cast from their text."""
     is_text = json_type == "STRING"
     is_bool = json_type == "BOOLEAN"
     is_number = json_type.isin(*_NUMERIC) | json_type.startswith("DECIMAL")
@@ -67,18 +65,19 @@ def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Colu
     if kind == "clean_str":
         return C.clean_string(text), F.lit(True)
     if kind == "int":
+        number = text.try_cast("double")
         value = (
-            F.when(json_type == "BIGINT", F.try_variant_get(raw, "$", "bigint"))
-            .when(is_bool, F.try_variant_get(raw, "$", "boolean").cast("bigint"))
-            .when(is_number & (number == F.floor(number)), number.try_cast("bigint"))
+            F.when(json_type == "BIGINT", text.try_cast("bigint"))
             .when(is_text, C.to_bigint(text))
+            .when(is_bool, text.try_cast("boolean").cast("bigint"))
+            .when(is_number & (number == F.floor(number)), number.try_cast("bigint"))
         )
         return value, value.isNotNull()
     if kind == "float":
         value = (
-            F.when(is_number, number)
-            .when(is_bool, F.try_variant_get(raw, "$", "boolean").cast("double"))
+            F.when(is_number, text.try_cast("double"))
             .when(is_text, C.to_double(text))
+            .when(is_bool, text.try_cast("boolean").cast("double"))
         )
         return value, value.isNotNull()
     if kind == "iso_time":
@@ -96,16 +95,21 @@ def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Colu
 
 
 def _json_cells(
-    df: DataFrame, fields: Sequence[Field], payload: Column
+    df: DataFrame, fields: Sequence[Field], payload: Column, text: Column
 ) -> tuple[DataFrame, dict[str, Cell]]:
     raws = {f.name: F.try_variant_get(payload, f"$.{f.raw_key}", "variant") for f in fields}
-    df = df.withColumns({f"_raw_{n}": raw for n, raw in raws.items()})
-    df = df.withColumns({f"_type_{n}": F.schema_of_variant(f"_raw_{n}") for n in raws})
+    df = df.withColumns(
+        {
+            **{f"_type_{n}": F.schema_of_variant(raw) for n, raw in raws.items()},
+            # The texts of all fields in one pass over the document.
+            "_texts": F.from_json(text, ", ".join(f"`{f.raw_key}` STRING" for f in fields)),
+        }
+    )
     cells = {}
     for f in fields:
-        raw, json_type = F.col(f"_raw_{f.name}"), F.col(f"_type_{f.name}")
-        value, convertible = _json_value(f.kind, raw, json_type)
-        cells[f.name] = Cell(raw.isNull(), json_type == "VOID", value, convertible)
+        json_type, field_text = F.col(f"_type_{f.name}"), F.col(f"_texts.{f.raw_key}")
+        value, convertible = _json_value(f.kind, raws[f.name], field_text, json_type)
+        cells[f.name] = Cell(json_type.isNull(), json_type == "VOID", value, convertible)
     return df, cells
 
 
@@ -155,9 +159,23 @@ def _text_cells(columns: Sequence[str], fields: Sequence[Field]) -> dict[str, Ce
 # --- rules ---------------------------------------------------------------------------------------
 
 
+_SEPARATOR = "\x01"
+
+
+def joined(rules: Sequence[Column]) -> Column:
+    """The messages of the rules that fired in one text; project it before splitting it."""
+    return F.concat_ws(_SEPARATOR, *rules)
+
+
+def message_list(text: Column) -> Column:
+    """Array form of a joined text. (A lambda filter over the rules would evaluate all of them outside
+    of generated code.)"""
+    none = F.array().cast("array<string>")
+    return F.when(text == "", none).otherwise(F.split(text, _SEPARATOR))
+
+
 def messages(rules: Sequence[Column]) -> Column:
-    """Array of the rules that fired. A lambda filter would evaluate all rules outside of generated
-    code; a set difference does not."""
+    """Array of the messages that fired, for a handful of cheap rules."""
     return F.array_except(F.array(*rules), F.array(F.lit(None).cast("string")))
 
 
@@ -196,8 +214,9 @@ def _apply(
             cell = typed[f.name]
             typed[f.name] = Cell(cell.missing, cell.null, cell.value, cell.value.isNotNull())
     rules = [r for f in fields for r in _violations(f, typed[f.name])] + list(extra_rules)
+    df = df.withColumn("_joined", joined(rules))
     checked = F.struct(
-        messages(rules).alias("errors"),
+        message_list(F.col("_joined")).alias("errors"),
         F.struct(*[c.value.alias(n) for n, c in typed.items()]).alias("rec"),
     )
     out = df.select(*keep, F.inline(F.array(checked)))
@@ -205,8 +224,11 @@ def _apply(
     return out.withColumn("checksum", record_checksum(hashed, extras))
 
 
-def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payload") -> DataFrame:
-    """Validate a VARIANT column; undeclared keys are kept and enter the checksum."""
+def validate_json(
+    df: DataFrame, fields: Sequence[Field], payload: str = "payload", text: str = "data"
+) -> DataFrame:
+    """Validate a document given as VARIANT and as the text it was parsed from; undeclared keys are
+    kept and enter the checksum."""
     declared = [f.raw_key for f in fields]
     extras = F.map_filter(
         F.col(payload).try_cast("map<string,variant>"), lambda k, v: ~k.isin(*declared)
@@ -215,7 +237,7 @@ def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payloa
         F.col(payload).isNull() | ~F.schema_of_variant(F.col(payload)).startswith("OBJECT"),
         F.lit("record: not an object"),
     )
-    staged, cells = _json_cells(df, fields, F.col(payload))
+    staged, cells = _json_cells(df, fields, F.col(payload), F.col(text))
     return _apply(staged, df.columns, fields, cells, extras, [malformed])
 
 
