@@ -20,6 +20,7 @@ from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ MAX_BACKOFF = 300
 TOKEN = 60_000_000
 
 _MICROS = "_micros"
+_HELD = "_held"  # tokens of a state row, NULL for a request
+_REQUEST = "_request"
 
 
 class Transfer:
@@ -126,14 +129,16 @@ def _summarise(per_minute: int, cap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, chunk, last = None, None, None
         for batch in batches:
-            for at, start, prev in zip(*(batch.column(c).to_pylist() for c in (_MICROS, CHUNK, "_prev"))):
-                if state is None:
+            columns = (batch.column(c).to_pylist() for c in (_MICROS, _HELD, CHUNK, "_prev"))
+            for at, held, start, prev in zip(*columns):
+                if state is None or held is not None:
                     chunk = start
-                    # A key that begins here begins with a full bucket.
-                    state = Transfer(cap, cap if prev is None else None)
+                    # A key that begins here begins with the bucket it was left with, or a full one.
+                    state = Transfer(cap, None if prev is not None else cap if held is None else held)
                     last = at if prev is None else prev
-                state.request((at - last) * per_minute)
-                last = at
+                if held is None:
+                    state.request(max(0, at - last) * per_minute)
+                    last = max(last, at)
         if state is not None:
             lows, fixed, values = zip(*state.pieces())
             columns = {CHUNK: pa.array([chunk], pa.int32()), "lows": pa.array([lows], pa.list_(pa.int64())),
@@ -165,19 +170,24 @@ def _replay(key: str, per_minute: int, cap: int):
         current, tokens, last, started = None, cap, 0, False
         for batch in batches:
             admitted, left = [], []
-            helpers = (_MICROS, "_carry_tokens", "_carry_at")
-            for k, at, carry, carry_at in zip(*(batch.column(c).to_pylist() for c in (key, *helpers))):
+            helpers = (_MICROS, _HELD, "_carry_tokens", "_carry_at")
+            for k, at, held, carry, carry_at in zip(*(batch.column(c).to_pylist() for c in (key, *helpers))):
                 if not started or k != current:
                     inherits = not started and carry is not None
                     tokens, last = (carry, carry_at) if inherits else (cap, at)
                     current, started = k, True
-                tokens = min(cap, tokens + (at - last) * per_minute)
-                last = at
+                if held is not None:
+                    tokens = held
+                    continue
+                tokens = min(cap, tokens + max(0, at - last) * per_minute)
+                last = max(last, at)
                 ok = tokens >= TOKEN
                 if ok:
                     tokens -= TOKEN
                 admitted.append(ok)
                 left.append(tokens / TOKEN)
+            if batch.column(_HELD).null_count < len(batch):
+                batch = batch.filter(pc.is_null(batch.column(_HELD)))
             kept = [c for c in batch.schema.names if c not in helpers]
             columns = [batch.column(c) for c in kept] + [pa.array(admitted, pa.bool_()), pa.array(left, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, "admitted", "tokens_left"])
@@ -193,20 +203,38 @@ def token_admission(
     per_minute: int = PER_MINUTE,
     burst: int = BURST,
     chunks: int | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``admitted`` and ``tokens_left`` (after the request) to an event log."""
+    """Add ``admitted`` and ``tokens_left`` (after the request) to an event log.
+
+    ``state`` (key, tokens, last_at), as ``bucket_state`` returns it, continues the buckets of an
+    earlier log: its rows are put before the requests of their key. Requests older than that are
+    taken in order but refill nothing.
+    """
     cap = burst * TOKEN
-    timed = events.withColumn(_MICROS, F.unix_micros(F.col(ts).cast("timestamp")))
-    log = range_chunks(timed, [key, _MICROS, *tiebreak], chunks)
+    log = events.withColumns(
+        {_MICROS: F.unix_micros(F.col(ts).cast("timestamp")), _HELD: F.lit(None).cast("bigint")}
+    )
+    if state is not None:
+        held = state.join(events.select(key).distinct(), key, "left_semi").select(
+            key, F.unix_micros("last_at").alias(_MICROS), F.col("tokens").alias(_HELD)
+        )
+        log = log.unionByName(held, allowMissingColumns=True)
+    log = log.withColumn(_REQUEST, F.col(_HELD).isNull())
+    log = range_chunks(log, [key, _REQUEST, _MICROS, *tiebreak], chunks).drop(_REQUEST)
 
     # One row per chunk: first and last key, last time, and what the neighbours hold.
-    ends = log.groupBy(CHUNK).agg(
-        F.min_by(key, POS).alias("_first_key"),
-        F.max_by(key, POS).alias("_last_key"),
-        F.max_by(_MICROS, POS).alias("_last_at"),
+    per_key = log.groupBy(CHUNK, key).agg(
+        F.min(POS).alias("_from"), F.max(POS).alias("_to"), F.max(_MICROS).alias("_at")
+    )
+    ends = per_key.groupBy(CHUNK).agg(
+        F.min_by(key, "_from").alias("_first_key"),
+        F.max_by(key, "_to").alias("_last_key"),
+        F.max_by("_at", "_to").alias("_at"),
     )
     row = Window.partitionBy(F.lit(0)).orderBy(CHUNK)
-    borders = ends.select(
+    clocked = ends.withColumn("_last_at", F.max("_at").over(Window.partitionBy("_last_key").orderBy(CHUNK)))
+    borders = clocked.select(
         "*",
         F.lag("_last_key").over(row).alias("_prev_key"),
         F.lag("_last_at").over(row).alias("_prev_at"),
@@ -223,7 +251,7 @@ def token_admission(
         ).alias("_prev"),
     )
     crossing = log.join(F.broadcast(open_ended), CHUNK).filter(F.col(key) == F.col("_last_key"))
-    functions = crossing.select(CHUNK, _MICROS, "_prev").mapInArrow(
+    functions = crossing.select(CHUNK, _MICROS, _HELD, "_prev").mapInArrow(
         _summarise(per_minute, cap), f"{CHUNK} int, lows array<long>, fixed array<boolean>, vals array<long>"
     )
     # One row per border; composed per key, streamed: the only sequential step.
@@ -248,6 +276,16 @@ def token_admission(
     return with_starts.mapInArrow(_replay(key, per_minute, cap), out_schema)
 
 
+def bucket_state(admitted: DataFrame, key: str, ts: str, tiebreak: Sequence[str]) -> DataFrame:
+    """(key, tokens, last_at) per key after a log, partially aggregated before the shuffle. ``tokens``
+    are whole micro-units."""
+    tokens = F.round(F.col("tokens_left") * TOKEN).cast("bigint")
+    at = F.col(ts).cast("timestamp")
+    return admitted.groupBy(key).agg(
+        F.max_by(tokens, F.struct(at.alias("at"), *tiebreak)).alias("tokens"), F.max(at).alias("last_at")
+    )
+
+
 def backoff_seconds(errors: Column) -> Column:
     """0 without errors, else 2^errors seconds, at most five minutes."""
     return F.when(errors == 0, F.lit(0.0)).otherwise(

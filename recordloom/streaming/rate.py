@@ -1,44 +1,61 @@
-"""Token bucket as a stateful stream operator."""
+"""Token bucket over a stream of requests."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from recordloom.operators.rate import BURST, PER_MINUTE, TOKEN
-
-
-def stream_admission(
-    events: DataFrame, key: str, ts: str, order: str, per_minute: int = PER_MINUTE, burst: int = BURST
-) -> DataFrame:
-    """(key, order, ts, admitted, tokens_left) per request, in time order inside a micro-batch.
-
-    The state of a key is two numbers. Events must arrive in time order between micro-batches, as
-    they do from an ordered log.
+from recordloom.operators.rate import BURST, PER_MINUTE, bucket_state, token_admission
+from recordloom.operators.upsert import versioned
+from recordloom.plans.tables import LogTable
+
+
+def drain_admission(
+    requests: DataFrame,
+    key: str,
+    ts: str,
+    tiebreak: Sequence[str],
+    output: str,
+    checkpoint: str,
+    per_minute: int = PER_MINUTE,
+    burst: int = BURST,
+) -> None:
+    """Admit or deny everything that has arrived and stop; results go to ``output``.
+
+    A keyed stream operator would run a hot key's whole micro-batch in one task. Here each
+    micro-batch goes through the chunked replay, and the buckets between batches are a table next to
+    the output. Batch ``n`` reads the buckets of the batches before it and writes its own commit, so a
+    repeated batch gives the same result. ``requests`` should be limited per trigger and arrive in
+    time order.
     """
-    cap = burst * TOKEN
-
-    def step(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(frames)).sort_values(["_micros", order])
-        tokens, last = state.get if state.exists else (cap, int(rows["_micros"].iloc[0]))
-        admitted, left = [], []
-        for at in rows["_micros"].tolist():
-            tokens = min(cap, tokens + max(0, at - last) * per_minute)
-            last = at
-            ok = tokens >= TOKEN
-            tokens -= TOKEN if ok else 0
-            admitted.append(ok)
-            left.append(tokens / TOKEN)
-        state.update((tokens, last))
-        yield rows.drop(columns="_micros").assign(admitted=admitted, tokens_left=left)
-
-    slim = events.select(key, order, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("_micros"))
-    types = dict(events.select(key, order, ts).dtypes)
-    schema = ", ".join(f"`{c}` {t}" for c, t in types.items()) + ", admitted boolean, tokens_left double"
-    return slim.groupBy(key).applyInPandasWithState(
-        step, schema, "tokens long, last long", "append", GroupStateTimeout.NoTimeout
+    results = f"{output}/admitted"
+    buckets = LogTable(f"{output}/buckets", [key], ["tokens", "last_at"])
+
+    def write(batch: DataFrame, batch_no: int) -> None:
+        spark = batch.sparkSession
+        try:
+            state = buckets.current(spark, before=batch_no).select(key, "tokens", "last_at")
+        except AnalysisException:
+            state = None
+        admitted = token_admission(batch, key, ts, tiebreak, per_minute, burst, state=state)
+        (
+            admitted.withColumn("commit", F.lit(batch_no).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("commit")
+            .parquet(results)
+        )
+        stored = spark.read.parquet(results).filter(F.col("commit") == batch_no)
+        after = bucket_state(stored, key, ts, tiebreak).withColumn("seq", F.lit(batch_no).cast("bigint"))
+        buckets.append(versioned(after), batch_no)
+
+    query = (
+        requests.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+    query.awaitTermination()

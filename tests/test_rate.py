@@ -68,6 +68,20 @@ def test_admission_with_a_hot_key(spark, chunks):
     assert {v[0] for v in got.values()} == {True, False}
 
 
+@pytest.mark.parametrize("chunks", [1, 9])
+def test_continued_log(spark, chunks):
+    """Two logs with the buckets handed over are one log."""
+    rng = random.Random(8)
+    rows = [(rng.choice(["hot", "hot", "hot", "a"]), START + dt.timedelta(milliseconds=250 * i), i) for i in range(200)]
+    schema = "k string, ts timestamp, i int"
+    whole = A.token_admission(spark.createDataFrame(rows, schema), "k", "ts", ["i"], 50, 4)
+    first = A.token_admission(spark.createDataFrame(rows[:90], schema), "k", "ts", ["i"], 50, 4)
+    state = A.bucket_state(first, "k", "ts", ["i"])
+    second = A.token_admission(spark.createDataFrame(rows[90:], schema), "k", "ts", ["i"], 50, 4, chunks, state)
+    got = {r.i: tuple(r) for r in first.collect() + second.collect()}
+    assert got == {r.i: tuple(r) for r in whole.collect()}
+
+
 def test_capacity_two(spark):
     rows = [("api", START, i) for i in range(3)]
     out = A.token_admission(spark.createDataFrame(rows, "k string, ts timestamp, i int"), "k", "ts", ["i"], 60, 2)

@@ -13,7 +13,7 @@ from recordloom.plans.tables import Tables
 from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
 from recordloom.streaming.ingest import drain, unseen_entries
-from recordloom.streaming.rate import stream_admission
+from recordloom.streaming.rate import drain_admission
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -132,14 +132,10 @@ def test_stream_token_bucket(spark, tmp_path):
     for n in range(3):
         df.filter((F.col("i") >= 20 * n) & (F.col("i") < 20 * n + 20)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = (
-        stream_admission(stream, "k", "ts", "i", 60, 3)
-        .writeStream.format("memory").queryName("bucket").outputMode("append")
-        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    drain_admission(stream, "k", "ts", ["i"], str(tmp_path / "out"), str(tmp_path / "cp"), 60, 3)
     batch = {r.i: (r.admitted, r.tokens_left) for r in token_admission(df, "k", "ts", ["i"], 60, 3).collect()}
-    assert {r.i: (r.admitted, r.tokens_left) for r in spark.table("bucket").collect()} == batch
+    out = spark.read.parquet(str(tmp_path / "out" / "admitted"))
+    assert {r.i: (r.admitted, r.tokens_left) for r in out.collect()} == batch and out.select("commit").distinct().count() == 3
 
 
 def test_unified_rows_of_both_feeds_meet(spark):
