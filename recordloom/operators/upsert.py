@@ -55,11 +55,9 @@ def reduce_by_key(
     rows: DataFrame, keys: Sequence[str], last: Sequence[str], first: Sequence[str] = ()
 ) -> DataFrame:
     """One row per key. NULLs are values: a later NULL replaces, an earlier NULL stays."""
-    aggs = [
-        F.max_by(F.struct(*last), LAST_SEQ).alias("_l"),
-        F.max(LAST_SEQ).alias(LAST_SEQ),
-        F.min(FIRST_SEQ).alias(FIRST_SEQ),
-    ]
+    aggs = [F.max(LAST_SEQ).alias(LAST_SEQ), F.min(FIRST_SEQ).alias(FIRST_SEQ)]
+    if last:
+        aggs.append(F.max_by(F.struct(*last), LAST_SEQ).alias("_l"))
     if first:
         aggs.append(F.min_by(F.struct(*first), FIRST_SEQ).alias("_f"))
     reduced = rows.groupBy(*keys).agg(*aggs)
@@ -108,15 +106,25 @@ def upsert_raw_news(batch: DataFrame, current: DataFrame | None = None) -> DataF
     return reduced
 
 
-def upsert_unified(batch: DataFrame, current: DataFrame | None = None, extra: str = "replace") -> DataFrame:
+def upsert_unified(
+    batch: DataFrame,
+    current: DataFrame | None = None,
+    extra: str = "replace",
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
     """Unified table by ``canonical_id``. ``batch`` needs ``written_at`` next to the record columns.
 
     ``extra="replace"`` keeps the last writer's extra_data; ``"merge"`` folds all of them.
+    ``columns`` names the ones a report needs: a column inside the aggregated struct cannot be pruned
+    by the optimizer, so leaving it out here is what keeps it, and the work to compute it, away.
     """
+    wanted = LAST_WRITE + FIRST_WRITE if columns is None else tuple(columns)
+    last = [c for c in LAST_WRITE if c in wanted]
+    first = [c for c in FIRST_WRITE if c in wanted]
     stamped = batch.withColumns({"ingested_at": F.col("written_at"), "updated_at": F.col("written_at")})
     rows = _stacked(current, stamped.drop("written_at"))
-    reduced = reduce_by_key(rows, ["canonical_id"], LAST_WRITE, FIRST_WRITE)
-    if extra == "replace":
+    reduced = reduce_by_key(rows, ["canonical_id"], last, first)
+    if extra == "replace" or "extra_data" not in wanted:
         return reduced
     if extra != "merge":
         raise ValueError(f"unknown extra mode: {extra}")

@@ -102,7 +102,8 @@ def _state(spark: SparkSession, sf: str) -> DataFrame:
 @query("N5_entity_unification", _UNIFIED_STATE + " SELECT l[1] AS source, count(*) AS total_records FROM w GROUP BY l[1]")
 def entity_unification(spark: SparkSession, sf: str) -> DataFrame:
     """Both feeds through validation, identity and upsert; entities per last-writing source."""
-    return R.records_per_source(_state(spark, sf))
+    state = U.upsert_unified(U.versioned(I.both(spark, sf)), columns=["source"])
+    return R.records_per_source(state)
 
 
 @query(
