@@ -44,9 +44,10 @@ class Transfer:
     """Tokens after some requests as a function of the tokens before them, on 0..cap.
 
     Starting values that were never capped keep their differences: they form ``linear`` segments
-    (low, high, shift), at most one per possible number of admissions. Values that met the cap in
-    the same request are equal from then on: each such group has one value, kept in a heap with a
-    common offset, so that a request only touches the groups that hold a whole token.
+    (low, high, shift), about one per possible number of admissions. Values that met the cap in the
+    same request are equal from then on: each such group has one value, kept in a heap with a common
+    offset, so that a request only touches the groups that hold a whole token. Groups are few, except
+    for a burst of one under overload, where up to one token time's requests can each leave a group.
     """
 
     def __init__(self, cap: int, start: int | None = None):
