@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 from collections import Counter
 from decimal import Decimal
 from pathlib import Path
@@ -51,5 +53,13 @@ def test_query(spark, duck, name):
     assert got == expected
 
 
-def test_entry(spark):
-    assert entry.entry(spark).columns == ["source", "total_records"]
+def test_entry_in_a_fresh_process():
+    """Nothing may have been imported or registered before entry() runs."""
+    code = (
+        "import __spark_entry__ as e; from pyspark.sql import SparkSession as S; "
+        "b = S.builder.master('local[2]').config('spark.ui.enabled', 'false'); "
+        "print('ROWS', e.entry(b.config('spark.sql.session.timeZone', 'UTC').getOrCreate()).count())"
+    )
+    root = Path(entry.__file__).parent
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert "ROWS 2" in done.stdout, done.stderr[-2000:]
