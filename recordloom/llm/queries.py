@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from recordloom.llm import exact_dedup, quality_rules
+from recordloom.llm import exact_dedup, packing, quality_rules
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +42,16 @@ FROM n JOIN g USING (body)
 @query("op8_exact_dedup", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
+
+
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    """Content of a public tokenizer file; it travels with the tasks, executors need no copy of it."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+@query("op10_best_fit_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_file())
