@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, packing, quality_rules
+from recordloom.llm import exact_dedup, near_dup, packing, quality_rules
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,8 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
 @query("op10_best_fit_packing")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file())
+
+
+@query("op5_minhash_near_dup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, sf_dir))
