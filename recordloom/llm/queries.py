@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, near_dup, packing, quality_rules
+from recordloom.llm import exact_dedup, near_dup, packing, quality_rules, substring_dedup
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,27 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_minhash_near_dup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir))
+
+
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS start FROM w
+), r AS (
+  SELECT doc_id, start, row_number() OVER (PARTITION BY words[start:start + 19] ORDER BY doc_id, start) AS nth FROM s
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 20)) AS place FROM r WHERE nth > 1
+), gaps AS (
+  SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN places IS NULL THEN words
+    ELSE [words[i] FOR i IN range(1, len(words) + 1) IF NOT list_contains(places, i)] END, ' ')) AS kept_sha256
+FROM w LEFT JOIN gaps USING (doc_id)
+"""
+
+
+@query("op6_substring_dedup", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
