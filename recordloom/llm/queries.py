@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, near_dup, packing, quality_rules, substring_dedup
+from recordloom.llm import exact_dedup, near_dup, packing, quality_rules, secret_scan, substring_dedup
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan_secrets(documents(spark, sf_dir), with_text=False)
+
+
 OP6_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
