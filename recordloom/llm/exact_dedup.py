@@ -202,15 +202,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; one row of each text."""
-    decisions = exact_duplicates(docs, id_col, text_col, **options)
-    stay = decisions.filter("kept").select(F.col("doc_id").alias("_stays"), "text_sha256").distinct()
-    signed = docs.withColumn("_text_sha256", F.sha2(_normal_column(text_col), 256))
-    held = signed.join(
-        stay,
-        (F.col("_text_sha256") == F.col("text_sha256")) & F.col(f"`{id_col}`").eqNullSafe(F.col("_stays")),
-        "left_semi",
-    )
-    return held.dropDuplicates(["_text_sha256"]).drop("_text_sha256")
+    decisions = exact_duplicates(docs, id_col, text_col, **options).filter("kept")
+    stay = decisions.select(F.col("text_sha256").alias("_sha"), _id_key("doc_id").alias("_id")).distinct()
+    keys = ["_sha", "_id"]
+    keyed = docs.withColumns({"_sha": F.sha2(_normal_column(text_col), 256), "_id": _id_key(id_col)})
+    return keyed.join(stay, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+
+
+def _id_key(id_col: str):
+    return F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
 
 
 def _normal_column(text_col: str):

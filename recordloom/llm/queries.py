@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, near_dup, packing, quality_rules, secret_scan, substring_dedup
+from recordloom.llm import exact_dedup, language_id, near_dup, packing, quality_rules, secret_scan, substring_dedup
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.filter(~language_id.held_out()), "lang", "doc_id", "text")
+    ids = language_id.predict(docs, model)
+    return ids.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(documents(spark, sf_dir), with_text=False)
