@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, language_id, near_dup, packing, quality_rules, secret_scan, substring_dedup
+from recordloom.llm import exact_dedup, language_id, near_dup, packing, quality_rules, secret_scan, sentencepiece_codec, substring_dedup
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,15 @@ FROM w LEFT JOIN gaps USING (doc_id)
 @query("op6_substring_dedup", OP6_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(documents(spark, sf_dir), with_text=False)
+
+
+def sentencepiece_file(name: str = "piece_bpe_32k.model") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
+
+
+@query("op9_sentencepiece")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(documents(spark, sf_dir), sentencepiece_file(), with_ids=False)
