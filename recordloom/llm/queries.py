@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.llm import exact_dedup, language_id, near_dup, packing, quality_rules, secret_scan, sentencepiece_codec, substring_dedup
+from recordloom.llm import (
+    exact_dedup,
+    language_id,
+    license_scan,
+    near_dup,
+    packing,
+    quality_rules,
+    secret_scan,
+    sentencepiece_codec,
+    substring_dedup,
+)
 from recordloom.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +57,11 @@ FROM n JOIN g USING (body)
 """
 
 
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licences(documents(spark, sf_dir))
+
+
 @query("op8_exact_dedup", OP8_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
