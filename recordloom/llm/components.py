@@ -46,3 +46,40 @@ def _flattened(hooks: DataFrame) -> DataFrame:
         if moved.filter("_moved").isEmpty():
             return moved.drop("_moved")
         hooks = moved.drop("_moved")
+
+
+def open_clusters(clusters: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of clusters that still hold several components: cluster, id, component, members, outside.
+
+    ``clusters`` are the components of all candidate pairs, ``labels`` those of the confirmed ones.
+    ``outside`` marks members of any but the largest component; clusters of two have been compared.
+    """
+    roots = clusters.select(F.col("component").alias("id"), "component").distinct()
+    members = clusters.unionByName(roots).select("id", F.col("component").alias("cluster"))
+    placed = members.join(labels, "id", "left").select("cluster", "id", F.coalesce("component", "id").alias("component"))
+    parts = placed.groupBy("cluster", "component").agg(F.count("*").alias("n"))
+    largest = parts.groupBy("cluster").agg(
+        F.sum("n").alias("members"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top")
+    )
+    largest = largest.filter("parts > 1 AND members > 2").select("cluster", "members", F.col("top.component").alias("top"))
+    return cut(placed.join(largest, "cluster").withColumn("outside", F.col("component") != F.col("top")).drop("top"))
+
+
+def block_grid(members: DataFrame, payload: DataFrame, side: int) -> DataFrame:
+    """Deal the outside members of open clusters, and all members, into the blocks of a grid.
+
+    Both sides of a cluster fall into blocks of about ``side`` members, so a task holds two blocks at
+    most whatever the size of the cluster. Rows: cluster, row, col, side (0 outside, 1 all), id,
+    component and the columns of ``payload``, sorted by cell and side.
+    """
+    cols = F.ceil(F.col("members") / side).cast("int")
+    outside = members.filter("outside").groupBy("cluster").agg(F.ceil(F.count("*") / side).cast("int").alias("rows"))
+    sized = members.join(outside, "cluster")
+    all_rows = F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row")
+    all_cols = F.explode(F.sequence(F.lit(0), cols - 1)).alias("col")
+    own_row, own_col = (F.pmod(F.xxhash64("id"), n).cast("int") for n in (F.col("rows"), cols))
+    whole = sized.select("cluster", all_rows, own_col.alias("col"), F.lit(1).alias("side"), "id", "component")
+    pivots = sized.filter("outside").select("cluster", own_row.alias("row"), all_cols, F.lit(0).alias("side"), "id", "component")
+    rest = [c for c in payload.columns if c != "id"]
+    cells = whole.unionByName(pivots).join(payload, "id").select("cluster", "row", "col", "side", "id", "component", *rest)
+    return cells.repartition("cluster", "row", "col").sortWithinPartitions("cluster", "row", "col", "side", "id")

@@ -6,11 +6,12 @@ one of 256 buckets; a bucket stores its smallest hash as a leading-zero count an
 long ones. Bands of five compressed registers are join keys. Candidates pass an estimate of the
 similarity, corrected for register collisions, and are then confirmed on full shingle sets.
 
-Copies (equal sets) collapse to one representative before banding. Members of one band bucket are
-not paired with each other: each is compared with the bucket's smallest member, components are
-formed, and only buckets that still hold several components go on, with new pivots from each. So a
-bucket of near copies costs one comparison per member, whatever its size. Every pair that shares a
-band and is in different components at the end has been compared or shares a pivot's verdict.
+Copies (equal sets) collapse to one representative before banding. Members of a band bucket are not
+paired with each other: each is compared with the bucket's smallest member, and confirmed links form
+components. What bands join, confirmed or not, is a cluster. Where a cluster still holds several
+components, the members outside its largest one are compared with all its members, in blocks of a
+grid that give back only links that join components. So a bucket of near copies costs one comparison
+per member and no pair that shares a band is left out.
 
 Defined results: a null, empty or blank text has no shingle and is linked with nothing; fewer than
 five words are one shingle; rows of equal sets are one class; the component is the smallest id
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import Words, blocks, cut, mix, narrowed, text_buffer, written
-from recordloom.llm.components import connected
+from recordloom.llm.components import block_grid, connected, open_clusters
 
 SHINGLE = 5
 BUCKETS = 256
@@ -38,8 +39,8 @@ BANDS = BUCKETS // BAND_ROWS
 PERCENT = 75
 #: An estimate this many standard deviations below the threshold is dropped without verification.
 DEVIATIONS = 5.0
-#: A component with at most this many members in an open bucket sends all of them out as pivots.
-ALL_PIVOTS = 32
+#: Documents in a block of the grid that compares the members of an open cluster.
+SIDE = 512
 
 
 def _probe_order() -> np.ndarray:
@@ -210,36 +211,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = texts.join(ids.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     candidates = written(found.mapInArrow(_candidate_rows, "rep long, n_shingles long, regs binary, text string"), "candidates")
 
-    star = buckets.filter("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
+    star = cut(buckets.filter("rep != pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct())
     links = _verified(star, candidates)
-    # Where a bucket has three members or more, two that are no pivot may still have to be compared.
-    open_rows = buckets.filter("members > 2 AND rep != pivot").select("key", "rep")
-    tested = cut(star)
-    while True:
-        labels = connected(links)
-        placed = open_rows.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-        placed = placed.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        several = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 < c2")
-        placed = cut(placed.join(several.select("key"), "key", "left_semi"))
-        if placed.isEmpty():
-            break
-        by_part = placed.groupBy("key", "component").agg(
-            F.count("*").alias("n"), *[F.min(F.struct(F.xxhash64(F.lit(i), "rep"), "rep")).alias(f"p{i}") for i in range(4)]
-        )
-        least = F.array_distinct(F.array(*[F.col(f"p{i}.rep") for i in range(4)]))
-        chosen = by_part.filter(F.col("n") > ALL_PIVOTS).select("key", "component", F.explode(least).alias("pivot"))
-        small = by_part.filter(F.col("n") <= ALL_PIVOTS).select("key", "component")
-        chosen = cut(
-            chosen.unionByName(placed.join(small, ["key", "component"]).select("key", "component", F.col("rep").alias("pivot")))
-        )
-        other = chosen.select("key", "pivot", F.col("component").alias("other"))
-        pairs = placed.join(other, "key").filter("component != other")
-        pairs = pairs.select(F.greatest("rep", "pivot").alias("a"), F.least("rep", "pivot").alias("b")).distinct()
-        pairs = cut(pairs.join(tested, ["a", "b"], "left_anti"))
-        links = cut(links.unionByName(_verified(pairs, candidates)))
-        tested = cut(tested.unionByName(pairs))
-        open_rows = placed.select("key", "rep").join(other.select("key", F.col("pivot").alias("rep")), ["key", "rep"], "left_anti")
-        open_rows = cut(open_rows)
+    labels = connected(links)
+    members = open_clusters(connected(star), labels)
+    if not members.isEmpty():
+        grid = block_grid(members, candidates.withColumnRenamed("rep", "id"), SIDE)
+        labels = connected(links.unionByName(cut(grid.mapInArrow(_grid_rows, "a long, b long"))))
 
     labels = labels.select(F.col("id").alias("rep"), "component")
     placed = classes.join(labels, "rep", "left").select(*one_set, F.coalesce("component", "rep").alias("component"))
@@ -250,6 +228,61 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _grid_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cell = None
+    held: tuple[list, list] = ([], [])
+    for batch in batches:
+        for block in blocks(iter([batch]), "text"):
+            sets = shingle_sets(*text_buffer(block.column(8)))
+            regs = _matrix(block.column(7))
+            for i, (cluster, row, col, side, rep, component) in enumerate(
+                zip(*(block.column(c).to_pylist() for c in range(6)), strict=True)
+            ):
+                if (cluster, row, col) != cell:
+                    if held[0]:
+                        yield _joined(*held)
+                    cell, held = (cluster, row, col), ([], [])
+                held[side].append((rep, component, sets[i], regs[i]))
+    if held[0]:
+        yield _joined(*held)
+
+
+def _joined(pivots: list[tuple], members: list[tuple]) -> pa.RecordBatch:
+    """Links of a block that join components, each new joint once."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    out: list[tuple[int, int]] = []
+    if members:
+        reps = np.array([m[0] for m in members])
+        parts = np.array([m[1] for m in members])
+        sizes = np.array([len(m[2]) for m in members])
+        regs = np.stack([m[3] for m in members])
+        words, place = np.unique(np.concatenate([m[2] for m in members]), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        for rep, component, shingles, own in pivots:
+            guess, deviation = estimate(np.broadcast_to(own, regs.shape), regs, np.full(len(sizes), len(shingles)), sizes)
+            near = (guess >= PERCENT / 100 - DEVIATIONS * deviation) & (parts != component)
+            if not near.any():
+                continue
+            hit = np.zeros(len(words) + 1, dtype=np.int64)
+            at = np.searchsorted(words, shingles)
+            at = at[at < len(words)]
+            hit[at[np.isin(words[at], shingles, assume_unique=True)]] = 1
+            same = np.add.reduceat(hit[place], starts)
+            linked = near & (100 * same >= PERCENT * (sizes + len(shingles) - same))
+            for other, part in zip(reps[linked].tolist(), parts[linked].tolist(), strict=True):
+                a, b = find(component), find(part)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+                    out.append((rep, other))
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+
 def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text"):
         sets = shingle_sets(*text_buffer(block.column(1)))
