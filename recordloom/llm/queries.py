@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordloom.llm import (
     exact_dedup,
+    fuzzy_lines,
     language_id,
     license_scan,
     near_dup,
@@ -41,6 +42,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query("op2_line_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_decisions(documents(spark, sf_dir))
+
+
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(documents(spark, sf_dir), with_text=False)
