@@ -107,8 +107,8 @@ for _code in range(128):
 def _paragraphs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each line of the texts starts (and the last ends), and the text it belongs to."""
     breaks = np.flatnonzero(data == 10) + 1
-    starts = np.union1d(at[:-1], breaks[breaks < len(data)])
-    # Empty texts start where the next one does; they have no line.
+    starts = np.union1d(at[:-1], breaks)
+    starts = starts[starts < len(data)]  # empty texts have no line
     owner = np.searchsorted(at, starts, side="right") - 1
     return np.append(starts, len(data)), owner
 

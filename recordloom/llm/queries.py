@@ -86,7 +86,33 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_file())
 
 
-@query("op5_minhash_near_dup")
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE WHEN len(words) >= 5
+    THEN list_distinct([array_to_string(words[i:i + 4], ' ') FOR i IN range(1, len(words) - 3)])
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r AS (
+  SELECT doc_id, doc_id AS reached FROM documents
+  UNION SELECT e.b, r.reached FROM r JOIN e ON e.a = r.doc_id WHERE r.reached < e.b
+)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(reached) AS component_id, r.doc_id = min(reached) AS kept
+FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+"""
+
+
+@query("op5_minhash_near_dup", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir))
 
