@@ -183,6 +183,16 @@ def distinct_schemas(df: DataFrame, source: str, payload: str, seen: str) -> Dat
     )
 
 
+def record_drift(
+    df: DataFrame, expected: Column, payload: str = "payload", keep: Sequence[str] = (), threshold: float = FUZZY_THRESHOLD
+) -> DataFrame:
+    """Drift of every record against one declared schema, judged once per distinct schema."""
+    shaped = df.select(*keep, record_schema(F.col(payload)).alias("_shape"))
+    schemas = shaped.select(F.col("_shape").alias("actual")).distinct().withColumn("expected", expected)
+    verdicts = detect_drift(schemas, threshold=threshold)
+    return shaped.join(verdicts, F.col("_shape").eqNullSafe(F.col("actual"))).drop("_shape")
+
+
 def batch_drift(
     df: DataFrame,
     expected: Column,

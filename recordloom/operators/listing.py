@@ -14,9 +14,6 @@ from recordloom.operators.ordered import with_position
 MAX_LIMIT = 100
 DEFAULT_LIMIT = 20
 
-# A page this deep is cut by position instead of by a top-k heap of offset + limit rows.
-DEEP_OFFSET = 100_000
-
 PUBLIC_TEXT = ("source", "source_id", "title", "content", "author", "category", "url")
 PUBLIC_OTHER = ("external_created_at", "ingested_at", "updated_at", "extra_data")
 
@@ -67,21 +64,19 @@ def page(
     order: str = "ingested_at",
     tiebreak: str = "canonical_id",
 ) -> DataFrame:
-    """Newest first. Shallow pages are a top-k, deep ones a range filter on global positions."""
-    check_page(limit, offset)
-    if offset < DEEP_OFFSET:
-        return df.orderBy(F.desc_nulls_last(order), F.asc(tiebreak)).offset(offset).limit(limit)
-    return deep_page(df, limit, offset, order, tiebreak)
+    """Newest first, with one plan for every depth.
 
-
-def deep_page(df: DataFrame, limit: int, offset: int, order: str, tiebreak: str) -> DataFrame:
-    """The page at any depth: positions from a distributed sort, so no task holds the rows before."""
-    keyed = df.withColumn("_age", -F.unix_micros(F.col(order).cast("timestamp")))
+    Only the keys are sorted and numbered, over all tasks; the page is a range of positions, and its
+    rows are then fetched by key. ``tiebreak`` must be unique for the page to be well defined.
+    """
+    check_page(limit, offset)
     # NULL order values come last.
-    keyed = keyed.withColumn("_age", F.coalesce("_age", F.lit(2**63 - 1)))
-    placed = with_position(keyed, ["_age", tiebreak], "_at")
-    inside = (F.col("_at") >= offset) & (F.col("_at") < offset + limit)
-    return placed.filter(inside).orderBy("_at").drop("_age", "_at")
+    age = F.coalesce(-F.unix_micros(F.col(order).cast("timestamp")), F.lit(2**63 - 1))
+    keys = df.select(age.alias("_age"), F.col(tiebreak).alias("_tie"))
+    placed = with_position(keys, ["_age", "_tie"], "_at")
+    # At most MAX_LIMIT rows, so this side is small whatever the table.
+    wanted = F.broadcast(placed.filter((F.col("_at") >= offset) & (F.col("_at") < offset + limit)))
+    return df.join(wanted, (F.col(tiebreak) == F.col("_tie")) & (age == F.col("_age"))).orderBy("_at").drop("_age", "_tie", "_at")
 
 
 def total(df: DataFrame) -> DataFrame:

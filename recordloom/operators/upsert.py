@@ -36,13 +36,18 @@ LAST_WRITE = (
 FIRST_WRITE = ("external_created_at", "ingested_at")
 
 
-def sequence(run_started_at: Column, source_order: Column, batch_no: Column, row_pos: Column) -> Column:
-    """The total order of writes; rows of equal sequence must not exist."""
+def sequence(
+    run_started_at: Column, source_order: Column, batch_no: Column, row_pos: Column, run_id: Column | None = None
+) -> Column:
+    """The total order of writes; rows of equal sequence must not exist. ``row_pos`` is any value with
+    an order, of one type within a table; ``run_id`` tells runs of the same instant apart."""
+    run = [] if run_id is None else [run_id.cast("string").alias("run_id")]
     return F.struct(
         run_started_at.cast("timestamp").alias("run_started_at"),
         source_order.cast("int").alias("source_order"),
+        *run,
         batch_no.cast("bigint").alias("batch_no"),
-        row_pos.cast("bigint").alias("row_pos"),
+        row_pos.alias("row_pos"),
     )
 
 

@@ -56,12 +56,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor and is computed once."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer splits than cores, so that CPU-bound work uses all of them.
-
-    A table of many splits, the normal case on a cluster, is returned as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -11,15 +11,11 @@ from recordloom.plans.tables import Tables
 
 def drain(tables: Tables, run: Run, stream: DataFrame, checkpoint: str) -> None:
     """Read everything new and stop. The query checkpoint remembers the files already read; a
-    micro-batch repeated inside a run replaces its own commit, one repeated by a later run writes
+    micro-batch repeated inside a run replaces its own partition, one repeated by a later run writes
     the same keys again."""
-    first: list[int] = []
 
     def write(batch: DataFrame, batch_no: int) -> None:
-        if not first:
-            first.append(batch_no)
-        # Batch numbers grow over the life of the query checkpoint; commits count within the run.
-        ingest_batch(tables, run, batch, batch_no - first[0] + 1)
+        ingest_batch(tables, run, batch, batch_no)
 
     query = (
         stream.writeStream.foreachBatch(write)

@@ -38,7 +38,9 @@ def drain_admission(
         spark = batch.sparkSession
         try:
             state = buckets.current(spark, before=batch_no).select(key, "tokens", "last_at")
-        except AnalysisException:
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
             state = None
         admitted = token_admission(batch, key, ts, tiebreak, per_minute, burst, state=state)
         (
@@ -50,7 +52,7 @@ def drain_admission(
         )
         stored = spark.read.parquet(results).filter(F.col("commit") == batch_no)
         after = bucket_state(stored, key, ts, tiebreak).withColumn("seq", F.lit(batch_no).cast("bigint"))
-        buckets.append(versioned(after), batch_no)
+        buckets.append(versioned(after), "buckets", batch_no)
 
     query = (
         requests.writeStream.foreachBatch(write)

@@ -86,12 +86,11 @@ def records(spark):
 
 @pytest.mark.parametrize("offset", [0, 7, 45, 60])
 def test_pages(records, offset):
-    shallow = [r.canonical_id for r in L.page(records, 10, offset).collect()]
-    deep = [r.canonical_id for r in L.deep_page(records, 10, offset, "ingested_at", "canonical_id").collect()]
+    got = [r.canonical_id for r in L.page(records, 10, offset).collect()]
     every = sorted(((-r.ingested_at.timestamp(), r.canonical_id) for r in records.collect()))
-    assert shallow == deep == [c for _, c in every[offset : offset + 10]]
+    assert got == [c for _, c in every[offset : offset + 10]]
     info = L.page_info(records, 10, offset).first()
-    assert (info.total, info.has_more) == (50, offset + len(shallow) < 50)
+    assert (info.total, info.has_more) == (50, offset + len(got) < 50)
 
 
 @pytest.mark.parametrize("limit, offset", [(200, 0), (0, 0), (10, -1)])

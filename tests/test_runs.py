@@ -1,17 +1,20 @@
-"""Runs end to end: streams, replays, failures, compaction, rebuild."""
+"""Runs end to end: streams, replays, failures, rebuild."""
 
 import datetime as dt
 import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators.upsert import upsert_unified, versioned
-from recordloom.plans.ingest import Run, ingest_batch, run_all, run_source, save_checkpoint
+from recordloom.plans.ingest import Run, close_run, ingest_batch, open_run, run_all, run_source, save_checkpoint
 from recordloom.plans.rebuild import rebuild
 from recordloom.plans.tables import Tables
 from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
+from recordloom.sources.registry import SOURCES
 from recordloom.streaming.ingest import drain, unseen_entries
 from recordloom.streaming.rate import drain_admission
 
@@ -58,10 +61,10 @@ def test_stream_equals_batch(spark, tmp_path):
         land(landing, f"{n}.json", [coin(i, n * 10.0 + i) for i in range(n, n + 4)])
     streamed, batched = Tables(str(tmp_path / "s")), Tables(str(tmp_path / "b"))
     drain(streamed, Run("coinpaprika", T0), read_document_stream(spark, str(landing), 1), str(tmp_path / "cp"))
-    docs = read_documents(spark, str(landing)).select("*", F.input_file_name().alias("_row_pos"))
+    docs = read_documents(spark, str(landing))
     run = Run("coinpaprika", T0)
     for n in range(3):
-        part = docs.filter(F.col("_row_pos").endswith(f"{n}.json")).drop("_row_pos")
+        part = docs.filter(F.col("_row_file.path").endswith(f"{n}.json"))
         ingest_batch(batched, run, part, n + 1)
         ingest_batch(batched, run, part, n + 1)  # a repeated batch replaces itself
     got, expected = state(spark, streamed), state(spark, batched)
@@ -93,21 +96,65 @@ def test_failures_are_recorded_and_isolated(spark, tmp_path):
         run_source(spark, tables, Run("coinpaprika"), fail)
 
 
-def test_compaction_and_rebuild(spark, tmp_path):
+def test_newest_file_of_a_micro_batch_wins(spark, tmp_path):
+    """Spark packs files largest first; the order of writes is that of the files."""
+    tables, landing = Tables(str(tmp_path / "t")), tmp_path / "in"
+    sizes = (300, 5, 900, 1)
+    for n, size in enumerate(sizes):
+        land(landing, f"{9 - n}.json", [coin(1, float(n))] + [coin(100 + i, 1.0) for i in range(size)])
+        os.utime(landing / f"{9 - n}.json", (1_700_000_000 + n, 1_700_000_000 + n))
+    drain(tables, Run("coinpaprika", T0), read_document_stream(spark, str(landing)), str(tmp_path / "cp"))
+    assert state(spark, tables)["s1"][2] == len(sizes) - 1
+
+
+def test_runs_of_one_instant_both_survive(spark, tmp_path):
+    tables = Tables(str(tmp_path / "t"))
+    runs = [Run("coinpaprika", T0), Run("coinpaprika", T0)]
+    for n, run in enumerate(runs):
+        open_run(spark, tables, run)
+        land(tmp_path / run.run_id, "d.json", [coin(n, 1.0)])
+        ingest_batch(tables, run, read_documents(spark, str(tmp_path / run.run_id)), 1)
+        close_run(spark, tables, run, "x" * 5000)
+    ledger = tables.runs.current(spark).collect()
+    assert {r.run_id for r in ledger} == {r.run_id for r in runs}
+    assert all(len(r.error_message) == 5000 and r.records_processed == 1 for r in ledger)
+    assert set(state(spark, tables)) == {"s0", "s1"}
+
+
+def test_widths_are_rejected_before_the_write(spark, tmp_path):
+    tables, run = Tables(str(tmp_path / "t")), Run("coinpaprika", T0)
+    wide = dict(coin(1, 1.0), id="w" * 300)
+    land(tmp_path / "in", "d.json", [wide, coin(2, 2.0), {"id": "broken"}])
+    ingest_batch(tables, run, read_documents(spark, str(tmp_path / "in")), 1)
+    assert set(state(spark, tables)) == {"s2"}
+    reasons = sorted(r.error for r in spark.read.parquet(tables.rejects).collect())
+    assert len(reasons) == 2 and any("source_id: longer than" in r for r in reasons)
+    counted = tables.counters.current(spark).first()
+    assert (counted.records_fetched, counted.records_processed, counted.records_failed) == (3, 1, 2)
+
+
+def test_a_feed_outside_the_registry(spark, tmp_path):
+    tables = Tables(str(tmp_path / "t"))
+    spec = replace(SOURCES["coinpaprika"], name="mirror", order=20)
+    land(tmp_path / "in", "d.json", [coin(4, 4.0)])
+
+    def load(run):
+        ingest_batch(tables, run, read_documents(spark, str(tmp_path / "in")), 1)
+
+    assert run_all(spark, tables, {"mirror": load}, {"mirror": spec}) == {"mirror": "success"}
+    assert tables.raw_api.current(spark).first().external_id == "mirror_id4"
+    assert tables.runs.current(spark).first().source == "mirror"
+
+
+def test_rebuild(spark, tmp_path):
     tables = Tables(str(tmp_path / "t"))
     runs = [Run("coinpaprika", T0), Run("coingecko", T0 + dt.timedelta(hours=1)), Run("coinpaprika", T0 + dt.timedelta(hours=2))]
     market = {"id": "m1", "symbol": "s1", "name": "Coin 1", "current_price": 9.0}
     for run, docs in zip(runs, ([coin(1, 1.0), coin(2, 2.0)], [market], [coin(2, 7.0)])):
         land(tmp_path / run.run_id, "d.json", docs)
         ingest_batch(tables, run, read_documents(spark, str(tmp_path / run.run_id)), 1)
-        if run is runs[1]:
-            before = state(spark, tables)
-            tables.unified.compact(spark, run.commit(1))
-            assert state(spark, tables) == before
     expected = {"s1": ("coingecko", "Coin 1", 9.0), "s2": ("coinpaprika", "Coin 2", 7.0)}
     assert state(spark, tables) == expected
-    tables.unified.compact(spark, runs[2].commit(1))
-    assert state(spark, tables) == expected
     again = rebuild(spark, tables).collect()
     assert {r.canonical_id: (r.source, r.title, json.loads(r.extra_data)["price_usd"]) for r in again} == expected
 
