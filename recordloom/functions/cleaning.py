@@ -68,9 +68,15 @@ def iso_timestamp(c: Column) -> Column:
 
 
 def mail_or_iso_timestamp(c: Column) -> Column:
-    """Mail-style date ('Mon, 01 Jan 2024 12:00:00 GMT') or ISO text to TIMESTAMP, else NULL."""
+    """Mail-style date ('Mon, 01 Jan 2024 12:00:00 GMT') or ISO text to TIMESTAMP, else NULL.
+
+    Seconds may be missing; two-digit years up to 68 are of this century.
+    """
     # The parser has no pattern letter for the weekday name, so it is removed first.
     text = F.regexp_replace(strip_space(c), r"^[A-Za-z]{3},?\s*", "")
+    text = F.regexp_replace(text, r"^(\d{1,2} [A-Za-z]{3}) ([0-5]\d|6[0-8]) ", "$1 20$2 ")
+    text = F.regexp_replace(text, r"^(\d{1,2} [A-Za-z]{3}) (69|[7-9]\d) ", "$1 19$2 ")
+    text = F.regexp_replace(text, r"( \d{2}:\d{2})(?= |$)", "$1:00")
     return F.coalesce(
         F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss z")),
         F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss xx")),

@@ -1,40 +1,101 @@
-"""Landed news feeds (RSS documents) through the XML reader."""
+"""Landed news feeds (RSS and Atom documents) through the XML reader."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_MALFORMED = "_malformed"
 _ITEM_SCHEMA = (
     "guid STRING, title STRING, link STRING, description STRING, "
-    "`content:encoded` ARRAY<STRING>, content ARRAY<STRING>, author STRING, pubDate STRING, updated STRING, "
-    "category ARRAY<STRING>"
+    "`content:encoded` ARRAY<STRING>, content ARRAY<STRING>, author STRING, `dc:creator` STRING, pubDate STRING, "
+    f"updated STRING, category ARRAY<STRING>, {_MALFORMED} STRING"
 )
+_ENTRY_SCHEMA = (
+    "id STRING, title STRING, link ARRAY<STRUCT<_href: STRING, _rel: STRING>>, summary STRING, content STRING, "
+    f"author STRUCT<name: STRING>, published STRING, updated STRING, category ARRAY<STRUCT<_term: STRING>>, {_MALFORMED} STRING"
+)
+
+
+def _scan(spark: SparkSession, path: str | Sequence[str], tag: str, schema: str) -> DataFrame:
+    reader = spark.read.format("xml").option("rowTag", tag).option("columnNameOfCorruptRecord", _MALFORMED)
+    return reader.schema(schema).load(path).select("*", F.col("_metadata.file_path").alias("_feed_url"))
 
 
 def read_news(spark: SparkSession, path: str | Sequence[str], feed_titles: DataFrame | None = None) -> DataFrame:
-    """One row per feed item. The landed file is the feed: its path is ``_feed_url``.
+    """One row per item of an RSS feed or entry of an Atom feed. The landed file is the feed: its path
+    is ``_feed_url``, and what stands as title before its first item is ``_feed_title`` unless
+    ``feed_titles`` (feed_url, feed_title) is given.
 
-    Splittable by item; an unreadable file is skipped and the others continue. ``feed_titles``
-    (feed_url, feed_title) is optional.
+    Splittable by item. Items that cannot be read are in ``unreadable_items``.
     """
-    items = (
-        spark.read.format("xml")
-        .option("rowTag", "item")
-        .option("ignoreCorruptFiles", True)
-        .schema(_ITEM_SCHEMA)
-        .load(path)
-        .select("*", F.col("_metadata.file_path").alias("_feed_url"))
-    )
-    entries = entries_from_items(items)
-    if feed_titles is None:
-        return entries.withColumn("_feed_title", F.lit(""))
-    titles = feed_titles.select(F.col("feed_url").alias("_feed_url"), F.col("feed_title").alias("_feed_title"))
+    items = _scan(spark, path, "item", _ITEM_SCHEMA).filter(F.col(_MALFORMED).isNull()).drop(_MALFORMED)
+    atom = _scan(spark, path, "entry", _ENTRY_SCHEMA).filter(F.col(_MALFORMED).isNull())
+    entries = entries_from_items(items).unionByName(entries_from_items(_as_items(atom)))
+    titles = channel_titles(spark, path) if feed_titles is None else feed_titles
+    titles = titles.select(F.col("feed_url").alias("_feed_url"), F.col("feed_title").alias("_feed_title"))
     return entries.join(titles, "_feed_url", "left").fillna("", ["_feed_title"])
 
 
+def unreadable_items(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(feed_url, record, error) of items and entries that are no well-formed XML."""
+    frames = [_scan(spark, path, tag, schema) for tag, schema in (("item", _ITEM_SCHEMA), ("entry", _ENTRY_SCHEMA))]
+    broken = [
+        f.select(
+            F.col("_feed_url").alias("feed_url"), F.col(_MALFORMED).alias("record"),
+            F.concat_ws(": ", F.lit("record: not well-formed"), "title").alias("error"),
+        )
+        .filter(F.col("record").isNotNull())
+        for f in frames
+    ]
+    return broken[0].unionByName(broken[1])
+
+
+def channel_titles(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(feed_url, feed_title): the first title of each file, if it stands before the first item."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("feed_url"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at"),
+        F.regexp_extract("value", r"^(.*?)(<item[\s>]|<entry[\s>]|$)", 1).alias("head"),
+        F.col("value").rlike(r"<(item|entry)[\s>]").alias("starts"),
+    )
+    title = F.regexp_extract("head", r"<title[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</title>", 1)
+    found = lines.select("feed_url", "at", "starts", _unescaped(title).alias("title")).groupBy("feed_url").agg(
+        F.min_by(F.when(F.col("title") != "", F.col("title")), F.when(F.col("title") != "", F.col("at"))).alias("title"),
+        F.min(F.when(F.col("title") != "", F.col("at"))).alias("at"),
+        F.min(F.when(F.col("starts"), F.col("at"))).alias("first_item"),
+    )
+    stands = F.col("first_item").isNull() | (F.col("at") <= F.col("first_item"))
+    return found.select("feed_url", F.coalesce(F.when(stands, F.col("title")), F.lit("")).alias("feed_title"))
+
+
+def _unescaped(text: Column) -> Column:
+    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(name), F.lit(char))
+    return text
+
+
+def _as_items(atom: DataFrame) -> DataFrame:
+    """Atom entries under the names of RSS items."""
+    page = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    return atom.select(
+        F.col("id").alias("guid"),
+        "title",
+        F.coalesce(F.get(page, F.lit(0))["_href"], F.get("link", F.lit(0))["_href"]).alias("link"),
+        F.col("summary").alias("description"),
+        F.lit(None).cast("array<string>").alias("content:encoded"),
+        F.when(F.col("content").isNotNull(), F.array("content")).alias("content"),
+        F.col("author.name").alias("author"),
+        F.lit(None).cast("string").alias("dc:creator"),
+        F.col("published").alias("pubDate"),
+        "updated",
+        F.transform("category", lambda x: x["_term"]).alias("category"),
+        "_feed_url",
+    )
+
+
 def entries_from_items(items: DataFrame) -> DataFrame:
     """Feed items to entry records: missing texts are '', the id falls back to the link, the content
     to the summary."""
@@ -50,7 +111,7 @@ def entries_from_items(items: DataFrame) -> DataFrame:
         text("link").alias("link"),
         text("description").alias("summary"),
         F.coalesce(F.get(contents, F.lit(0)), text("description")).alias("content"),
-        text("author").alias("author"),
+        F.coalesce(F.nullif("author", F.lit("")), text("dc:creator")).alias("author"),
         text("pubDate").alias("published"),
         text("updated").alias("updated"),
         F.transform(tags, lambda t: F.coalesce(t, F.lit(""))).alias("tags"),

@@ -75,3 +75,9 @@ def test_strict_timestamp(spark):
 
 def test_clean_string(spark):
     assert apply(spark, C.clean_string, ["  Test Title  ", "\tx\n", None, " "]) == ["Test Title", "x", "", ""]
+
+
+def test_short_mail_dates(spark):
+    rows = [("Tue, 05 Mar 24 07:08 GMT", 1709622480), ("5 Mar 2024 07:08", 1709622480), ("05 Mar 75 07:08:09 GMT", 163235289), ("05 Mar 2024 07:08:09 +0100", 1709618889)]
+    df = spark.createDataFrame(rows, "s string, at long")
+    assert [r[0] for r in df.select(F.unix_timestamp(C.mail_or_iso_timestamp(F.col("s")))).collect()] == [a for _, a in rows]

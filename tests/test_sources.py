@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.validate import accepted, rejected
 from recordloom.sources import csv_feed as S
-from recordloom.sources.news_feed import read_news
+from recordloom.sources.news_feed import read_news, unreadable_items
 from recordloom.sources.registry import SOURCES
 
 COLUMNS = ["product_id", "name", "category", "price"]
@@ -77,4 +77,24 @@ def test_news(spark, tmp_path):
     one, two = read_news(spark, str(tmp_path)).orderBy("link").collect()
     assert (one.id, one.title, one.content, one.tags) == ("g1", "One & two", "<p>full</p>", ["a", "b"])
     assert (two.id, two.content, two.tags, two.author) == ("http://x/2", "only", [], "")
-    assert two._feed_url.endswith("a.xml")
+    assert two._feed_url.endswith("a.xml") and one._feed_title == "Feed"
+
+
+ATOM = """<?xml version="1.0"?>
+<feed xmlns="http://www.w3.org/2005/Atom"><title>Notes &amp; more</title>
+<entry><id>urn:1</id><title>First</title><link rel="self" href="http://y/api/1"/><link href="http://y/1"/><author><name>Ann</name></author>
+<summary>short</summary><content>long</content><published>2024-02-03T04:05:06Z</published><updated>2024-02-04T00:00:00Z</updated>
+<category term="red"/><category term="blue"/></entry></feed>"""
+
+
+def test_atom_creators_and_broken_items(spark, tmp_path):
+    write(tmp_path / "a.xml", ATOM)
+    write(tmp_path / "b.xml", RSS.replace("<link>http://x/2</link>", "<link>http://x/2</link><dc:creator>Bo</dc:creator>"))
+    write(tmp_path / "c.xml", "<rss><channel><title>Broken</title>\n<item><title>no end</titel></item></channel></rss>")
+    rows = {r.link: r for r in read_news(spark, str(tmp_path)).collect()}
+    one = rows["http://y/1"]
+    assert (one.id, one.title, one.author, one.summary, one.content, one.tags) == ("urn:1", "First", "Ann", "short", "long", ["red", "blue"])
+    assert (one._feed_title, one.published, one.updated) == ("Notes & more", "2024-02-03T04:05:06Z", "2024-02-04T00:00:00Z")
+    assert rows["http://x/2"].author == "Bo" and set(rows) == {"http://y/1", "http://x/1", "http://x/2"}
+    broken = unreadable_items(spark, str(tmp_path)).collect()
+    assert {r.feed_url.rsplit("/", 1)[1] for r in broken} == {"c.xml"} and all(r.error.startswith("record: not well-formed") for r in broken)

@@ -75,10 +75,10 @@ def test_merge_like_the_fold(spark):
 
 
 def test_merge_keeps_other_sources(spark):
-    existing = spark.createDataFrame([("btc", '{"price_usd":49000,"_coingecko":{"price_usd":49000}}', 1)], f"canonical_id string, extra_data string, {U.LAST_SEQ} int")
-    new = spark.createDataFrame([("btc", "coinpaprika", '{"price_usd":50000,"rank":1}', 2)], f"canonical_id string, source string, extra_data string, {U.LAST_SEQ} int")
+    existing = spark.createDataFrame([("k9", '{"stock":4,"_depot":{"stock":4}}', 1)], f"canonical_id string, extra_data string, {U.LAST_SEQ} int")
+    new = spark.createDataFrame([("k9", "shop", '{"stock":6,"shelf":"B"}', 2)], f"canonical_id string, source string, extra_data string, {U.LAST_SEQ} int")
     got = json.loads(U.merge_extra_data(new, existing).first().extra_data)
-    assert got == {"price_usd": 50000, "rank": 1, "_coingecko": {"price_usd": 49000}, "_coinpaprika": {"price_usd": 50000, "rank": 1}}
+    assert got == {"stock": 6, "shelf": "B", "_depot": {"stock": 4}, "_shop": {"stock": 6, "shelf": "B"}}
 
 
 def test_raw_upsert_keeps_first_checksum(spark):
