@@ -2,52 +2,89 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recordloom.session import cut_lineage
-
 _MALFORMED = "_malformed"
-_LOW_33_BITS = (1 << 33) - 1
+
+
+def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """First line of each file, with the files that have it; as many entries as there are forms of header."""
+    lines = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0)
+    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
+    first = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    found: dict[str, list[str]] = {}
+    for file, header in first.select("file", "header").toLocalIterator():
+        found.setdefault(header, []).append(file)
+    return found
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """All-text scan with a header line; adds ``_file_name``, ``_row_number`` (1-based per file) and
+    """All-text scan by header names; adds ``_file_name``, ``_row_number`` (1-based per file) and
     ``_extra_fields`` (the row had more fields than the header).
 
-    Files stay splittable (``multi_line=True`` allows line breaks inside quotes at the price of one
-    task per file). Row numbers come from each split's own counter plus the row counts of the
-    splits before it, so no task ever sees a whole file.
+    ``columns`` come first, NULL where a file does not have them; other columns of the headers follow
+    under their own names. A path that does not exist gives no rows. Files stay splittable
+    (``multi_line=True`` allows line breaks inside quotes at the price of one task per file).
     """
-    ddl = ", ".join(f"`{c}` STRING" for c in [*columns, _MALFORMED])
+    try:
+        headers = _headers(spark, path)
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        headers = {}
+    frames = []
+    for header, files in sorted(headers.items()):
+        names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([header or ""]), [])]
+        if names:
+            frames.append(_with_header(spark, files, names, columns, multi_line))
+    if not frames:
+        ddl = ", ".join([f"`{c}` STRING" for c in columns] + ["_extra_fields BOOLEAN", "_file_name STRING", "_row_number BIGINT"])
+        return spark.createDataFrame([], ddl)
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def _with_header(spark: SparkSession, files: list[str], names: list[str], columns: Sequence[str], multi_line: bool) -> DataFrame:
+    """Files of one header. Row numbers come from each split's own counter plus the row counts of the
+    splits before it, so no task ever sees a whole file."""
+    ddl = ", ".join(f"`{c}` STRING" for c in [*names, _MALFORMED])
     scan = (
         spark.read.schema(ddl)
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", _MALFORMED)
-        .csv(path)
+        .csv(files)
     )
-    whole_row = F.col(_MALFORMED).isNull()
-    last = F.col(columns[-1])
-    # An empty field reads as NULL; only a field the row does not have is really missing.
-    values = [F.when(whole_row, F.coalesce(c, F.lit(""))).otherwise(F.col(c)).alias(c) for c in columns]
-    numbered = scan.select(
-        *values,
-        (~whole_row & last.isNotNull()).alias("_extra_fields"),
+    place = [
         F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_name").alias("_file_name"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_mid"),
+    ]
+    whole_row = F.col(_MALFORMED).isNull()
+    last = F.col(f"`{names[-1]}`")
+    # An empty field reads as NULL; only a field the row does not have is really missing.
+    held = {c: F.when(whole_row, F.coalesce(F.col(f"`{c}`"), F.lit(""))).otherwise(F.col(f"`{c}`")) for c in names}
+    values = [held.get(c, F.lit(None).cast("string")).alias(c) for c in columns]
+    others = [v.alias(c) for c, v in held.items() if c not in columns]
+    numbered = scan.select(
+        *values, *others, (~whole_row & last.isNotNull()).alias("_extra_fields"), F.col("_metadata.file_name").alias("_file_name"), *place
     )
-    numbered = cut_lineage(numbered)
-    per_block = numbered.groupBy("_file", "_block").agg(
-        F.min("_mid").alias("_first"), F.count("*").alias("_rows")
-    )
+    # The same files in the same splits, so the counters of both scans agree; this one reads no values.
+    per_block = scan.select(*place).groupBy("_file", "_block").agg(F.min("_mid").alias("_first"), F.count("*").alias("_rows"))
     before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select(
         "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
@@ -76,20 +113,25 @@ def file_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 
 
 def content_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, lines, fingerprint) from a splittable line scan: per file the line count, the sum and
-    the xor of the line hashes, partially aggregated in every split. It depends on the lines, not on
-    their order."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.xxhash64("value").alias("h")
-    )
-    digest = lines.groupBy("file").agg(
-        F.count("*").alias("lines"),
-        F.sum(F.col("h").cast("decimal(38,0)")).alias("s"),
-        F.bit_xor("h").alias("x"),
-    )
-    return digest.select(
-        "file", "lines", F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in ("lines", "s", "x")])).alias("fingerprint")
-    )
+    """(file, lines, fingerprint) from a splittable line scan: per file the line count, and sums over
+    the 128-bit digests of its lines, partially aggregated in every split. It depends on the lines,
+    not on their order. A path that does not exist gives no rows."""
+    try:
+        text = spark.read.text(path)
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return spark.createDataFrame([], "file string, lines bigint, fingerprint string")
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.md5("value").alias("h"))
+    return line_digest(lines, "file").select("file", "lines", "fingerprint")
+
+
+def line_digest(lines: DataFrame, *keys: str) -> DataFrame:
+    """Digest per key of the MD5 texts ``h``: their count and the sums of their four 32-bit words."""
+    words = [F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(4)]
+    sums = lines.groupBy(*keys).agg(F.count("*").alias("lines"), *[F.sum(w).alias(f"w{k}") for k, w in enumerate(words)])
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("lines", "w0", "w1", "w2", "w3")])
+    return sums.select(*keys, "lines", F.md5(text).alias("fingerprint"))
 
 
 def parse_csv_checkpoint(value: Column) -> Column:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recordloom.operators.upsert import upsert_unified, versioned
-from recordloom.plans.ingest import Run, close_run, ingest_batch, open_run, run_all, run_source, save_checkpoint
+from recordloom.plans.ingest import Run, close_run, ingest_batch, ingest_csv, open_run, run_all, run_source, save_checkpoint
 from recordloom.plans.rebuild import rebuild
 from recordloom.plans.tables import Tables
 from recordloom.sources import csv_feed
@@ -107,6 +107,26 @@ def test_newest_file_of_a_micro_batch_wins(spark, tmp_path):
     assert state(spark, tables)["s1"][2] == len(sizes) - 1
 
 
+def test_csv_runs_go_on_where_they_stopped(spark, tmp_path):
+    tables, columns = Tables(str(tmp_path / "t")), ["product_id", "name", "category", "price"]
+    head = "product_id,name,category,price\n"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text(head + "P1,n,c,1\nP2,n,c,2\n")
+    fetched = []
+    for n in range(4):
+        if n == 1:
+            (tmp_path / "in" / "b.csv").write_text(head + "P3,n,c,3\n")
+        if n == 3:
+            (tmp_path / "in" / "a.csv").write_text(head + "P1,n,c,9\nP2,n,c,2\nP4,n,c,4\n")
+        run = Run("csv", T0 + dt.timedelta(hours=n))
+        run_source(spark, tables, run, lambda r: ingest_csv(spark, tables, r, str(tmp_path / "in"), columns))
+        fetched.append(tables.counters.current(spark, run.run_id).first().records_fetched)
+    assert fetched == [2, 1, 0, 3]
+    marks = {r.source: r.last_value.split("|")[0] for r in tables.checkpoints.current(spark).collect()}
+    assert marks == {"csv:a.csv": "3", "csv:b.csv": "1"}
+    assert {r.source_id for r in tables.unified.current(spark).collect()} == {"P1", "P2", "P3", "P4"}
+
+
 def test_runs_of_one_instant_both_survive(spark, tmp_path):
     tables = Tables(str(tmp_path / "t"))
     runs = [Run("coinpaprika", T0), Run("coinpaprika", T0)]

@@ -41,6 +41,20 @@ def test_row_numbers_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_columns_go_by_header_name(spark, tmp_path):
+    write(tmp_path / "a.csv", "name,colour,product_id\nn1,red,P1\nn2,,P2\n")
+    write(tmp_path / "b.csv", "product_id,name,category,price\nP3,n3,c3,3\n")
+    rows = {r.product_id: r for r in S.read_csv(spark, str(tmp_path), COLUMNS).collect()}
+    assert [(r.name, r.category, r.price, r.colour, r._row_number, r._extra_fields) for r in (rows["P1"], rows["P2"], rows["P3"])] == [
+        ("n1", None, None, "red", 1, False), ("n2", None, None, "", 2, False), ("n3", "c3", "3", None, 1, False)
+    ]
+
+
+def test_a_missing_file_has_no_rows(spark, tmp_path):
+    gone = str(tmp_path / "gone.csv")
+    assert S.read_csv(spark, gone, COLUMNS).collect() == [] and S.content_fingerprints(spark, gone).collect() == []
+
+
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = write(tmp_path / "m.csv", 'product_id,name,category,price\nP1,"two\nlines",c,1\nP2,n,c,2\n')
     rows = S.read_csv(spark, path, COLUMNS, multi_line=True).orderBy("_row_number").collect()
