@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 FIRST_SEQ = "_first_seq"
 LAST_SEQ = "_last_seq"
+#: Sequence of each key of a merged extra_data.
+EXTRA_SEQS = "_extra_seqs"
 
 # Columns of the unified table by write rule.
 LAST_WRITE = (
@@ -119,7 +121,8 @@ def upsert_unified(
 ) -> DataFrame:
     """Unified table by ``canonical_id``. ``batch`` needs ``written_at`` next to the record columns.
 
-    ``extra="replace"`` keeps the last writer's extra_data; ``"merge"`` folds all of them.
+    ``extra="replace"`` keeps the last writer's extra_data; ``"merge"`` folds all of them and keeps
+    the sequence of every key in ``_extra_seqs``, so a late batch finds its place among stored keys.
     ``columns`` names the ones a report needs: a column inside the aggregated struct cannot be pruned
     by the optimizer, so leaving it out here is what keeps it, and the work to compute it, away.
     """
@@ -127,24 +130,26 @@ def upsert_unified(
     last = [c for c in LAST_WRITE if c in wanted]
     first = [c for c in FIRST_WRITE if c in wanted]
     stamped = batch.withColumns({"ingested_at": F.col("written_at"), "updated_at": F.col("written_at")})
-    rows = _stacked(current, stamped.drop("written_at"))
+    stored = None if current is None else current.drop(EXTRA_SEQS)
+    rows = _stacked(stored, stamped.drop("written_at"))
     reduced = reduce_by_key(rows, ["canonical_id"], last, first)
     if extra == "replace" or "extra_data" not in wanted:
         return reduced
     if extra != "merge":
         raise ValueError(f"unknown extra mode: {extra}")
-    existing = None if current is None else current.select("canonical_id", "extra_data", LAST_SEQ)
+    kept = ["canonical_id", "extra_data", LAST_SEQ, EXTRA_SEQS]
+    existing = None if current is None else current.select(*[c for c in kept if c in current.columns])
     new = stamped.select("canonical_id", "source", "extra_data", LAST_SEQ)
-    merged = merge_extra_data(new, existing)
+    merged = merge_extra_data(new, existing, with_seqs=True)
     return reduced.drop("extra_data").join(merged, "canonical_id", "left")
 
 
-def merge_extra_data(new: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def merge_extra_data(new: DataFrame, existing: DataFrame | None = None, with_seqs: bool = False) -> DataFrame:
     """Merged extra_data per canonical id: every source's latest payload under ``_<source>``, and the
     latest value of every key that does not start with ``_`` (an explicit null counts).
 
     ``new``: (canonical_id, source, extra_data, _last_seq); ``existing``: (canonical_id, extra_data,
-    _last_seq), whose keys are all kept.
+    _last_seq[, _extra_seqs]), whose keys are all kept, each with its own sequence where it has one.
 
     Of the payloads of one source that have the same keys only the latest can matter, so the rows are
     reduced to those before any key is unfolded. The final per-id collection holds one entry per
@@ -166,7 +171,9 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None) -> DataF
     entries = from_keys.unionByName(from_source)
     if existing is not None:
         entries = entries.unionByName(_entries(existing).select("canonical_id", "key", "value", LAST_SEQ))
-    latest = entries.groupBy("canonical_id", "key").agg(F.max_by("value", LAST_SEQ).alias("value"))
+    latest = entries.groupBy("canonical_id", "key").agg(
+        F.max_by("value", LAST_SEQ).alias("value"), F.max(LAST_SEQ).alias("seq")
+    )
     document = F.to_variant_object(
         F.map_from_entries(
             F.transform(
@@ -175,13 +182,17 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None) -> DataF
             )
         )
     )
-    return latest.groupBy("canonical_id").agg(F.to_json(document).alias("extra_data"))
+    seqs = F.map_from_entries(F.collect_list(F.struct("key", "seq"))).alias(EXTRA_SEQS)
+    return latest.groupBy("canonical_id").agg(F.to_json(document).alias("extra_data"), *([seqs] if with_seqs else []))
 
 
 def _entries(df: DataFrame) -> DataFrame:
     """One row per (row, key) of extra_data, the value as JSON text."""
     as_map = F.try_parse_json("extra_data").try_cast("map<string,variant>")
-    pairs = df.select("canonical_id", LAST_SEQ, F.explode(as_map).alias("key", "v"))
+    own = [EXTRA_SEQS] if EXTRA_SEQS in df.columns else []
+    pairs = df.select("canonical_id", LAST_SEQ, *own, F.explode(as_map).alias("key", "v"))
+    if own:
+        pairs = pairs.withColumn(LAST_SEQ, F.coalesce(F.try_element_at(EXTRA_SEQS, F.col("key")), LAST_SEQ)).drop(EXTRA_SEQS)
     return pairs.withColumn("value", F.to_json("v")).drop("v")
 
 
