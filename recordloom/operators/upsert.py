@@ -100,7 +100,7 @@ def upsert_raw_csv(batch: DataFrame, current: DataFrame | None = None) -> DataFr
 
 
 def upsert_raw_news(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
-    """Key (feed_url, entry_id), defaulting to ''; ``published_at`` exists and is never filled."""
+    """Key (feed_url, entry_id), defaulting to ''."""
     keyed = batch.withColumns(
         {
             "feed_url": F.coalesce("feed_url", F.lit("")),

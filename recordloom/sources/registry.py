@@ -15,8 +15,8 @@ from recordloom.sources.csv_feed import extra_fields_rule
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """``validate`` adds rec/errors/checksum, ``transform`` projects to the unified record;
-    ``natural_key`` gives the raw table's key from a raw row."""
+    """``validate`` adds rec/errors/checksum, ``transform`` projects to the unified record,
+    ``raw_table`` names the table of its raw rows, ``order`` ranks feeds that start together."""
 
     name: str
     validate: Callable[[DataFrame], DataFrame]
@@ -24,7 +24,6 @@ class SourceSpec:
     raw_table: str
     order: int
     enabled: bool = True
-    batch_size: int = 100
 
     def process(self, raw: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
         """(unified rows, rejects) of a raw frame."""

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from recordloom.operators import paging as P
 from recordloom.operators import transform as T
 from recordloom.operators import validate as V
 from recordloom.operators.ordered import with_position
-from recordloom.operators.upsert import LAST_SEQ, upsert_checkpoints, versioned
+from recordloom.operators.upsert import upsert_checkpoints, versioned
 from recordloom.plans.ingest import Run, run_source
 from recordloom.plans.tables import Tables
 from recordloom.session import scratch_path

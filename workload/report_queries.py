@@ -412,10 +412,13 @@ def batch_drift(spark: SparkSession, sf: str) -> DataFrame:
     "D9_schema_registry",
     _DRIFT + """, s AS (SELECT source, shape, count(*) AS records, min(seq) AS detected_at FROM d GROUP BY source, shape)
     SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY detected_at) AS INT) AS schema_version, detected_at, records,
+    '{' || array_to_string([ '"' || replace(x, ':', '":"') || '"' FOR x IN shape ], ',') || '}' AS schema_definition,
     detected_at = max(detected_at) OVER (PARTITION BY source) AS is_active FROM s""",
 )
 def schema_registry(spark: SparkSession, sf: str) -> DataFrame:
-    return D.schema_registry(I.shapes(spark, sf)).select("source", "schema_version", "detected_at", "records", "is_active")
+    return D.schema_registry(I.shapes(spark, sf)).select(
+        "source", "schema_version", "detected_at", "records", "schema_definition", "is_active"
+    )
 
 
 # --- rate control --------------------------------------------------------------------------------
