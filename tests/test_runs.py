@@ -14,6 +14,7 @@ from recordloom.plans.rebuild import rebuild
 from recordloom.plans.tables import Tables
 from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
+from recordloom.sources.news_feed import read_news
 from recordloom.sources.registry import SOURCES
 from recordloom.streaming.ingest import drain, unseen_entries
 from recordloom.streaming.rate import drain_admission
@@ -179,6 +180,21 @@ def test_rebuild(spark, tmp_path):
     assert {r.canonical_id: (r.source, r.title, json.loads(r.extra_data)["price_usd"]) for r in again} == expected
 
 
+def test_rebuild_of_rows_and_entries(spark, tmp_path):
+    tables = Tables(str(tmp_path / "t"))
+    (tmp_path / "p.csv").write_text("product_id,name,category,price,colour\nP1,Lamp,home,3.5,red\nP2,,home,1,\n")
+    (tmp_path / "n.xml").write_text(
+        "<rss><channel><title>Feed</title>\n<item><guid>g</guid><title>One</title><link>http://x/1</link>"
+        "<description>d</description><pubDate>Tue, 05 Mar 2024 07:08 GMT</pubDate><category>a</category></item></channel></rss>"
+    )
+    run = Run("csv", T0)
+    ingest_csv(spark, tables, run, str(tmp_path / "p.csv"), ["product_id", "name", "category", "price", "description", "stock_quantity", "created_at"])
+    ingest_batch(tables, Run("rss", T0), read_news(spark, str(tmp_path / "n.xml")), 1)
+    columns = [c for c in tables.unified.current(spark).columns if c not in ("checksum", "_first_seq", "_last_seq")]
+    stored = sorted(map(str, tables.unified.current(spark).select(*columns).collect()))
+    assert len(stored) == 3 and sorted(map(str, rebuild(spark, tables).select(*columns).collect())) == stored
+
+
 def test_stream_dedup(spark, tmp_path):
     schema = "_feed_url string, id string, at timestamp"
     rows = [("f", "a", T0), ("f", "a", T0 + dt.timedelta(minutes=1)), ("f", "b", T0), ("g", "a", T0)]
