@@ -34,7 +34,7 @@ WORD = re.compile(r"[^\W\d_]+")
 LONGEST_GRAM = 5
 #: Added to the largest score of the model where a language lacks an entry, in natural logarithms.
 PENALTY = 2.0
-REMEMBERED = 300_000
+REMEMBERED = 120_000
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -136,7 +136,7 @@ class Predictor:
         return self.model.languages[best], float(1 / odds.sum())
 
 
-def fit(labelled: DataFrame, lang_col: str, id_col: str, text_col: str, per_language: int = 3_000, entries: int = 600_000) -> Model:
+def fit(labelled: DataFrame, lang_col: str, id_col: str, text_col: str, per_language: int = 2_000, entries: int = 200_000) -> Model:
     """Fit on rows with a label: about ``per_language`` documents of each language and ``entries`` entries at most."""
     texts = labelled.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")
