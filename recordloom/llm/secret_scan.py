@@ -32,7 +32,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run; shorter runs would be dropp
 KINDS = ("assign", "access", "hex", "field")
 #: Documents whose lines train the field, at most about this many.
 TRAIN_DOCUMENTS = 4_000
-REMEMBERED = 400_000
+#: Labelled stretches of one of them, at most.
+TRAIN_STRETCHES = 20
+REMEMBERED = 300_000
 
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 OUT, BEGIN, INSIDE = 0, 1, 2
@@ -216,6 +218,8 @@ def viterbi(score: np.ndarray, move: np.ndarray, start: np.ndarray, first: np.nd
             back[at] = through.argmax(axis=1)
             best[at] = through.max(axis=1) + score[at]
     labels = np.zeros(len(score), dtype=np.int8)
+    if not len(first):
+        return labels
     last = first + length - 1
     labels[last] = best[last].argmax(axis=1)
     for _, at in reversed(steps[1:]):
@@ -245,7 +249,7 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             spans = [(m.start(2), m.end(2)) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
             spans += [(a, b) for a, kind, b in base_spans(text) if kind]
             files = list(file_features(text))
-            plain = None
+            plain, taken = None, 0
             for at, tokens, starts in _lines(text):
                 labels, previous = [], None
                 for token, start in zip(tokens, starts, strict=True):
@@ -254,10 +258,11 @@ def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                     labels.append(OUT if inside is None else INSIDE if inside == previous else BEGIN)
                     previous = inside
                 marked = [i for i, x in enumerate(labels) if x != OUT]
-                if marked:
+                if marked and taken < TRAIN_STRETCHES:
+                    taken += 1
                     low, high = max(0, marked[0] - 12), marked[0] + 24
                     rows.append((doc_id, tokens[low:high], labels[low:high], files))
-                else:
+                elif not marked:
                     odd = max(range(len(tokens)), key=lambda i: (any(map(str.isdigit, tokens[i])), len(tokens[i]), -i))
                     rank = (any(map(str.isdigit, tokens[odd])), len(tokens[odd]))
                     if plain is None or rank > plain[0]:
@@ -401,8 +406,14 @@ def field_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int]]]
     first = np.cumsum(lengths) - lengths
     line_of = np.repeat(np.arange(len(lines)), lengths)
     files = np.array([file_features(t) for t in texts], dtype=np.int64)[np.array(owner)][line_of]
-    w = tagger.weights
-    labels = viterbi(tagger.scores(numbers, line_of, files), w["move"], w["start"], first, lengths)
+    move, start = tagger.weights["move"], tagger.weights["start"]
+    score = tagger.scores(numbers, line_of, files)
+    # A path gains at most so much by moves into and out of a secret; a line whose every token prefers
+    # outside by more is outside as a whole, and needs no decoding.
+    gain = 2 * max(0.0, move.max() - move[OUT, OUT]) + max(0.0, start.max() - start[OUT])
+    least = np.minimum.reduceat(score[:, OUT] - score[:, 1:].max(axis=1), first)
+    doubtful = np.flatnonzero(least <= gain)
+    labels = viterbi(score, move, start, first[doubtful], lengths[doubtful])
     for k in np.unique(line_of[labels == BEGIN]).tolist():
         at, line = lines[k]
         mine = labels[first[k] : first[k] + lengths[k]]
