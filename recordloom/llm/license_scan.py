@@ -95,6 +95,8 @@ SLOTS = 1 << 16
 GRAMS = 3
 #: Documents whose paragraphs are the unknown ones of the training, at most about this many.
 TRAIN_DOCUMENTS = 3_000
+#: Characters of such a paragraph, at most.
+TRAIN_LENGTH = 10_000
 #: Share of a notice's word pairs that a paragraph has to hold.
 CONFIRMED = 0.75
 
@@ -195,7 +197,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documen
     texts = narrowed(docs, id_col, text_col)
     share = min(1.0, documents / max(texts.count(), 1))
     sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(F.trim(x)) > 0)
+    lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(F.trim(x)).between(1, TRAIN_LENGTH))
     line = F.element_at(lines, F.pmod(F.xxhash64("text"), F.size(lines)).cast("int") + 1)
     rows = sample.select("doc_id", F.when(F.size(lines) > 0, line).alias("line")).dropna().collect()
     plain = [line for _, line in sorted(tuple(r) for r in rows)]
