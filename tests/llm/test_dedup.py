@@ -168,3 +168,39 @@ def test_no_line_goes_that_a_plain_comparison_keeps(small):
     least = {(i, k) for i, k, f in lines if equal[f] != (i, k)}
     got = {(r.doc_id, int(k)) for r in fuzzy_lines.line_decisions(docs).collect() for k in r.removed.split(",") if k}
     assert least <= got <= most
+
+
+def _changed_lines(n, rng):
+    """Pairs of lines of ten or 25 words, of which one is another word."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
+    pairs = []
+    for k in range(n):
+        words = [word() for _ in range(25 if k % 3 == 2 else 10)]
+        other = list(words)
+        other[rng.randrange(len(words))] = word()
+        pairs.append((" ".join(words), " ".join(other)))
+    return pairs
+
+
+def test_recall_of_fuzzy_pairs_alone(spark):
+    """Of the pairs that a comparison of all lines finds, without equal normal forms, nearly all are found."""
+    pairs = _changed_lines(300, random.Random(3))
+    forms = [line for pair in pairs for line in pair]
+    brute = {(a, b) for a, x in enumerate(forms) for b, y in enumerate(forms) if a < b and fuzzy_lines.similar(x, y)}
+    assert brute == {(k, k + 1) for k in range(0, 600, 2)}
+    docs = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    gone = {r.doc_id for r in fuzzy_lines.line_decisions(docs).collect() if r.n_removed}
+    assert gone <= {b for _, b in brute} and len(gone) >= 0.97 * len(brute)
+
+
+def test_a_pair_meets_in_a_table_of_any_size(spark):
+    """The keys of a line do not depend on the other lines of its table or block."""
+    import numpy as np
+    import pyarrow as pa
+
+    pairs = _changed_lines(40, random.Random(4))
+    more = [f"{line} {k}x{k}" for k in range(50) for pair in pairs for line in pair]
+    alone = fuzzy_lines.Lines(pa.array(["\n".join(pair) for pair in pairs]))
+    among = fuzzy_lines.Lines(pa.array(["\n".join(pair) for pair in pairs] + more))
+    keys = [sorted(zip(*(x.tolist() for x in t.band_keys(np.arange(len(t.some)) < 80)), strict=True)) for t in (alone, among)]
+    assert keys[0] == keys[1] and keys[0]
