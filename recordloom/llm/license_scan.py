@@ -1,12 +1,14 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-A paragraph is a line of a text. Its features are hashed word one- to three-grams, without case and
-punctuation; a sparse logistic regression gives each licence family and ``unknown`` a probability. It
+A paragraph is a run of lines with words; comment marks are no words. Each line of it is classified, and so is
+every stretch of the paragraph, across its lines, that holds many word pairs of a notice: notices are mostly wrapped.
+Stretches of more than STRETCH words are taken in overlapping windows. Features are hashed word one- to three-grams,
+without case and punctuation; a sparse logistic regression gives each licence family and ``unknown`` a probability. It
 is trained here, on the notices below with words left out and other text around them, and on
 paragraphs of a bounded sample of the corpus as ``unknown``. Probabilities are calibrated on held-out
 paragraphs by a temperature, and a family is only predicted above the level that the held-out unknown
-ones stay under. A prediction counts if the paragraph also holds most word pairs of a notice of that
-family.
+ones stay under. A prediction counts if the line or stretch also holds most word pairs of a notice of that
+family. A stretch that overlaps a line that counts is the same notice; of overlapping stretches the best counts.
 
 Defined results: a null or empty text has no paragraph; lines without a word are none; repeated rows
 get equal results; an empty table gives no rows; other columns are not read.
@@ -97,8 +99,15 @@ GRAMS = 3
 TRAIN_DOCUMENTS = 3_000
 #: Characters of such a paragraph, at most.
 TRAIN_LENGTH = 10_000
-#: Share of a notice's word pairs that a paragraph has to hold.
+#: Share of a notice's word pairs that a line or stretch has to hold.
 CONFIRMED = 0.75
+#: Share from which a stretch is classified; lower, as words here may have marks that are not ASCII.
+SUSPECTED = 0.5
+#: Most words between the word pairs of a stretch, tight and wide.
+GAPS = (3, 12)
+#: Words of a window of a long stretch, and from one window to the next; a notice and such a step fit into a window.
+STRETCH = 48
+STEP = 12
 
 _PLAIN = np.arange(256, dtype=np.uint8)
 for _code in range(128):
@@ -106,7 +115,7 @@ for _code in range(128):
         _PLAIN[_code] = 32
 
 
-def _paragraphs(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _lines(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each line of the texts starts (and the last ends), and the text it belongs to."""
     breaks = np.flatnonzero(data == 10) + 1
     starts = np.union1d(at[:-1], breaks)
@@ -173,6 +182,100 @@ def confirmed(family: str, paragraph: str) -> bool:
     return any(len(pairs & notice) >= CONFIRMED * len(notice) for notice in _PAIRS[family])
 
 
+def _of_notice(line: str) -> bool:
+    """Whether the line may be one of a wrapped notice: its word pairs are mostly those of one."""
+    pairs = word_pairs(line)
+    return any(len(pairs & n) >= max(2, SUSPECTED * len(pairs)) for notices in _PAIRS.values() for n in notices)
+
+
+def _share(family: str, text: str) -> float:
+    """Largest share of the word pairs of a notice of the family that the text holds."""
+    pairs = word_pairs(text)
+    return max(len(pairs & notice) / len(notice) for notice in _PAIRS[family])
+
+
+def _pair_keys() -> tuple[np.ndarray, dict[int, list[int]], list[int]]:
+    """Sorted keys of the word pairs of all notices, the notices of each key, and the pairs of each notice."""
+    held: dict[int, list[int]] = {}
+    sizes = []
+    for k, notice in enumerate(n for notices in NOTICES.values() for n in notices):
+        data, at = text_buffer(pa.array([notice]))
+        keys = set(Words(_PLAIN[data], at, lower=True).windows(2)[1].tolist())
+        sizes.append(len(keys))
+        for key in keys:
+            held.setdefault(key, []).append(k)
+    return np.array(sorted(held), dtype=np.uint64), held, sizes
+
+
+_KEYS, _NOTICES_OF, _SIZES = _pair_keys()
+
+
+def stretches(data: np.ndarray, lines: np.ndarray, owner: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Paragraphs of the texts (the text each belongs to), and (text, start, end) of stretches that may be a notice."""
+    some = counts > 0
+    opens = some.copy()
+    opens[1:] &= ~some[:-1] | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(opens)
+    if not len(first):
+        return owner[first], []
+    words = Words(_PLAIN[data], np.append(lines[first], len(data)), lower=True)
+    start, key = words.windows(2)
+    hit = np.isin(key, _KEYS)
+    at, key, row = start[hit], key[hit], words.row[start[hit]]
+    found = set()
+    for gap in GAPS:
+        ends = np.flatnonzero(np.append((np.diff(at) > gap) | (np.diff(row) != 0), True)) if len(at) else np.zeros(0, np.int64)
+        begins = np.append(0, ends[:-1] + 1) if len(ends) else ends
+        for i, j in zip(begins.tolist(), ends.tolist(), strict=True):
+            if j - i < 2:
+                continue
+            for a, b in _windows(at, i, j):
+                if _suspected(key[a : b + 1].tolist()):
+                    found.add((int(owner[first[row[a]]]), int(words.start[at[a]]), int(words.end[at[b] + 1])))
+    return owner[first], sorted(found)
+
+
+def _windows(at: np.ndarray, i: int, j: int) -> Iterator[tuple[int, int]]:
+    """Ranges of the hits ``i`` to ``j``: all of them, or those of each window of a long stretch."""
+    if at[j] - at[i] < STRETCH:
+        yield i, j
+        return
+    for word in range(int(at[i]), int(at[j]), STEP):
+        a, b = np.searchsorted(at[i : j + 1], (word, word + STRETCH)) + i
+        if b - a > 2:
+            yield int(a), int(b) - 1
+
+
+def _suspected(keys: list[int]) -> bool:
+    held: dict[int, int] = {}
+    for key in set(keys):
+        for k in _NOTICES_OF[key]:
+            held[k] = held.get(k, 0) + 1
+    return any(n >= SUSPECTED * _SIZES[k] for k, n in held.items())
+
+
+def _wrapped(model: Classifier, raw: bytes, spots: list[tuple[int, int, int]], taken: list[list[tuple[int, int]]]) -> list[tuple]:
+    """(text, start, end, family, probability) of the stretches that count, in bytes; none overlaps another or a taken one."""
+    spots = [(i, a, b) for i, a, b in spots if not any(s < b and a < e for s, e in taken[i])]
+    if not spots:
+        return []
+    texts = [raw[a:b].decode() for _, a, b in spots]
+    data, at = text_buffer(pa.array(texts))
+    family, score = model.predict(*features(data, at))
+    good = []
+    for k in np.flatnonzero(family).tolist():
+        name = FAMILIES[family[k]]
+        if confirmed(name, texts[k]):
+            i, a, b = spots[k]
+            good.append((-_share(name, texts[k]), -float(score[k]), b - a, i, a, b, name))
+    out: list[tuple] = []
+    for _, minus, _, i, a, b, name in sorted(good):
+        if not any(s < b and a < e for s, e in taken[i]):
+            taken[i].append((a, b))
+            out.append((i, a, b, name, -minus))
+    return out
+
+
 def _examples(plain: list[str]) -> tuple[list[str], list[int]]:
     """Notices with words left out and text around them, and the plain paragraphs as unknown."""
     texts, labels = [], []
@@ -188,7 +291,7 @@ def _examples(plain: list[str]) -> tuple[list[str], list[int]]:
                     words = [f"Copyright {1990 + k} The Authors."] + words
                 texts.append(" ".join(words))
                 labels.append(number)
-    fresh = [p for p in plain if not any(confirmed(f, p) for f in NOTICES)]
+    fresh = [p for p in plain if not any(confirmed(f, p) for f in NOTICES) and not _of_notice(p)]
     return texts + fresh, labels + [0] * len(fresh)
 
 
@@ -245,11 +348,13 @@ def _scan(model: Classifier):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             data, at = text_buffer(block.column(1))
-            lines, owner = _paragraphs(data, at)
+            lines, owner = _lines(data, at)
             slots, counts = features(data, lines)
             family, score = model.predict(slots, counts)
-            paragraphs = np.bincount(owner[counts > 0], minlength=block.num_rows)
+            of, spots = stretches(data, lines, owner, counts)
+            paragraphs = np.bincount(of, minlength=block.num_rows)
             raw = data.tobytes()
+            taken: list[list[tuple[int, int]]] = [[] for _ in range(block.num_rows)]
             found: list[list[tuple]] = [[] for _ in range(block.num_rows)]
             for k in np.flatnonzero(family).tolist():
                 i, name = int(owner[k]), FAMILIES[family[k]]
@@ -257,6 +362,10 @@ def _scan(model: Classifier):
                 if confirmed(name, text):
                     start = len(raw[at[i] : lines[k]].decode())
                     found[i].append((start, name, start + len(text.rstrip("\n")), float(score[k])))
+                    taken[i].append((int(lines[k]), int(lines[k + 1])))
+            for i, a, b, name, p in _wrapped(model, raw, spots, taken):
+                start = len(raw[at[i] : a].decode())
+                found[i].append((start, name, start + len(raw[a:b].decode()), p))
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column(0),

@@ -110,3 +110,51 @@ def test_licences(spark, hard, small, empty):
     assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in plain.HARD)
     assert all(r.families == "" for r in rows)
     assert license_scan.scan_licences(empty).collect() == []
+
+
+WRAPPED = {
+    "MIT": """MIT Licence text
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "GPL": """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,""",
+    "BSD": """ * Copyright (c) 2001, The Authors
+ *
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met:
+ * 1. Redistributions of source code must retain the above copyright""",
+    "Apache-2.0": """// Licensed under the
+// Apache License, Version 2.0 (the "License"); you may not use
+// this file except in compliance with
+// the License. You may obtain a copy of the License at""",
+    "LGPL": """   This library is free software; you can redistribute it and/or
+   modify it under the terms of the GNU Lesser General Public
+   License as published by the Free Software Foundation; either
+   version 2.1 of the License, or (at your option) any later version.""",
+}
+
+
+def test_wrapped_notices(spark, small):
+    docs, pairs = small
+    plain_text = next(t for _, t in pairs if t and "icens" not in t and len(t) > 500)
+    words = " ".join(plain_text.split()[:60])
+    rows = [(-1 - k, notice) for k, notice in enumerate(WRAPPED.values())]
+    rows += [(-11 - k, f"{words}\n{notice}\n{words}") for k, notice in enumerate(WRAPPED.values())]
+    rows.append((-30, "you may use the software and the files of this work\nunder the terms of the house, to any person in the world"))
+    own = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r.doc_id: r for r in license_scan.scan_licences(docs.select("doc_id", "text").unionByName(own)).collect() if r.doc_id < 0}
+    for k, family in enumerate(WRAPPED):
+        for i in (-1 - k, -11 - k):
+            assert (got[i].n_licences, got[i].families) == (1, family), (i, got[i])
+            _, a, b = got[i].spans.split(":")
+            assert license_scan.confirmed(family, texts[i][int(a) : int(b)])
+    assert got[-30].n_licences == 0 and got[-1].n_paragraphs == 2 and got[-2].n_paragraphs == 2
