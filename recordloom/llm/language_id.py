@@ -35,6 +35,12 @@ LONGEST_GRAM = 5
 #: Added to the largest score of the model where a language lacks an entry, in natural logarithms.
 PENALTY = 2.0
 REMEMBERED = 120_000
+#: Absolute fit: quantile of the share of known words, words of a document that counts for it, and chance of a wrong rejection.
+LOW = 0.01
+EVIDENCE = 20
+CHANCE = 0.001
+#: Words from which the share required no longer grows.
+MANY = 200
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -114,18 +120,25 @@ class Predictor:
     def reset(self) -> None:
         self.places: dict[str, int] = {}
         self.rows = np.zeros((1024, len(self.model.languages)))
+        self.whole = np.zeros(self.rows.shape, dtype=bool)
 
     def _place(self, word: str) -> int:
         place = self.places[word] = len(self.places)
         if place == len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.whole = np.concatenate([self.whole, np.zeros_like(self.whole)])
         self.rows[place] = self.model.score_word(word)
+        self.whole[place] = word in self.model.tables[0] and self.rows[place] > self.model.floor
         return place
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        return self.look(text)[:2]
+
+    def look(self, text: str | None) -> tuple[str, float, int, int]:
+        """Language, score, number of words, and of those the model knows as words of that language."""
         words = WORD.findall(text.lower()) if text else []
         if not self.model.languages or not any(c.isalpha() for w in words for c in w):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, len(words), 0
         if len(self.places) > REMEMBERED:
             self.reset()
         known, place = self.places.get, self._place
@@ -133,7 +146,7 @@ class Predictor:
         score = self.rows[at].mean(axis=0)
         best = int(score.argmax())  # the first of equals
         odds = np.exp(np.clip((score - score[best]) * min(len(words), 20), -60, 0))
-        return self.model.languages[best], float(1 / odds.sum())
+        return self.model.languages[best], float(1 / odds.sum()), len(words), int(self.whole[at, best].sum())
 
 
 def fit(labelled: DataFrame, lang_col: str, id_col: str, text_col: str, per_language: int = 2_000, entries: int = 200_000) -> Model:
@@ -174,22 +187,51 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def predict_column(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_lang_pred`` and ``_score``, for decisions on whole rows. No shuffle."""
+    """``docs`` with ``_lang_pred``, ``_score``, ``_words`` and ``_known``, for decisions on whole rows. No shuffle."""
 
-    @F.pandas_udf("lang string, score double")
+    @F.pandas_udf("lang string, score double, words long, known long")
     def look(texts):
         import pandas as pd
 
         predictor = Predictor(model)
-        found = [predictor.predict(t) for t in texts]
-        return pd.DataFrame({"lang": [x for x, _ in found], "score": [y for _, y in found]})
+        return pd.DataFrame([predictor.look(t) for t in texts], columns=["lang", "score", "words", "known"])
 
     found = look(F.col(f"`{text_col}`").cast("string"))
     return docs.withColumn("_found", found).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_found.lang").alias("_lang_pred"), F.col("_found.score").alias("_score")
+        *[F.col(f"`{c}`") for c in docs.columns], F.col("_found.lang").alias("_lang_pred"), F.col("_found.score").alias("_score"),
+        F.col("_found.words").alias("_words"), F.col("_found.known").alias("_known"),
     )
 
 
+def known_shares(labelled: DataFrame, model: Model, lang_col: str, text_col: str, per_language: int = 2_000) -> dict[str, float]:
+    """Per language the share of known words that all but LOW of its documents of EVIDENCE words or more reach.
+
+    ``labelled`` are documents the model has not learned from; about ``per_language`` of each language are read.
+    """
+    texts = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
+    texts = texts.filter(F.col("lang").isin(model.languages))
+    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
+    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
+    chosen = F.lit(False)
+    for lang, n in sizes.items():
+        chosen = chosen | ((F.col("lang") == lang) & (draw < math.ceil(1_000_000 * min(1.0, per_language / n))))
+    found = predict_column(texts.filter(chosen), model).filter((F.col("_lang_pred") == F.col("lang")) & (F.col("_words") >= EVIDENCE))
+    shares = found.groupBy("lang").agg(F.percentile(F.col("_known") / F.col("_words"), F.lit(LOW)).alias("share"))
+    return {r["lang"]: r["share"] for r in shares.collect()}
+
+
+def least_known(words: int, share: float) -> int:
+    """Fewest known words of a text of a language of which at least ``share`` of the words are known: fewer have a chance below CHANCE."""
+    total, term = 0.0, 0.0
+    for k in range(words + 1):
+        term = math.exp(math.lgamma(words + 1) - math.lgamma(k + 1) - math.lgamma(words - k + 1)
+                        + k * math.log(max(share, 1e-9)) + (words - k) * math.log(max(1 - share, 1e-9)))
+        total += term
+        if total >= CHANCE:
+            return k
+    return words
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Documents that no model may learn from: crc32 of the id as text, modulo five, is zero."""
     return F.coalesce(F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % 5 == 0, F.lit(False))

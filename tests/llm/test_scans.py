@@ -158,3 +158,29 @@ def test_wrapped_notices(spark, small):
             _, a, b = got[i].spans.split(":")
             assert license_scan.confirmed(family, texts[i][int(a) : int(b)])
     assert got[-30].n_licences == 0 and got[-1].n_paragraphs == 2 and got[-2].n_paragraphs == 2
+
+
+FOREIGN = {
+    "Italian": "Il gatto dorme sempre sulla vecchia sedia della cucina mentre fuori piove forte e nessuno vuole uscire oggi",
+    "Polish": "Wczoraj wieczorem poszliśmy wszyscy razem nad jezioro, ponieważ pogoda była piękna i woda bardzo ciepła",
+    "Dutch": "Gisteren zijn wij met onze buren naar het strand gegaan omdat het weer eindelijk warm genoeg was",
+    "Turkish": "Bugün hava çok güzel olduğu için çocuklar bahçede oynuyor ve anneleri onlara yemek hazırlıyor",
+    "Finnish": "Eilen illalla kävelimme yhdessä järven rannalla koska ilma oli kaunis ja vesi vielä lämmintä",
+}
+
+
+def test_foreign_documents_are_rejected_and_short_clean_ones_stay(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    clean = [r for r in docs.filter(~language_id.held_out()).filter("lang IS NOT NULL AND length(text) > 200").limit(60).collect()]
+    rows = [(-1 - k, t, None, "own", len(t)) for k, t in enumerate(FOREIGN.values())]
+    rows += [(-100 - k, " ".join(r.text.split()[: 4 + k % 9]), None, "own", 0) for k, r in enumerate(clean)]
+    own = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.select("doc_id", "text", "lang", "source", "n_chars").unionByName(own)
+    stays = corpus_pipeline.identify_language(spark, both, "")
+    seen = {r.doc_id for r in stays.select("doc_id").collect()}
+    assert not [k for k in range(-len(FOREIGN), 0) if k in seen]
+    assert {i for i, *_ in rows[len(FOREIGN):]} <= seen
+    known = {r.doc_id for r in docs.filter("lang IS NOT NULL").select("doc_id").collect()}
+    assert len(known & seen) >= 0.995 * len(known)
