@@ -112,3 +112,17 @@ def test_atom_creators_and_broken_items(spark, tmp_path):
     assert rows["http://x/2"].author == "Bo" and set(rows) == {"http://y/1", "http://x/1", "http://x/2"}
     broken = unreadable_items(spark, str(tmp_path)).collect()
     assert {r.feed_url.rsplit("/", 1)[1] for r in broken} == {"c.xml"} and all(r.error.startswith("record: not well-formed") for r in broken)
+
+
+def test_a_changed_text_of_equal_length_changes_its_file_alone(spark, tmp_path):
+    from workload.registry import QUERIES
+
+    import workload.ingest_queries  # noqa: F401
+
+    seen = []
+    for k, text in enumerate(("a\nb\\n", "a\\n\nb")):
+        rows = [(1, text, None, "s", 5), (2, "other", "en", "s", 5), (3, None, "en", "s", 0)]
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        seen.append({r.file: r.fingerprint for r in QUERIES["S9_text_fingerprints"](spark, f"{tmp_path}/{k}").collect()})
+    assert seen[0].keys() == {"0", "1", "2", "whole"}
+    assert {f for f in seen[0] if seen[0][f] != seen[1][f]} == {"1", "whole"}

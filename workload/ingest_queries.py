@@ -136,6 +136,32 @@ def file_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return whole.join(held, F.col("lines") == F.col("held")).select("lines", "fingerprint")
 
 
+@query(
+    "S9_text_fingerprints",
+    r"""WITH h AS (SELECT coalesce(doc_id, 0) % 3 AS file, md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''),
+        replace(replace(replace(coalesce(text, ''), '\', '\\'), chr(10), '\n'), chr(13), '\r'),
+        coalesce(lang, ''), coalesce(source, ''), coalesce(CAST(n_chars AS VARCHAR), ''))) AS h FROM documents),
+    s AS (SELECT coalesce(CAST(file AS VARCHAR), 'whole') AS file, count(*) AS lines, sum(CAST('0x' || h[1:8] AS BIGINT)) AS w0,
+        sum(CAST('0x' || h[9:16] AS BIGINT)) AS w1, sum(CAST('0x' || h[17:24] AS BIGINT)) AS w2,
+        sum(CAST('0x' || h[25:32] AS BIGINT)) AS w3 FROM h GROUP BY GROUPING SETS ((file), ()))
+    SELECT file, lines, md5(concat_ws('|', lines, w0, w1, w2, w3)) AS fingerprint FROM s""",
+)
+def text_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of a table with its whole texts, landed in a file per remainder of the id: the digest of each file, and of all lines."""
+    path = scratch_path(spark, "texts")
+    rows = table(spark, sf, "documents")
+    text = F.coalesce("text", F.lit(""))
+    for sign, spelled in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(sign), F.lit(spelled))
+    others = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "source", "n_chars")}
+    value = F.concat_ws("|", others["doc_id"], text, others["lang"], others["source"], others["n_chars"]).alias("value")
+    landed = rows.select(value, (F.coalesce("doc_id", F.lit(0)) % 3).alias("file"))
+    landed.repartition(3, "file").write.partitionBy("file").text(path)
+    per_file = csv_feed.content_fingerprints(spark, path).withColumn("file", F.regexp_extract("file", r"/file=(\d+)/", 1))
+    whole = csv_feed.line_digest(spark.read.text(path).select(F.md5("value").alias("h")))
+    return per_file.unionByName(whole.select(F.lit("whole").alias("file"), "lines", "fingerprint"))
+
+
 @query(
     "S7_feed_counts",
     S.BOTH_UNIFIED + ", " + S.PRODUCTS_CHECKED[len("WITH "):] + ", " + S.POSTS_CHECKED[len("WITH "):] + """
