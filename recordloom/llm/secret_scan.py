@@ -426,9 +426,15 @@ def field_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int]]]
 
 
 def all_spans(base: list[Span], found: list[tuple[int, int]]) -> list[Span]:
-    """Base spans, and those of the field that touch none of them."""
-    extra = [(a, 3, b) for a, b in found if not any(s < b and a < e for s, _, e in base)]
-    return sorted(base + extra)
+    """Base spans, and those of the field that base spans do not cover fully."""
+    return sorted(base + [(a, 3, b) for a, b in found if not _covered(sorted(base), a, b)])
+
+
+def _covered(base: list[Span], start: int, end: int) -> bool:
+    for s, _, e in base:
+        if s <= start < e:
+            start = e
+    return start >= end
 
 
 def redacted(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:

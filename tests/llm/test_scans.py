@@ -184,3 +184,13 @@ def test_foreign_documents_are_rejected_and_short_clean_ones_stay(spark):
     assert {i for i, *_ in rows[len(FOREIGN):]} <= seen
     known = {r.doc_id for r in docs.filter("lang IS NOT NULL").select("doc_id").collect()}
     assert len(known & seen) >= 0.995 * len(known)
+
+
+def test_a_field_span_that_reaches_beyond_the_base_spans_stays():
+    text = "ghp_0123456789abcdef0123XYZ9kQ and 0123456789abcdef0"
+    base = secret_scan.base_spans(text)
+    spans = secret_scan.all_spans(base, [(0, 30), (35, 52)])
+    assert (0, 3, 30) in spans and not [s for s in spans if s[1] == 3 and s[0] == 35]
+    assert secret_scan.redacted(text, spans) == "[SECRET] and [SECRET]"
+    assert secret_scan.all_spans([(0, 0, 4), (4, 1, 9)], [(1, 8), (8, 10)]) == [(0, 0, 4), (4, 1, 9), (8, 3, 10)]
+    assert secret_scan.redacted("abcdefghijkl", secret_scan.all_spans([(2, 0, 5)], [(4, 8)])) == "ab[SECRET]ijkl"
