@@ -16,6 +16,7 @@ from recordloom.llm import (
     quality_rules,
     secret_scan,
     sentencepiece_codec,
+    sharding,
     substring_dedup,
 )
 from recordloom.llm.common import documents
@@ -156,3 +157,37 @@ def sentencepiece_file(name: str = "piece_bpe_32k.model") -> bytes:
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(documents(spark, sf_dir), sentencepiece_file(), with_ids=False)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE t AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM range(256) r(i)
+  )
+), d AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS body FROM documents
+), b AS (
+  SELECT row, doc_id, strlen(body) + 1 AS size, list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes
+  FROM d
+), c AS MATERIALIZED (
+  SELECT row, doc_id, size::BIGINT AS size,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda h, x: xor(h >> 8, t.crc[(xor(h, x) & 255) + 1])), 4294967295)::BIGINT AS text_crc32,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT::UHUGEINT AS state
+  FROM b, t
+), j AS (
+  SELECT row, state, 0::BIGINT AS last, 0::BIGINT AS nxt FROM c
+  UNION ALL
+  SELECT row, moved, nxt, floor((nxt + 1) * (2147483648.0::DOUBLE / ((moved // 8589934592)::DOUBLE + 1)))::BIGINT
+  FROM (SELECT row, nxt, (state * 2862933555777941757::UHUGEINT + 1) % 18446744073709551616::UHUGEINT AS moved FROM j WHERE nxt < 9)
+), s AS (
+  SELECT row, max(last) FILTER (last < 8)::INT AS shard, max(last)::INT AS grown_shard FROM j GROUP BY row
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM c JOIN s USING (row)
+"""
+
+
+@query("op13_jump_sharding", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(documents(spark, sf_dir))
