@@ -13,11 +13,13 @@ from recordloom.llm import (
     license_scan,
     near_dup,
     packing,
+    prefix_trie,
     quality_rules,
     secret_scan,
     sentencepiece_codec,
     sharding,
     substring_dedup,
+    vector_codes,
 )
 from recordloom.llm.common import documents
 
@@ -191,3 +193,87 @@ FROM c JOIN s USING (row)
 @query("op13_jump_sharding", OP13_SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
+
+
+def _lloyd_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd rounds one after another over (row, part, place, x) and (part, entry, place, x)."""
+    assign = """a{k} AS MATERIALIZED (
+  SELECT row, part, min(d * 16 + entry) % 16 AS entry, min(d * 16 + entry) // 16 AS d FROM (
+    SELECT row, part, entry, sum((p.x - c.x) * (p.x - c.x)) AS d FROM p JOIN c{k} c USING (part, place) GROUP BY ALL
+  ) GROUP BY row, part
+)"""
+    update = """c{next} AS MATERIALIZED (
+  SELECT part, entry, place, coalesce((s - ((s % n) + n) % n) // n, x) AS x FROM c{k} LEFT JOIN (
+    SELECT part, entry, place, sum(x) AS s, count(*) AS n FROM p JOIN a{k} USING (row, part) GROUP BY ALL
+  ) USING (part, entry, place)
+)"""
+    steps = [assign.format(k=k) + ",\n" + update.format(k=k, next=k + 1) for k in range(rounds)]
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT row, (i - 1) * 8 // len(v) AS part, (i - 1) % (len(v) // 8) AS place, v[i] AS x
+  FROM (SELECT row, v, unnest(range(1, len(v) + 1)) AS i FROM k)
+), c0 AS MATERIALIZED (
+  SELECT part, row - 1 AS entry, place, x FROM p WHERE row <= 16
+), {", ".join(steps)}, {assign.format(k=rounds)}, e AS (
+  SELECT row, string_agg(printf('%02x', entry::INT), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY row
+), t AS (
+  SELECT label, sum(error)::BIGINT AS label_error FROM e JOIN k USING (row) GROUP BY label
+)
+SELECT vec_id, code, error, label_error,
+  (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY part, entry, place)) FROM c{rounds}) AS codebooks_sha256
+FROM e JOIN k USING (row) JOIN t ON t.label IS NOT DISTINCT FROM k.label
+"""
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+OP11_SQL = r"""
+WITH t AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384)) AS c FROM range(256) r(i)
+  )
+), o AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS n, digest, words FROM (
+    SELECT conv_id, turn, coalesce(role, '') AS role, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest,
+      len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+    FROM conversations WHERE conv_id IS NOT NULL
+  )
+), h AS MATERIALIZED (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda h, x: xor(h >> 8, t.crc[(xor(h, x) & 255) + 1])), 4294967295)::BIGINT % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM o), t
+), r AS (
+  SELECT h.conv_id, false AS own, n, digest, words FROM h JOIN o ON o.conv_id = base AND n <= h
+  UNION ALL SELECT conv_id, true, n, digest, words FROM h JOIN o USING (conv_id) WHERE n > h
+), p AS MATERIALIZED (
+  SELECT conv_id, coalesce(path, []) AS path, coalesce(words, []) AS words FROM h LEFT JOIN (
+    SELECT conv_id, list(digest ORDER BY own, n) AS path, list(words ORDER BY own, n) AS words FROM r GROUP BY conv_id
+  ) USING (conv_id)
+), m AS (
+  SELECT conv_id, path, words, unnest(range(len(path) + 1)) AS depth FROM p
+), n AS MATERIALIZED (
+  SELECT array_to_string(path[1:depth], '') AS key, depth, any_value(path[1:depth]) AS path, any_value(coalesce(words[depth], 0)) AS words, min(conv_id) AS conv_id,
+    count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM m GROUP BY array_to_string(path[1:depth], ''), depth
+), c AS MATERIALIZED (
+  SELECT array_to_string(path[1:depth - 1], '') AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1
+), s AS (
+  SELECT array_to_string(path[1:up], '') AS key, sum((n_convs - 1) * words)::BIGINT AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT path, n_convs, words, coalesce(n_children, 0) AS n_children, unnest(range(depth + 1)) AS up FROM n LEFT JOIN c USING (key))
+  GROUP BY 1
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN s USING (key) LEFT JOIN c USING (key) LEFT JOIN n u ON n.depth > 0 AND u.key = array_to_string(n.path[1:n.depth - 1], '')
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
