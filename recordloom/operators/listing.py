@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions.cleaning import strip_space
-from recordloom.operators.ordered import with_position
 
 # Page bounds.
 MAX_LIMIT = 100
@@ -57,6 +59,12 @@ def check_page(limit: int, offset: int) -> None:
         raise ValueError(f"offset must not be negative: {offset}")
 
 
+#: Stretches of a histogram, and rows that are sorted instead of divided further.
+STRETCHES, SORTED = 1024, 4096
+#: Bytes of a text that are compared as one number.
+_BYTES = 7
+
+
 def page(
     df: DataFrame,
     limit: int = DEFAULT_LIMIT,
@@ -64,19 +72,94 @@ def page(
     order: str = "ingested_at",
     tiebreak: str = "canonical_id",
 ) -> DataFrame:
-    """Newest first, with one plan for every depth.
+    """Newest first, with one plan for every depth and no sort of the table.
 
-    Only the keys are sorted and numbered, over all tasks; the page is a range of positions, and its
-    rows are then fetched by key. ``tiebreak`` must be unique for the page to be well defined.
+    A histogram of the order column says which stretches of time the page falls into; a stretch that holds many rows is divided
+    again, down to one instant, whose rows are then divided by the tiebreak. The page is read through range filters that reach
+    the files, so row groups outside are skipped, and only the rows of its stretches are sorted. The driver sees at most
+    ``STRETCHES`` counts at a time. NULL order values come last. ``tiebreak`` must be unique for the page to be well defined.
     """
     check_page(limit, offset)
-    # NULL order values come last.
-    age = F.coalesce(-F.unix_micros(F.col(order).cast("timestamp")), F.lit(2**63 - 1))
-    keys = df.select(age.alias("_age"), F.col(tiebreak).alias("_tie"))
-    placed = with_position(keys, ["_age", "_tie"], "_at")
-    # At most MAX_LIMIT rows, so this side is small whatever the table.
-    wanted = F.broadcast(placed.filter((F.col("_at") >= offset) & (F.col("_at") < offset + limit)))
-    return df.join(wanted, (F.col(tiebreak) == F.col("_tie")) & (age == F.col("_age"))).orderBy("_at").drop("_age", "_tie", "_at")
+    known, unknown = df.filter(F.col(order).isNotNull()), df.filter(F.col(order).isNull())
+    age, tie = _age_axis(df, order), _tie_axes(df, tiebreak)
+    whole = known.agg(F.count("*").alias("n"), F.min(age.value).alias("low"), F.max(age.value).alias("high")).first()
+    found = []
+    if offset < whole.n:
+        span = (whole.low, whole.high)
+        found += _segments(known, lambda k: tie(k - 1) if k else age, 0, offset, min(limit, whole.n - offset), whole.n, span)
+    behind = offset + limit - whole.n
+    if behind > 0:
+        found += _segments(unknown, tie, 0, max(0, offset - whole.n), min(limit, behind), unknown.count())
+    newest = [F.desc_nulls_last(order), F.asc(tiebreak)]
+    parts = [rows.orderBy(*newest).offset(skip).limit(n) for rows, skip, n in found]
+    return parts[0] if len(parts) == 1 else reduce(DataFrame.unionByName, parts).orderBy(*newest)
+
+
+@dataclass(frozen=True)
+class Axis:
+    """A whole number that rises along the listing, and the filter for a stretch of it."""
+
+    value: Column
+    between: Callable[[DataFrame, int, int], DataFrame]
+
+
+def _age_axis(df: DataFrame, order: str) -> Axis:
+    kind = df.schema[order].dataType
+
+    def between(rows: DataFrame, low: int, high: int) -> DataFrame:
+        # Constants of the column's own type, so that the condition reaches the files.
+        new, old = (F.timestamp_micros(F.lit(-x)).cast(kind) for x in (low, high))
+        return rows.filter((F.col(order) >= old) & (F.col(order) <= new))
+
+    return Axis(-F.unix_micros(F.col(order).cast("timestamp")), between)
+
+
+def _tie_axes(rows: DataFrame, tiebreak: str) -> Callable[[int], Axis | None]:
+    """The k-th axis of the tiebreak: the number itself, or the k-th stretch of bytes of a text."""
+    kind = rows.schema[tiebreak].dataType
+
+    def axis(k: int) -> Axis | None:
+        if isinstance(kind, T.StringType):
+            digits = F.hex(F.substring(F.coalesce(tiebreak, F.lit("")).cast("binary"), k * _BYTES + 1, _BYTES))
+            value = F.conv(F.rpad(digits, 2 * _BYTES, "0"), 16, 10).cast("bigint")
+        elif isinstance(kind, T.IntegralType) and not k:
+            value = F.coalesce(F.col(tiebreak).cast("bigint"), F.lit(-(1 << 63)))
+        else:
+            return None
+        return Axis(value, lambda df, low, high: df.filter((value >= low) & (value <= high)))
+
+    return axis
+
+
+def _segments(
+    rows: DataFrame, axes: Callable[[int], Axis | None], k: int, skip: int, limit: int, held: int, span: tuple[int, int] | None = None
+) -> list[tuple[DataFrame, int, int]]:
+    """Parts of the page in order: rows of which few have to be sorted, how many to skip and how many to take."""
+    axis = axes(k) if held > SORTED else None
+    if axis is None:
+        return [(rows, skip, limit)]
+    low, high = span or tuple(rows.agg(F.min(axis.value), F.max(axis.value)).first())
+    if low is None or low == high:
+        ended = low is None or (low == 0 and k > 0)  # no byte left that differs
+        return [(rows, skip, limit)] if ended else _segments(rows, axes, k + 1, skip, limit, held)
+    width = -(-(high - low + 1) // STRETCHES)
+    distance = axis.value.cast("decimal(20,0)") - low if high - low >= 1 << 63 else axis.value - low
+    stretch = F.call_function("div", distance, F.lit(width))
+    reached, before = [], 0
+    for at, n in sorted(map(tuple, rows.groupBy(stretch.alias("stretch")).count().collect())):
+        first, last = max(skip - before, 0), min(skip + limit - before, n)
+        if first < last:
+            reached.append((at, n, first, last - first))
+        before += n
+    # Stretches between the first and the last are in the page whole; only those two may hold many rows.
+    apart = len(reached) > 1 and sum(r[1] for r in reached) > SORTED
+    parts = []
+    for group in [reached[:1], reached[1:-1], reached[-1:]] if apart else [reached]:
+        if group:
+            edges = low + group[0][0] * width, min(high, low + (group[-1][0] + 1) * width - 1)
+            inside = axis.between(rows, *edges)
+            parts += _segments(inside, axes, k, group[0][2], sum(r[3] for r in group), sum(r[1] for r in group), edges)
+    return parts or [(rows.limit(0), 0, limit)]
 
 
 def total(df: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
-"""Keyed upserts as one associative aggregation.
+"""Keyed upserts: find the winning writes first, then fetch their columns.
 
 Each row carries the sequence at which it was written, twice: ``_first_seq`` decides the
 first-write-wins columns, ``_last_seq`` the last-write-wins ones. ``reduce_by_key`` keeps both, so
 its output can be reduced again with more rows; the result depends neither on arrival order nor on
 how the input was cut into batches, and replaying a batch changes nothing.
 
-``max_by``/``min_by`` aggregate partially before the shuffle: a key that holds a third of the table
-leaves each map task as a single row.
+A sequence is one or two numbers of fixed width, so the winners come out of hash aggregations over keys and sequences
+alone: no sort, no wide column in a shuffle, and a key that holds a third of the table leaves each map task as a single row.
+Columns of fixed width travel along; all others are then fetched by (key, sequence) for the winners only.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FIRST_SEQ = "_first_seq"
 LAST_SEQ = "_last_seq"
@@ -38,19 +40,25 @@ LAST_WRITE = (
 FIRST_WRITE = ("external_created_at", "ingested_at")
 
 
+#: Bits of the parts of a write's major number; together they fit a DECIMAL(38, 0).
+TIME_BITS, ORDER_BITS, RUN_BITS, BATCH_BITS = 54, 8, 21, 42
+
+
 def sequence(
     run_started_at: Column, source_order: Column, batch_no: Column, row_pos: Column, run_id: Column | None = None
 ) -> Column:
-    """The total order of writes; rows of equal sequence must not exist. ``row_pos`` is any value with
-    an order, of one type within a table; ``run_id`` tells runs of the same instant apart."""
-    run = [] if run_id is None else [run_id.cast("string").alias("run_id")]
-    return F.struct(
-        run_started_at.cast("timestamp").alias("run_started_at"),
-        source_order.cast("int").alias("source_order"),
-        *run,
-        batch_no.cast("bigint").alias("batch_no"),
-        row_pos.alias("row_pos"),
-    )
+    """The total order of writes as two numbers: (run start, feed, run, batch) packed into the major one, the place in the batch
+    as the minor one. Rows of equal sequence must not exist within a key. Runs of one feed that start in the same microsecond
+    follow a 21-bit hash of ``run_id``. Batch numbers go from -1 to 2^42 - 2, feed orders to 255."""
+    time = F.unix_micros(run_started_at.cast("timestamp")) + (1 << (TIME_BITS - 1))
+    head = time * (1 << ORDER_BITS) + source_order.cast("bigint")
+    run = F.lit(0).cast("bigint") if run_id is None else F.pmod(F.xxhash64(run_id.cast("string")), F.lit(1 << RUN_BITS))
+    batch = batch_no.cast("bigint") + 1
+    inside = (batch >= 0) & (batch < 1 << BATCH_BITS)
+    tail = F.when(inside, run * (1 << BATCH_BITS) + batch).otherwise(F.raise_error(F.lit("batch number out of range")).cast("bigint"))
+    room = F.lit(str(1 << (RUN_BITS + BATCH_BITS))).cast("decimal(20,0)")
+    major = (head.cast("decimal(20,0)") * room + tail.cast("decimal(20,0)")).cast("decimal(38,0)")
+    return F.struct(major.alias("major"), row_pos.cast("decimal(38,0)").alias("minor"))
 
 
 def versioned(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -58,10 +66,88 @@ def versioned(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumns({FIRST_SEQ: F.col(seq), LAST_SEQ: F.col(seq)}).drop(seq)
 
 
+def _fixed(kind: T.DataType) -> bool:
+    """Whether values of the type have one width, so that an aggregation can update them in place."""
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _parts(kind: T.DataType) -> list[str] | None:
+    """Fields of a sequence of one number (none) or of two; None for any other type."""
+    if isinstance(kind, T.StructType) and len(kind) == 2 and all(_fixed(f.dataType) for f in kind):
+        return kind.names
+    return [] if _fixed(kind) else None
+
+
+def _fetched(rows: DataFrame, winners: DataFrame, keys: Sequence[str], seq: str, wide: Sequence[str], derived: bool) -> DataFrame:
+    """``winners`` with the wide columns of the rows that have their keys and sequence."""
+    if not wide:
+        return winners
+    parts = _parts(rows.schema[seq].dataType) or [""]
+    number = {f"_{n}": F.col(f"{seq}.{p}" if p else seq) for n, p in enumerate(parts)}
+    rows = rows.select(*keys, *wide, *[c.alias(f"_row{n}") for n, c in number.items()])
+    if derived:
+        # Passed on by the optimizer to where the sequences come from: only winners are parsed and mapped once more.
+        wanted = winners.select(*[c.alias(f"_win{n}") for n, c in number.items()])
+        rows = rows.join(wanted, [F.col(f"_row{n}") == F.col(f"_win{n}") for n in number], "left_semi")
+    rows = rows.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col(f"_row{n}") == c for n, c in number.items()]
+    return winners.join(rows, same).select(*winners.columns, *wide)
+
+
 def reduce_by_key(
-    rows: DataFrame, keys: Sequence[str], last: Sequence[str], first: Sequence[str] = ()
+    rows: DataFrame,
+    keys: Sequence[str],
+    last: Sequence[str],
+    first: Sequence[str] = (),
+    written_once: bool = False,
+    derived: bool = False,
 ) -> DataFrame:
-    """One row per key. NULLs are values: a later NULL replaces, an earlier NULL stays."""
+    """One row per key. NULLs are values: a later NULL replaces, an earlier NULL stays.
+
+    ``written_once``: no row is the result of an earlier reduction, so both sequences of a row are equal; winners are found
+    first and fetched then. Rows of earlier reductions are aggregated whole, in one pass: a plan that read them several
+    times would multiply with every reduction it stands on. ``derived``: the rows are computed by a costly plan from cheap
+    sequences, so those that cannot win are filtered out before it.
+    """
+    keys, last, first = list(keys), list(last), list(first)
+    names = [*keys, *last, *first, FIRST_SEQ, LAST_SEQ]
+    parts = _parts(rows.schema[LAST_SEQ].dataType)
+    if parts is None or not written_once:
+        return _reduced_whole(rows, keys, last, first)
+    thin = {c: _fixed(rows.schema[c].dataType) for c in [*last, *first]}
+    thin_last, thin_first = [c for c in last if thin[c]], [c for c in first if thin[c]]
+    if parts:
+        won = _both_ends(rows, keys, parts, thin_last, thin_first)
+    else:
+        won = rows.groupBy(*keys).agg(
+            F.max(LAST_SEQ).alias(LAST_SEQ), F.min(LAST_SEQ).alias(FIRST_SEQ),
+            *[F.max_by(c, LAST_SEQ).alias(c) for c in thin_last], *[F.min_by(c, LAST_SEQ).alias(c) for c in thin_first],
+        )
+    out = _fetched(rows, won, keys, LAST_SEQ, [c for c in last if not thin[c]], derived)
+    out = _fetched(rows, out, keys, FIRST_SEQ, [c for c in first if not thin[c]], derived)
+    return out.select(*names)
+
+
+def _both_ends(rows: DataFrame, keys: list[str], parts: list[str], last: list[str], first: list[str]) -> DataFrame:
+    """Both sequences of rows written once, in one pass."""
+    major, minor = parts
+    split = rows.select(*keys, *dict.fromkeys([*last, *first]), *[F.col(f"{LAST_SEQ}.{p}").alias(n) for p, n in ((major, "_major"), (minor, "_minor"))])
+    inner = split.groupBy(*keys, "_major").agg(
+        F.max("_minor").alias("_late"), F.min("_minor").alias("_early"),
+        *[F.max_by(c, "_minor").alias(c) for c in last], *[F.min_by(c, "_minor").alias(c) for c in first],
+    )
+    outer = inner.groupBy(*keys).agg(
+        F.max("_major").alias("_lm"), F.max_by("_late", "_major").alias("_ln"), F.min("_major").alias("_fm"), F.min_by("_early", "_major").alias("_fn"),
+        *[F.max_by(c, "_major").alias(c) for c in last], *[F.min_by(c, "_major").alias(c) for c in first],
+    )
+    return outer.select(
+        *keys, *last, *first,
+        *[F.struct(F.col(m).alias(major), F.col(n).alias(minor)).alias(s) for m, n, s in (("_fm", "_fn", FIRST_SEQ), ("_lm", "_ln", LAST_SEQ))],
+    )
+
+
+def _reduced_whole(rows: DataFrame, keys: list[str], last: list[str], first: list[str]) -> DataFrame:
+    """For sequences of any other type: one aggregation over whole rows, which sorts."""
     aggs = [F.max(LAST_SEQ).alias(LAST_SEQ), F.min(FIRST_SEQ).alias(FIRST_SEQ)]
     if last:
         aggs.append(F.max_by(F.struct(*last), LAST_SEQ).alias("_l"))
@@ -69,21 +155,30 @@ def reduce_by_key(
         aggs.append(F.min_by(F.struct(*first), FIRST_SEQ).alias("_f"))
     reduced = rows.groupBy(*keys).agg(*aggs)
     return reduced.select(
-        *keys,
-        *[F.col(f"_l.{c}").alias(c) for c in last],
-        *[F.col(f"_f.{c}").alias(c) for c in first],
-        FIRST_SEQ,
-        LAST_SEQ,
+        *keys, *[F.col(f"_l.{c}").alias(c) for c in last], *[F.col(f"_f.{c}").alias(c) for c in first], FIRST_SEQ, LAST_SEQ
     )
 
 
+def latest_rows(rows: DataFrame, keys: Sequence[str], wide: Sequence[str], derived: bool = False) -> DataFrame:
+    """Keys, the columns ``wide`` and the sequence of the row that was written last per key."""
+    once = rows.withColumn(FIRST_SEQ, F.col(LAST_SEQ))
+    return reduce_by_key(once, keys, wide, written_once=True, derived=derived).drop(FIRST_SEQ)
+
+
 def _stacked(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if current is None else current.unionByName(batch)
 
 
+def _upserted(
+    batch: DataFrame, current: DataFrame | None, keys: Sequence[str], last: Sequence[str], first: Sequence[str]
+) -> DataFrame:
+    """A computed batch, alone or on top of an earlier reduction."""
+    return reduce_by_key(_stacked(current, batch), keys, last, first, written_once=current is None, derived=True)
+
+
 def upsert_raw_api(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """Key ``external_id``; a rewrite keeps the first checksum."""
-    return reduce_by_key(_stacked(current, batch), ["external_id"], ["data", "fetched_at"], ["checksum"])
+    return _upserted(batch, current, ["external_id"], ["data", "fetched_at"], ["checksum"])
 
 
 def upsert_raw_csv(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
@@ -94,9 +189,7 @@ def upsert_raw_csv(batch: DataFrame, current: DataFrame | None = None) -> DataFr
             "row_number": F.coalesce("row_number", F.lit(0)).cast("bigint"),
         }
     )
-    return reduce_by_key(
-        _stacked(current, keyed), ["file_name", "row_number"], ["data", "imported_at"], ["checksum"]
-    )
+    return _upserted(keyed, current, ["file_name", "row_number"], ["data", "imported_at"], ["checksum"])
 
 
 def upsert_raw_news(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
@@ -107,10 +200,7 @@ def upsert_raw_news(batch: DataFrame, current: DataFrame | None = None) -> DataF
             "entry_id": F.coalesce("entry_id", F.lit("")),
         }
     )
-    reduced = reduce_by_key(
-        _stacked(current, keyed), ["feed_url", "entry_id"], ["data", "fetched_at"], ["checksum"]
-    )
-    return reduced
+    return _upserted(keyed, current, ["feed_url", "entry_id"], ["data", "fetched_at"], ["checksum"])
 
 
 def upsert_unified(
@@ -131,8 +221,7 @@ def upsert_unified(
     first = [c for c in FIRST_WRITE if c in wanted]
     stamped = batch.withColumns({"ingested_at": F.col("written_at"), "updated_at": F.col("written_at")})
     stored = None if current is None else current.drop(EXTRA_SEQS)
-    rows = _stacked(stored, stamped.drop("written_at"))
-    reduced = reduce_by_key(rows, ["canonical_id"], last, first)
+    reduced = _upserted(stamped.drop("written_at"), stored, ["canonical_id"], last, first)
     if extra == "replace" or "extra_data" not in wanted:
         return reduced
     if extra != "merge":
@@ -155,12 +244,9 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None, with_seq
     reduced to those before any key is unfolded. The final per-id collection holds one entry per
     distinct key whatever the row count.
     """
-    new = (
-        new.filter(F.col("extra_data").isNotNull())
-        .groupBy("canonical_id", "source", F.array_sort(F.json_object_keys("extra_data")).alias("_keys"))
-        .agg(F.max_by("extra_data", LAST_SEQ).alias("extra_data"), F.max(LAST_SEQ).alias(LAST_SEQ))
-        .drop("_keys")
-    )
+    new = new.filter(F.col("extra_data").isNotNull())
+    keyed = new.withColumn("_keys", F.array_sort(F.json_object_keys("extra_data")))
+    new = latest_rows(keyed, ["canonical_id", "source", "_keys"], ["extra_data"], derived=True).drop("_keys")
     from_keys = _entries(new).filter(~F.col("key").startswith("_")).select("canonical_id", "key", "value", LAST_SEQ)
     from_source = new.select(
         "canonical_id",
@@ -171,9 +257,7 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None, with_seq
     entries = from_keys.unionByName(from_source)
     if existing is not None:
         entries = entries.unionByName(_entries(existing).select("canonical_id", "key", "value", LAST_SEQ))
-    latest = entries.groupBy("canonical_id", "key").agg(
-        F.max_by("value", LAST_SEQ).alias("value"), F.max(LAST_SEQ).alias("seq")
-    )
+    latest = latest_rows(entries, ["canonical_id", "key"], ["value"]).withColumnRenamed(LAST_SEQ, "seq")
     document = F.to_variant_object(
         F.map_from_entries(
             F.transform(
@@ -209,9 +293,7 @@ def changes(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFr
 
 def upsert_checkpoints(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
     """Key ``source``; the last value wins."""
-    return reduce_by_key(
-        _stacked(current, batch), ["source"], ["last_value", "last_processed_at", "updated_at"]
-    )
+    return _upserted(batch, current, ["source"], ["last_value", "last_processed_at", "updated_at"], [])
 
 
 LEDGER_LAST = (
@@ -228,7 +310,7 @@ LEDGER_LAST = (
 
 def ledger_state(events: DataFrame) -> DataFrame:
     """Current state of every run from its appended open/close events."""
-    reduced = reduce_by_key(events, ["run_id"], LEDGER_LAST, ["source", "started_at"])
+    reduced = reduce_by_key(events, ["run_id"], LEDGER_LAST, ["source", "started_at"], written_once=True)
     return reduced.drop(FIRST_SEQ, LAST_SEQ)
 
 

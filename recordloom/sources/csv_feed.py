@@ -1,9 +1,13 @@
-"""CSV feed: scan with row numbers, content fingerprints, and resume points."""
+"""CSV feed: scan with row numbers, content fingerprints, and resume points.
+
+A file is known by its whole path; files of one name in several folders are different files.
+"""
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,89 +16,115 @@ from pyspark.sql import functions as F
 _MALFORMED = "_malformed"
 
 
-def _headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
-    """First line of each file, with the files that have it; as many entries as there are forms of header."""
-    lines = spark.read.text(path).filter(F.col("_metadata.file_block_start") == 0)
-    first = lines.select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at"))
-    first = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    found: dict[str, list[str]] = {}
-    for file, header in first.select("file", "header").toLocalIterator():
-        found.setdefault(header, []).append(file)
-    return found
-
-
 def _missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def _splits(lines: DataFrame) -> DataFrame:
+    """Per input split of ``lines`` (file, block, mid, value): its first counter, the rows of the file's splits before it,
+    and the file's header line, which is the first line of its first split."""
+    per_block = lines.groupBy("_file", "_block").agg(
+        F.min("_mid").alias("_first"), F.count("*").alias("_rows"),
+        F.min_by("value", F.when(F.col("_block") == 0, F.col("_mid"))).alias("_head"),
+    )
+    of_file = Window.partitionBy("_file")
+    before = of_file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    return per_block.select(
+        "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"), F.max("_head").over(of_file).alias("_header")
+    )
+
+
+def _names(header: str) -> list[str]:
+    return [n.strip().lstrip("\ufeff") for n in next(csv.reader([header or ""]), [])]
+
+
+_PLACE = {"_file_path": "string", "_file_name": "string", "_row_number": "bigint"}
+
+
 def read_csv(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """All-text scan by header names; adds ``_file_name``, ``_row_number`` (1-based per file) and
-    ``_extra_fields`` (the row had more fields than the header).
+    """All-text scan by header names; adds ``_file_path`` (what identifies the file), ``_file_name`` (its last part),
+    ``_row_number`` (1-based per file) and ``_extra_fields`` (the row had more fields than the header).
 
     ``columns`` come first, NULL where a file does not have them; other columns of the headers follow
-    under their own names. A path that does not exist gives no rows. Files stay splittable
-    (``multi_line=True`` allows line breaks inside quotes at the price of one task per file).
+    under their own names. A path that does not exist gives no rows. One scan reads all files, whatever their headers, and files
+    stay splittable: row numbers come from each split's own counter plus the rows of the splits before it. Only the
+    distinct header lines come to the driver. (``multi_line=True`` allows line breaks inside quotes at the price of one task per
+    file, and of one scan per distinct header.)
     """
     try:
-        headers = _headers(spark, path)
+        text = spark.read.text(path)
     except AnalysisException as error:
         if not _missing(error):
             raise
-        headers = {}
-    frames = []
-    for header, files in sorted(headers.items()):
-        names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([header or ""]), [])]
-        if names:
-            frames.append(_with_header(spark, files, names, columns, multi_line))
-    if not frames:
-        ddl = ", ".join([f"`{c}` STRING" for c in columns] + ["_extra_fields BOOLEAN", "_file_name STRING", "_row_number BIGINT"])
-        return spark.createDataFrame([], ddl)
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
-
-
-def _with_header(spark: SparkSession, files: list[str], names: list[str], columns: Sequence[str], multi_line: bool) -> DataFrame:
-    """Files of one header. Row numbers come from each split's own counter plus the row counts of the
-    splits before it, so no task ever sees a whole file."""
-    ddl = ", ".join(f"`{c}` STRING" for c in [*names, _MALFORMED])
-    scan = (
-        spark.read.schema(ddl)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", _MALFORMED)
-        .csv(files)
-    )
-    place = [
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"),
-    ]
-    whole_row = F.col(_MALFORMED).isNull()
-    last = F.col(f"`{names[-1]}`")
-    # An empty field reads as NULL; only a field the row does not have is really missing.
-    held = {c: F.when(whole_row, F.coalesce(F.col(f"`{c}`"), F.lit(""))).otherwise(F.col(f"`{c}`")) for c in names}
-    values = [held.get(c, F.lit(None).cast("string")).alias(c) for c in columns]
-    others = [v.alias(c) for c, v in held.items() if c not in columns]
-    numbered = scan.select(
-        *values, *others, (~whole_row & last.isNotNull()).alias("_extra_fields"), F.col("_metadata.file_name").alias("_file_name"), *place
-    )
-    # The same files in the same splits, so the counters of both scans agree; this one reads no values.
-    per_block = scan.select(*place).groupBy("_file", "_block").agg(F.min("_mid").alias("_first"), F.count("*").alias("_rows"))
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select(
-        "_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
+        ddl = [f"`{c}` STRING" for c in columns] + ["_extra_fields BOOLEAN"] + [f"{c} {t}" for c, t in _PLACE.items()]
+        return spark.createDataFrame([], ", ".join(ddl))
+    meta = F.col("_metadata")
+    lines = text.filter(F.col("value").rlike(r"[^\x00-\x20]")).select(
+        "value", meta["file_path"].alias("_file"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_mid")
     )
+    splits = _splits(lines)
+    headers = sorted(r[0] for r in splits.select("_header").distinct().collect() if r[0] is not None)
+    forms = {h: _names(h) for h in headers}
+    others = list(dict.fromkeys(n for names in forms.values() for n in names if n not in columns))
+    if multi_line:
+        frames = [_scanned(spark, path, splits, h, names, columns, others) for h, names in forms.items()]
+        return reduce(DataFrame.unionByName, frames) if frames else read_csv(spark, path, columns)
     # One row per input split; its size is measured by the planner, so no hint is given.
-    return (
-        numbered.join(offsets, ["_file", "_block"])
-        .withColumn("_row_number", F.col("_before") + F.col("_mid") - F.col("_first") + 1)
-        .drop("_file", "_block", "_mid", "_first", "_before")
+    rows = lines.join(splits, ["_file", "_block"]).filter((F.col("_block") > 0) | (F.col("_mid") > F.col("_first")))
+    # The header is one of the lines before, so the first row after it has number 1.
+    rows = rows.withColumn("_row_number", F.col("_before") + F.col("_mid") - F.col("_first"))
+    # A row is parsed under its own file's header only; a stage of its own keeps the parser from running per field.
+    parsed = {f"_form{k}": F.when(F.col("_header") == h, F.from_csv("value", _ddl(names), _OPTIONS)) for k, (h, names) in enumerate(forms.items())}
+    rows = rows.withColumns(parsed)
+    held = [_held(lambda n, k=k: F.col(f"_form{k}")[n], names) for k, names in enumerate(forms.values())]
+    present = [F.col(f"_form{k}").isNotNull() for k in range(len(forms))]
+
+    def chosen(pick: Callable[[dict[str, Column]], Column | None], kind: str) -> Column:
+        found = [F.when(here, value) for here, row in zip(present, held) if (value := pick(row)) is not None]
+        return F.coalesce(*found, F.lit(None).cast(kind))
+
+    return rows.select(
+        *[chosen(lambda row, c=c: row.get(c), "string").alias(c) for c in [*columns, *others]],
+        chosen(lambda row: row[_EXTRA], "boolean").alias("_extra_fields"),
+        F.col("_file").alias("_file_path"), F.element_at(F.split("_file", "/"), -1).alias("_file_name"), "_row_number",
+    )
+
+
+_OPTIONS = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _MALFORMED}
+_EXTRA = " extra"
+
+
+def _ddl(names: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` STRING" for c in [*names, _MALFORMED])
+
+
+def _held(field: Callable[[str], Column], names: Sequence[str]) -> dict[str, Column]:
+    """Value per column, and whether the row has fields beyond the header.
+
+    An empty field reads as NULL; only a field the row does not have is really missing.
+    """
+    whole = field(_MALFORMED).isNull()
+    values = {c: F.when(whole, F.coalesce(field(c), F.lit(""))).otherwise(field(c)) for c in names}
+    return {**values, _EXTRA: ~whole & field(names[-1]).isNotNull()}
+
+
+def _scanned(
+    spark: SparkSession, path: str | Sequence[str], splits: DataFrame, header: str, names: list[str], columns: Sequence[str], others: Sequence[str]
+) -> DataFrame:
+    """The rows of the files of one header, with line breaks inside quotes."""
+    scan = spark.read.schema(_ddl(names)).options(header=True, multiLine=True, **_OPTIONS).csv(path)
+    held = _held(F.col, names)
+    none = F.lit(None).cast("string")
+    rows = scan.select(
+        *[held.get(c, none).alias(c) for c in [*columns, *others]], held[_EXTRA].alias("_extra_fields"),
+        F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_name").alias("_file_name"), F.monotonically_increasing_id().alias("_mid"),
     )
+    mine = splits.filter(F.col("_header") == header).select(F.col("_file").alias("_file_path")).distinct()
+    first = scan.select(F.col("_metadata.file_path").alias("_file_path"), F.monotonically_increasing_id().alias("_mid"))
+    first = first.groupBy("_file_path").agg(F.min("_mid").alias("_first")).join(mine, "_file_path", "left_semi")
+    return rows.join(first, "_file_path").withColumn("_row_number", F.col("_mid") - F.col("_first") + 1).drop("_mid", "_first")
 
 
 def extra_fields_rule() -> Column:
@@ -113,21 +143,64 @@ def file_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFra
 
 
 def content_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, lines, fingerprint) from a splittable line scan: per file the line count, and sums over
-    the 128-bit digests of its lines, partially aggregated in every split. It depends on the lines,
-    not on their order. A path that does not exist gives no rows."""
+    """(file, lines, fingerprint) of whole files, digested in parallel.
+
+    The digest of a stretch of lines is its length n and four sums of h(line) * base^place modulo a prime; stretches combine by
+    concatenation, (n1, s1) and (n2, s2) to (n1 + n2, s1 + base^n1 * s2). So each split is digested by itself, any cut into
+    splits gives the same value, and lines in another order give another one. The lines end at line feeds; a carriage return
+    is part of its line. A path that does not exist gives no rows.
+    """
     try:
-        text = spark.read.text(path)
+        text = spark.read.option("lineSep", "\n").text(path)
     except AnalysisException as error:
         if not _missing(error):
             raise
         return spark.createDataFrame([], "file string, lines bigint, fingerprint string")
-    lines = text.select(F.col("_metadata.file_path").alias("file"), F.md5("value").alias("h"))
-    return line_digest(lines, "file").select("file", "lines", "fingerprint")
+    meta = F.col("_metadata")
+    lines = text.select(
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.md5("value").alias("h"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
+    )
+    return ordered_digest(lines)
+
+
+def ordered_digest(lines: DataFrame) -> DataFrame:
+    """Order-aware digest per ``file`` of the MD5 texts ``h``; ``place`` counts through every ``block`` of a file."""
+    word = [F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("bigint") % PRIME for k in range(len(BASES))]
+    terms = [word[k] * power(base, F.col("place")) % PRIME for k, base in enumerate(BASES)]
+    splits = lines.groupBy("file", "block").agg(
+        F.count("*").alias("n"), F.min("place").alias("first"), *[F.sum(t).alias(f"s{k}") for k, t in enumerate(terms)]
+    )
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # A split counted from where its task stood; exponents are taken modulo the order of the group, so they may be negative.
+    shift = F.pmod(F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first"), F.lit(PRIME - 1))
+    placed = splits.withColumn("shift", shift)
+    moved = [(F.col(f"s{k}") % PRIME) * power(base, F.col("shift")) % PRIME for k, base in enumerate(BASES)]
+    whole = placed.groupBy("file").agg(F.sum("n").alias("lines"), *[(F.sum(m) % PRIME).alias(f"d{k}") for k, m in enumerate(moved)])
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("lines", *[f"d{k}" for k in range(len(BASES))])])
+    return whole.select("file", "lines", F.md5(text).alias("fingerprint"))
+
+
+#: The field of the digest, and a generator of its own for each word of a line's MD5.
+PRIME = (1 << 31) - 1
+BASES = (48271, 69621, 16807, 39373)
+_DIGIT = 6
+
+
+def power(base: int, exponent: Column, bits: int = 36) -> Column:
+    """base^exponent modulo the prime, as a product of looked-up powers of the exponent's digits."""
+    result = F.lit(1).cast("bigint")
+    for shift in range(0, bits, _DIGIT):
+        step = pow(base, 1 << shift, PRIME)
+        table = ",".join(str(pow(step, digit, PRIME)) for digit in range(1 << _DIGIT))
+        powers = F.split(F.lit(table), ",").cast("array<bigint>")  # folded to a constant by the optimizer
+        digit = F.shiftright(exponent, shift).bitwiseAND(F.lit((1 << _DIGIT) - 1)).cast("int")
+        result = result * F.get(powers, digit) % PRIME
+    return result
 
 
 def line_digest(lines: DataFrame, *keys: str) -> DataFrame:
-    """Digest per key of the MD5 texts ``h``: their count and the sums of their four 32-bit words."""
+    """Digest per key of the MD5 texts ``h``, whatever their order: their count and the sums of their four 32-bit words."""
     words = [F.conv(F.substring("h", 8 * k + 1, 8), 16, 10).cast("bigint") for k in range(4)]
     sums = lines.groupBy(*keys).agg(F.count("*").alias("lines"), *[F.sum(w).alias(f"w{k}") for k, w in enumerate(words)])
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("lines", "w0", "w1", "w2", "w3")])
@@ -151,14 +224,16 @@ def resume_points(files: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """
     known = checkpoints.select("file", parse_csv_checkpoint(F.col("last_value")).alias("c"))
     changed = F.col("c.fingerprint").isNotNull() & (F.col("c.fingerprint") != F.col("fingerprint"))
-    return files.join(known, "file", "left").select(
+    points = files.join(known, "file", "left").select(
         "file",
         "fingerprint",
         F.when(changed, F.lit(0)).otherwise(F.coalesce("c.start_row", F.lit(0))).cast("bigint").alias("start_row"),
     )
+    # One point per file: of several checkpoints of a file the earliest counts, so that none multiplies or skips rows.
+    return points.groupBy("file", "fingerprint").agg(F.min("start_row").alias("start_row"))
 
 
-def rows_after(rows: DataFrame, points: DataFrame, file: str = "_file_name") -> DataFrame:
+def rows_after(rows: DataFrame, points: DataFrame, file: str = "_file_path") -> DataFrame:
     """Rows beyond their file's start row. ``points`` has one row per file."""
     at = points.select(F.col("file").alias(file), "start_row")
     return rows.join(at, file, "left").filter(

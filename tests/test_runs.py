@@ -92,7 +92,7 @@ def test_failures_are_recorded_and_isolated(spark, tmp_path):
     assert (ledger["csv"].records_processed, ledger["csv"].records_failed) == (1, 1)
     assert tables.checkpoints.current(spark).first().last_value == "2|abc"
     raw = tables.raw_csv.current(spark).orderBy("row_number").collect()
-    assert [(r.file_name, r.row_number) for r in raw] == [("p.csv", 1), ("p.csv", 2)]
+    assert [(r.file_name, r.row_number) for r in raw] == [(f"file:{path}", 1), (f"file:{path}", 2)]
     with pytest.raises(OSError):
         run_source(spark, tables, Run("coinpaprika"), fail)
 
@@ -124,7 +124,7 @@ def test_csv_runs_go_on_where_they_stopped(spark, tmp_path):
         fetched.append(tables.counters.current(spark, run.run_id).first().records_fetched)
     assert fetched == [2, 1, 0, 3]
     marks = {r.source: r.last_value.split("|")[0] for r in tables.checkpoints.current(spark).collect()}
-    assert marks == {"csv:a.csv": "3", "csv:b.csv": "1"}
+    assert marks == {f"csv:file:{tmp_path}/in/a.csv": "3", f"csv:file:{tmp_path}/in/b.csv": "1"}
     assert {r.source_id for r in tables.unified.current(spark).collect()} == {"P1", "P2", "P3", "P4"}
 
 

@@ -93,7 +93,28 @@ def test_raw_upsert_keeps_first_checksum(spark):
     assert (row.data, row.checksum) == ("v2", "c1")
 
 
-def test_aggregation_is_partial_before_the_shuffle(spark):
-    """A hot key must leave each map task as one row."""
+def test_winners_are_found_without_a_sort_of_rows(spark):
+    """Only keys, sequences and fixed-width columns are aggregated, by hash and before the shuffle."""
     plan = U.upsert_unified(writes(spark)[1])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert "SortAggregate" not in plan and "partial_max(" in plan and "LeftSemi" in plan
+    assert all("content" not in line for line in plan.splitlines() if "partial_max(" in line)
+
+
+def test_sequences_keep_the_order_of_their_parts(spark):
+    rows = [(t, o, b, p) for t in ("1969-12-31 23:59:59", "2024-01-01 00:00:00", "2024-01-01 00:00:00.000001") for o in (0, 9)
+            for b in (-1, 0, (1 << 42) - 2) for p in (0, 1 << 62)]
+    df = spark.createDataFrame(rows, "t string, o int, b long, p long")
+    seq = df.withColumn("s", U.sequence(F.col("t").cast("timestamp"), F.col("o"), F.col("b"), F.col("p"), F.lit("r")))
+    assert [tuple(r)[:4] for r in seq.orderBy("s").collect()] == sorted(rows)
+    with pytest.raises(Exception, match="batch number"):
+        df.select(U.sequence(F.col("t").cast("timestamp"), F.col("o"), F.lit(1 << 42), F.col("p"))).collect()
+
+
+def test_columns_of_every_width_and_shared_sequences(spark):
+    """Keys may share a sequence and be null; null values count."""
+    rows = [("a", 1, None, 1.0), ("a", 2, "x", None), (None, 2, "y", 2.0), (None, 1, "z", 3.0), ("b", 2, None, None)]
+    df = U.versioned(spark.createDataFrame(rows, "k string, seq long, wide string, thin double"))
+    got = U.reduce_by_key(df, ["k"], ["wide", "thin"], [], written_once=True).collect()
+    assert {r.k: (r.wide, r.thin) for r in got} == {"a": ("x", None), None: ("y", 2.0), "b": (None, None)}
+    got = U.reduce_by_key(df, ["k"], [], ["wide", "thin"], written_once=True).collect()
+    assert {r.k: (r.wide, r.thin) for r in got} == {"a": (None, 1.0), None: ("z", 3.0), "b": (None, None)}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from recordloom.operators import transform as T
 from recordloom.operators import validate as V
 from recordloom.operators.ordered import with_position
 from recordloom.operators.upsert import upsert_checkpoints, versioned
-from recordloom.plans.ingest import Run, run_source
+from recordloom.plans.ingest import Run, ingest_csv, run_source
 from recordloom.plans.tables import Tables
 from recordloom.session import scratch_path
 from recordloom.sources import csv_feed, json_feed, news_feed
@@ -29,26 +31,41 @@ PRODUCT_COLUMNS = ["product_id", "name", "category", "price", "description", "st
 # --- sources -------------------------------------------------------------------------------------
 
 
-def _landed_products(spark: SparkSession, sf: str) -> str:
-    path = scratch_path(spark, "csv")
+#: Folders the product files land in; within a folder rows stand in the order of their key.
+_FOLDERS = 16
+
+
+def _landed_products(spark: SparkSession, sf: str, path: str | None = None, where: F.Column | None = None) -> str:
+    """One file per folder, all of one header; files written by one task have the same name."""
+    path = path or scratch_path(spark, "csv")
+    rows = feed(spark, sf, "products").filter(F.lit(True) if where is None else where)
     (
-        feed(spark, sf, "products").select(*PRODUCT_COLUMNS)
-        .write.option("header", True).option("escape", '"')
+        rows.select(*PRODUCT_COLUMNS, "k", (F.col("k") % _FOLDERS).cast("int").alias("folder"))
+        .repartition(_FOLDERS, "folder").sortWithinPartitions("folder", "k").drop("k")
+        .write.mode("append").partitionBy("folder").option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path
 
 
+def _folder(path: str) -> F.Column:
+    return F.regexp_extract(path, r"/folder=(\d+)/", 1).cast("int")
+
+
+_TEXTS = ", ".join(f"coalesce({c}, '') AS {c}" for c in PRODUCT_COLUMNS)
+
+
 @query(
     "S1_csv_scan",
-    cte("products") + " SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in PRODUCT_COLUMNS)
-    + ", true AS numbered, false AS extra_fields FROM products",
+    cte("products") + f""" SELECT {_TEXTS}, CAST(k % {_FOLDERS} AS INT) AS folder,
+    row_number() OVER (PARTITION BY k % {_FOLDERS} ORDER BY k) AS row_number, false AS extra_fields FROM products""",
 )
 def csv_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Values and row numbers of files in several folders."""
     rows = csv_feed.read_csv(spark, _landed_products(spark, sf), PRODUCT_COLUMNS)
     return rows.select(
-        *PRODUCT_COLUMNS, (F.col("_row_number") >= 1).alias("numbered"), F.col("_extra_fields").alias("extra_fields")
+        *PRODUCT_COLUMNS, _folder("_file_path").alias("folder"), F.col("_row_number").alias("row_number"), F.col("_extra_fields").alias("extra_fields")
     )
 
 
@@ -116,24 +133,46 @@ def news_items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _landed_texts(spark: SparkSession, sf: str) -> str:
+    """All columns of the documents with their whole texts, a line each, in a file per remainder of the id, ordered by id."""
+    path = scratch_path(spark, "texts")
+    text = F.coalesce("text", F.lit(""))
+    for sign, spelled in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(sign), F.lit(spelled))
+    others = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "source", "n_chars")}
+    value = F.concat_ws("|", others["doc_id"], text, others["lang"], others["source"], others["n_chars"]).alias("value")
+    landed = table(spark, sf, "documents").select(value, "doc_id", (F.coalesce("doc_id", F.lit(0)) % 3).alias("file"))
+    landed.repartition(3, "file").sortWithinPartitions("file", "doc_id", "value").drop("doc_id").write.partitionBy("file").text(path)
+    return path
+
+
+_TEXT_LINES = r"""SELECT coalesce(doc_id, 0) % 3 AS file, doc_id, concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''),
+        replace(replace(replace(coalesce(text, ''), '\', '\\'), chr(10), '\n'), chr(13), '\r'),
+        coalesce(lang, ''), coalesce(source, ''), coalesce(CAST(n_chars AS VARCHAR), '')) AS value FROM documents"""
+
+
+def _powers_sql() -> str:
+    """Powers of the digest's bases, one step after another."""
+    steps = ", ".join(f"p{k} * {b} % {csv_feed.PRIME}" for k, b in enumerate(csv_feed.BASES))
+    names, ones = ", ".join(f"p{k}" for k in range(len(csv_feed.BASES))), ", ".join(["CAST(1 AS BIGINT)"] * len(csv_feed.BASES))
+    return f"w(i, {names}) AS (SELECT 0, {ones} UNION ALL SELECT i + 1, {steps} FROM w WHERE i < (SELECT count(*) FROM documents))"
+
+
+def _digest_sql(k: int) -> str:
+    return f"sum(CAST('0x' || h[{8 * k + 1}:{8 * k + 8}] AS BIGINT) % {csv_feed.PRIME} * p{k} % {csv_feed.PRIME}) % {csv_feed.PRIME}"
+
+
 @query(
     "S6_file_fingerprints",
-    """WITH h AS (SELECT md5(concat_ws('|', doc_id, source, n_chars)) AS h FROM documents),
-    s AS (SELECT count(*) AS lines, sum(CAST('0x' || h[1:8] AS BIGINT)) AS w0, sum(CAST('0x' || h[9:16] AS BIGINT)) AS w1,
-        sum(CAST('0x' || h[17:24] AS BIGINT)) AS w2, sum(CAST('0x' || h[25:32] AS BIGINT)) AS w3 FROM h)
-    SELECT lines, md5(concat_ws('|', lines, w0, w1, w2, w3)) AS fingerprint FROM s""",
+    f"""WITH RECURSIVE {_powers_sql()}, l AS ({_TEXT_LINES}),
+    n AS (SELECT file, md5(value) AS h, row_number() OVER (PARTITION BY file ORDER BY doc_id NULLS FIRST, value) - 1 AS i FROM l)
+    SELECT CAST(file AS VARCHAR) AS file, count(*) AS lines, md5(concat_ws('|', count(*), {", ".join(_digest_sql(k) for k in range(len(csv_feed.BASES)))})) AS fingerprint
+    FROM n JOIN w USING (i) GROUP BY file""",
 )
 def file_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    """A table landed as text in several files; the digest of all of them does not depend on the cut."""
-    path = scratch_path(spark, "lines")
-    rows = table(spark, sf, "documents").select(F.concat_ws("|", "doc_id", "source", "n_chars").alias("value"))
-    rows.repartition(3).write.text(path)
-    per_file = csv_feed.content_fingerprints(spark, path)
-    lines = spark.read.text(path).select(F.md5("value").alias("h"))
-    # Every file has a digest of its own; together they hold the lines of the whole.
-    whole = csv_feed.line_digest(lines)
-    held = per_file.agg(F.sum("lines").alias("held"))
-    return whole.join(held, F.col("lines") == F.col("held")).select("lines", "fingerprint")
+    """Order-aware digest of every file, whole texts included, from splits digested side by side."""
+    prints = csv_feed.content_fingerprints(spark, _landed_texts(spark, sf))
+    return prints.withColumn("file", F.regexp_extract("file", r"/file=(\d+)/", 1))
 
 
 @query(
@@ -147,19 +186,11 @@ def file_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     SELECT file, lines, md5(concat_ws('|', lines, w0, w1, w2, w3)) AS fingerprint FROM s""",
 )
 def text_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
-    """All columns of a table with its whole texts, landed in a file per remainder of the id: the digest of each file, and of all lines."""
-    path = scratch_path(spark, "texts")
-    rows = table(spark, sf, "documents")
-    text = F.coalesce("text", F.lit(""))
-    for sign, spelled in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
-        text = F.replace(text, F.lit(sign), F.lit(spelled))
-    others = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "lang", "source", "n_chars")}
-    value = F.concat_ws("|", others["doc_id"], text, others["lang"], others["source"], others["n_chars"]).alias("value")
-    landed = rows.select(value, (F.coalesce("doc_id", F.lit(0)) % 3).alias("file"))
-    landed.repartition(3, "file").write.partitionBy("file").text(path)
-    per_file = csv_feed.content_fingerprints(spark, path).withColumn("file", F.regexp_extract("file", r"/file=(\d+)/", 1))
-    whole = csv_feed.line_digest(spark.read.text(path).select(F.md5("value").alias("h")))
-    return per_file.unionByName(whole.select(F.lit("whole").alias("file"), "lines", "fingerprint"))
+    """The same files by a digest that ignores the order of lines: of each file, and of all lines."""
+    text = spark.read.text(_landed_texts(spark, sf))
+    lines = text.select(F.regexp_extract(F.col("_metadata.file_path"), r"/file=(\d+)/", 1).alias("file"), F.md5("value").alias("h"))
+    whole = csv_feed.line_digest(lines).withColumn("file", F.lit("whole"))
+    return csv_feed.line_digest(lines, "file").unionByName(whole)
 
 
 @query(
@@ -256,11 +287,11 @@ def page_batches(spark: SparkSession, sf: str) -> DataFrame:
 def resume_points(spark: SparkSession, sf: str) -> DataFrame:
     """Every customer is a file of orders. Its checkpoint is current, stale, malformed or bare."""
     orders = table(spark, sf, "orders").select(
-        F.concat(F.lit("file-"), F.col("o_custkey").cast("string")).alias("_file_name"), "o_orderkey", "o_custkey"
+        F.concat(F.lit("file-"), F.col("o_custkey").cast("string")).alias("_file_path"), "o_orderkey", "o_custkey"
     )
     positioned = with_position(orders, ["o_custkey", "o_orderkey"])
-    first = positioned.groupBy("_file_name").agg(F.min("position").alias("first"))
-    rows = positioned.join(first, "_file_name").withColumn("_row_number", F.col("position") - F.col("first") + 1)
+    first = positioned.groupBy("_file_path").agg(F.min("position").alias("first"))
+    rows = positioned.join(first, "_file_path").withColumn("_row_number", F.col("position") - F.col("first") + 1)
     customers = table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit("file-"), F.col("c_custkey").cast("string")).alias("file"), F.md5("c_name").alias("fingerprint")
     )
@@ -272,7 +303,37 @@ def resume_points(spark: SparkSession, sf: str) -> DataFrame:
     )
     checkpoints = customers.select("file", last_value.alias("last_value"))
     points = csv_feed.resume_points(customers.select("file", "fingerprint"), checkpoints)
-    return csv_feed.rows_after(rows, points).select(F.col("_file_name").alias("file"), "o_orderkey", F.col("_row_number").alias("row_number"))
+    return csv_feed.rows_after(rows, points).select(F.col("_file_path").alias("file"), "o_orderkey", F.col("_row_number").alias("row_number"))
+
+
+_RUN_AT = [dt.datetime(2024, 1, 1, hour, tzinfo=dt.timezone.utc) for hour in range(3)]
+
+
+@query(
+    "I3_csv_folders",
+    cte("products") + f""", f AS (SELECT {_TEXTS}, CAST(k % {_FOLDERS} AS INT) AS folder, k % 3 = 0 AS later,
+        row_number() OVER (PARTITION BY k % {_FOLDERS}, k % 3 = 0 ORDER BY k) AS row_number FROM products)
+    SELECT folder, CASE WHEN later THEN 2 ELSE 1 END AS run, row_number, product_id, name, price, created_at,
+    CAST(count(*) OVER (PARTITION BY folder, later) AS VARCHAR) AS end_row, 0 AS fetched_again FROM f""",
+)
+def csv_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """Three incremental runs over folders with files of equal names; the second finds new files, the third nothing."""
+    tables, path, fetched = Tables(scratch_path(spark, "tables")), scratch_path(spark, "csv"), 0
+    for at, where in zip(_RUN_AT, (F.col("k") % 3 != 0, F.col("k") % 3 == 0, None)):
+        if where is not None:
+            _landed_products(spark, sf, path, where)
+        run = Run("csv", at)
+        run_source(spark, tables, run, lambda r: ingest_csv(spark, tables, r, path, PRODUCT_COLUMNS))
+        fetched = tables.counters.current(spark, run.run_id).first().records_fetched
+    marks = tables.checkpoints.current(spark).select(
+        F.substring("source", len("csv:") + 1, 1 << 30).alias("file_name"), F.split_part("last_value", F.lit("|"), F.lit(1)).alias("end_row")
+    )
+    rows = tables.raw_csv.current(spark).join(marks, "file_name")
+    values = F.from_json("data", ", ".join(f"{c} STRING" for c in PRODUCT_COLUMNS))
+    return rows.withColumn("r", values).select(
+        _folder("file_name").alias("folder"), (F.hour("imported_at") + 1).alias("run"), "row_number",
+        "r.product_id", "r.name", "r.price", "r.created_at", "end_row", F.lit(fetched).cast("int").alias("fetched_again"),
+    )
 
 
 @query(
@@ -304,21 +365,35 @@ def high_water_mark(spark: SparkSession, sf: str) -> DataFrame:
     return P.high_water_marks(fresh, "source", "doc_id").join(counts, "source")
 
 
+_YEARS = range(1992, 2003)
+
+
 @query(
     "I6_drain_stream",
-    S.TICKER_UNIFIED + " SELECT DISTINCT canonical_id, 'coinpaprika' AS source, 'cryptocurrency' AS category FROM ut",
+    S.TICKER_UNIFIED + f""", k AS (SELECT *, row(written_at, batch_no, row_pos) AS seq FROM ut),
+    w AS (SELECT canonical_id, arg_max(row(source_id, symbol, title, price, rank), seq) AS l, arg_min(row(created), seq) AS f FROM k GROUP BY canonical_id)
+    SELECT canonical_id, l[1] AS source_id, l[2] AS symbol, l[3] AS title, l[4] AS price, l[5] AS rank, {S.ts_text("f[1]")} AS created,
+    '2024-01-01 00:00:00' AS updated_at, (SELECT count(*) FROM tv) AS fetched, (SELECT count(*) FROM ut) AS processed FROM w""",
 )
 def drain_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Land the ticker documents as files, drain them as a stream, read the unified table."""
-    root = scratch_path(spark, "tables")
-    landing = _landed_documents(spark, feed(spark, sf, "tickers").select("doc"))
-    tables = Tables(root)
-
-    def work(run: Run) -> None:
-        drain(tables, run, json_feed.read_document_stream(spark, landing), f"{root}/stream")
-
-    run_source(spark, tables, Run("coinpaprika"), work)
-    return tables.unified.current(spark).select("canonical_id", "source", "category")
+    """Ticker documents land as one file a year, very unequal in size; a stream drains two at a time. The last file's writes win."""
+    tables, landing = Tables(scratch_path(spark, "tables")), scratch_path(spark, "json")
+    docs = feed(spark, sf, "tickers")
+    for year in _YEARS:
+        last = F.year("written_at") >= year if year == _YEARS[-1] else F.year("written_at") == year
+        mine = docs.filter(last if year > _YEARS[0] else F.year("written_at") <= year)
+        mine.coalesce(1).sortWithinPartitions("written_at", "batch_no", "row_pos").select("doc").write.mode("append").text(landing)
+    run = Run("coinpaprika", _RUN_AT[0])
+    run_source(spark, tables, run, lambda r: drain(tables, r, json_feed.read_document_stream(spark, landing, 2), f"{tables.root}/stream"))
+    counted = tables.counters.current(spark, run.run_id).agg(
+        F.sum("records_fetched").alias("fetched"), F.sum("records_processed").alias("processed")
+    ).first()
+    extra = F.from_json("extra_data", "price_usd double, rank bigint")
+    return tables.unified.current(spark).withColumn("x", extra).select(
+        "canonical_id", "source_id", "symbol", "title", F.col("x.price_usd").alias("price"), F.col("x.rank").alias("rank"),
+        ts_text("external_created_at").alias("created"), ts_text("updated_at").alias("updated_at"),
+        F.lit(counted.fetched).alias("fetched"), F.lit(counted.processed).alias("processed"),
+    )
 
 
 def _checkpoint_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,15 +476,34 @@ def product_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _spoiled_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """News entries of which some break a rule, and some stand just inside it."""
+    page = F.col("_page_id")
+    return I.news_entries(spark, sf).withColumns(
+        {
+            "id": F.when(page % 29 != 0, F.col("id")),
+            "title": F.when(page % 7 == 0, F.lit(None)).when(page % 11 == 0, F.repeat(F.lit("ab"), (249 + page % 3).cast("int"))).otherwise(F.col("title")),
+            "link": F.when(page % 13 == 0, F.lit(None)).when(page % 17 == 0, F.rpad("link", 513, "x")).otherwise(F.col("link")),
+            "tags": F.when(page % 19 != 0, F.col("tags")),
+        }
+    )
+
+
 @query(
     "V4_news_rules",
-    S.NEWS_ENTRIES + f""" SELECT id, title, author, {S.ts_text("published")} AS published, {S.ts_text("updated")} AS updated,
-    array_to_string(tags, ',') AS tags, '' AS error FROM ne""",
+    S.NEWS_ENTRIES + f""", sp AS (SELECT page_id, CASE WHEN page_id % 29 <> 0 THEN id END AS id,
+        CASE WHEN page_id % 7 = 0 THEN NULL WHEN page_id % 11 = 0 THEN repeat('ab', CAST(249 + page_id % 3 AS INT)) ELSE title END AS title,
+        CASE WHEN page_id % 13 = 0 THEN NULL WHEN page_id % 17 = 0 THEN rpad(link, 513, 'x') ELSE link END AS link,
+        author, published, updated, CASE WHEN page_id % 19 <> 0 THEN tags END AS tags FROM ne)
+    SELECT page_id, id, title, author, {S.ts_text("published")} AS published, {S.ts_text("updated")} AS updated, array_to_string(tags, ',') AS tags,
+    concat_ws('; ', CASE WHEN id IS NULL THEN 'entry_id: required' END, CASE WHEN title IS NULL THEN 'title: required' END,
+        CASE WHEN length(title) > 500 THEN 'title: longer than 500' END, CASE WHEN link IS NULL THEN 'link: required' END,
+        CASE WHEN length(link) > 512 THEN 'link: longer than 512' END, CASE WHEN tags IS NULL THEN 'tags: null' END) AS error FROM sp""",
 )
 def news_rules(spark: SparkSession, sf: str) -> DataFrame:
-    checked = V.validate_text(I.news_entries(spark, sf), V.NEWS_FIELDS)
+    checked = V.validate_text(_spoiled_entries(spark, sf), V.NEWS_FIELDS)
     return checked.select(
-        F.col("rec.entry_id").alias("id"), "rec.title", "rec.author", ts_text("rec.published").alias("published"),
+        F.col("_page_id").alias("page_id"), F.col("rec.entry_id").alias("id"), "rec.title", "rec.author", ts_text("rec.published").alias("published"),
         ts_text("rec.updated").alias("updated"), F.array_join("rec.tags", ",").alias("tags"),
         F.array_join("errors", "; ").alias("error"),
     )
