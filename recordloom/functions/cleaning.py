@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python-style whitespace: the Unicode White_Space class plus the four ASCII separators.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Python-style whitespace, which is the Unicode White_Space class plus the four ASCII separators.
+_SPACE_CODES = (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPACE = "".join(map(chr, _SPACE_CODES))
 _DIGITS = r"\d(_?\d)*"
 _NUMBER_TEXT = (
     rf"^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))\s*$"
@@ -25,7 +26,7 @@ _ISO_UNUSUAL = r"^\d{8}([T ]|$)|,"
 
 def strip_space(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind (``trim`` removes blanks only)."""
-    return F.regexp_replace(c, _EDGE_SPACE, "")
+    return F.btrim(c, F.lit(_SPACE))
 
 
 def clean_string(c: Column) -> Column:

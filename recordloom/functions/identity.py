@@ -6,8 +6,6 @@ shuffle. User-supplied alias tables of any size go through ``with_alias_table``
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,9 +55,9 @@ def _literal_map(pairs: dict[str, str]) -> Column:
 def bare_symbol(symbol: Column) -> Column:
     """Lower-case, stripped symbol without its affixes; '' for NULL."""
     text = strip_space(F.lower(F.coalesce(symbol, F.lit(""))))
-    return reduce(
-        lambda c, affix: F.regexp_replace(c, affix, ""), (WRAPPED_PREFIX, TOKEN_SUFFIX), text
-    )
+    # Few symbols have an affix; the pattern runs on those alone.
+    text = F.when(F.startswith(text, F.lit("wrapped")), F.regexp_replace(text, WRAPPED_PREFIX, "")).otherwise(text)
+    return F.when(F.contains(text, F.lit("token")), F.regexp_replace(text, TOKEN_SUFFIX, "")).otherwise(text)
 
 
 def normalize_symbol(symbol: Column, aliases: dict[str, str] = SYMBOL_ALIASES) -> Column:

@@ -1,13 +1,14 @@
-"""Keyed upserts: find the winning writes first, then fetch their columns.
+"""Keyed upserts.
 
 Each row carries the sequence at which it was written, twice: ``_first_seq`` decides the
 first-write-wins columns, ``_last_seq`` the last-write-wins ones. ``reduce_by_key`` keeps both, so
 its output can be reduced again with more rows; the result depends neither on arrival order nor on
 how the input was cut into batches, and replaying a batch changes nothing.
 
-A sequence is one or two numbers of fixed width, so the winners come out of hash aggregations over keys and sequences
-alone: no sort, no wide column in a shuffle, and a key that holds a third of the table leaves each map task as a single row.
-Columns of fixed width travel along; all others are then fetched by (key, sequence) for the winners only.
+A sequence is one or two numbers of fixed width. In a stored table the winning writes come out of hash aggregations over keys
+and sequences alone: no sort, no wide column read or shuffled for the losers; columns of fixed width travel along and all others
+are then fetched by (key, sequence). Computed rows are aggregated whole, by ``max_by``/``min_by``. Both ways aggregate partially
+before the shuffle: a key that holds a third of the table leaves each map task as a single row.
 """
 
 from __future__ import annotations
@@ -78,19 +79,18 @@ def _parts(kind: T.DataType) -> list[str] | None:
     return [] if _fixed(kind) else None
 
 
-def _fetched(rows: DataFrame, winners: DataFrame, keys: Sequence[str], seq: str, wide: Sequence[str], derived: bool) -> DataFrame:
-    """``winners`` with the wide columns of the rows that have their keys and sequence."""
+def _numbers(kind: T.DataType, seq: str) -> list[Column]:
+    """The one or two numbers of a sequence column."""
+    return [F.col(f"{seq}.{p}") for p in _parts(kind) or []] or [F.col(seq)]
+
+
+def _fetched(rows: DataFrame, winners: DataFrame, keys: Sequence[str], seq: str, wide: Sequence[str]) -> DataFrame:
+    """``winners`` with the wide columns of the rows that have their keys and their ``seq``."""
     if not wide:
         return winners
-    parts = _parts(rows.schema[seq].dataType) or [""]
-    number = {f"_{n}": F.col(f"{seq}.{p}" if p else seq) for n, p in enumerate(parts)}
-    rows = rows.select(*keys, *wide, *[c.alias(f"_row{n}") for n, c in number.items()])
-    if derived:
-        # Passed on by the optimizer to where the sequences come from: only winners are parsed and mapped once more.
-        wanted = winners.select(*[c.alias(f"_win{n}") for n, c in number.items()])
-        rows = rows.join(wanted, [F.col(f"_row{n}") == F.col(f"_win{n}") for n in number], "left_semi")
-    rows = rows.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [F.col(f"_row{n}") == c for n, c in number.items()]
+    numbers = _numbers(rows.schema[seq].dataType, seq)
+    rows = rows.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *wide, *[c.alias(f"_at{n}") for n, c in enumerate(numbers)])
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys] + [c == F.col(f"_at{n}") for n, c in enumerate(numbers)]
     return winners.join(rows, same).select(*winners.columns, *wide)
 
 
@@ -99,20 +99,18 @@ def reduce_by_key(
     keys: Sequence[str],
     last: Sequence[str],
     first: Sequence[str] = (),
-    written_once: bool = False,
-    derived: bool = False,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per key. NULLs are values: a later NULL replaces, an earlier NULL stays.
 
-    ``written_once``: no row is the result of an earlier reduction, so both sequences of a row are equal; winners are found
-    first and fetched then. Rows of earlier reductions are aggregated whole, in one pass: a plan that read them several
-    times would multiply with every reduction it stands on. ``derived``: the rows are computed by a costly plan from cheap
-    sequences, so those that cannot win are filtered out before it.
+    ``stored``: the rows are read from a table of writes, so both sequences of a row are equal and reading twice is cheap:
+    first keys and sequences alone, then the columns of the winners. Rows that a costly plan computes, or earlier
+    reductions, are aggregated whole in one pass; a plan that read them twice would double with every step it stands on.
     """
     keys, last, first = list(keys), list(last), list(first)
     names = [*keys, *last, *first, FIRST_SEQ, LAST_SEQ]
     parts = _parts(rows.schema[LAST_SEQ].dataType)
-    if parts is None or not written_once:
+    if parts is None or not stored:
         return _reduced_whole(rows, keys, last, first)
     thin = {c: _fixed(rows.schema[c].dataType) for c in [*last, *first]}
     thin_last, thin_first = [c for c in last if thin[c]], [c for c in first if thin[c]]
@@ -123,8 +121,8 @@ def reduce_by_key(
             F.max(LAST_SEQ).alias(LAST_SEQ), F.min(LAST_SEQ).alias(FIRST_SEQ),
             *[F.max_by(c, LAST_SEQ).alias(c) for c in thin_last], *[F.min_by(c, LAST_SEQ).alias(c) for c in thin_first],
         )
-    out = _fetched(rows, won, keys, LAST_SEQ, [c for c in last if not thin[c]], derived)
-    out = _fetched(rows, out, keys, FIRST_SEQ, [c for c in first if not thin[c]], derived)
+    out = _fetched(rows, won, keys, LAST_SEQ, [c for c in last if not thin[c]])
+    out = _fetched(rows, out, keys, FIRST_SEQ, [c for c in first if not thin[c]])
     return out.select(*names)
 
 
@@ -159,12 +157,6 @@ def _reduced_whole(rows: DataFrame, keys: list[str], last: list[str], first: lis
     )
 
 
-def latest_rows(rows: DataFrame, keys: Sequence[str], wide: Sequence[str], derived: bool = False) -> DataFrame:
-    """Keys, the columns ``wide`` and the sequence of the row that was written last per key."""
-    once = rows.withColumn(FIRST_SEQ, F.col(LAST_SEQ))
-    return reduce_by_key(once, keys, wide, written_once=True, derived=derived).drop(FIRST_SEQ)
-
-
 def _stacked(current: DataFrame | None, batch: DataFrame) -> DataFrame:
     return batch if current is None else current.unionByName(batch)
 
@@ -173,7 +165,7 @@ def _upserted(
     batch: DataFrame, current: DataFrame | None, keys: Sequence[str], last: Sequence[str], first: Sequence[str]
 ) -> DataFrame:
     """A computed batch, alone or on top of an earlier reduction."""
-    return reduce_by_key(_stacked(current, batch), keys, last, first, written_once=current is None, derived=True)
+    return reduce_by_key(_stacked(current, batch), keys, last, first)
 
 
 def upsert_raw_api(batch: DataFrame, current: DataFrame | None = None) -> DataFrame:
@@ -244,9 +236,12 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None, with_seq
     reduced to those before any key is unfolded. The final per-id collection holds one entry per
     distinct key whatever the row count.
     """
-    new = new.filter(F.col("extra_data").isNotNull())
-    keyed = new.withColumn("_keys", F.array_sort(F.json_object_keys("extra_data")))
-    new = latest_rows(keyed, ["canonical_id", "source", "_keys"], ["extra_data"], derived=True).drop("_keys")
+    new = (
+        new.filter(F.col("extra_data").isNotNull())
+        .groupBy("canonical_id", "source", F.array_sort(F.json_object_keys("extra_data")).alias("_keys"))
+        .agg(F.max_by("extra_data", LAST_SEQ).alias("extra_data"), F.max(LAST_SEQ).alias(LAST_SEQ))
+        .drop("_keys")
+    )
     from_keys = _entries(new).filter(~F.col("key").startswith("_")).select("canonical_id", "key", "value", LAST_SEQ)
     from_source = new.select(
         "canonical_id",
@@ -257,7 +252,9 @@ def merge_extra_data(new: DataFrame, existing: DataFrame | None = None, with_seq
     entries = from_keys.unionByName(from_source)
     if existing is not None:
         entries = entries.unionByName(_entries(existing).select("canonical_id", "key", "value", LAST_SEQ))
-    latest = latest_rows(entries, ["canonical_id", "key"], ["value"]).withColumnRenamed(LAST_SEQ, "seq")
+    latest = entries.groupBy("canonical_id", "key").agg(
+        F.max_by("value", LAST_SEQ).alias("value"), F.max(LAST_SEQ).alias("seq")
+    )
     document = F.to_variant_object(
         F.map_from_entries(
             F.transform(
@@ -310,7 +307,7 @@ LEDGER_LAST = (
 
 def ledger_state(events: DataFrame) -> DataFrame:
     """Current state of every run from its appended open/close events."""
-    reduced = reduce_by_key(events, ["run_id"], LEDGER_LAST, ["source", "started_at"], written_once=True)
+    reduced = reduce_by_key(events, ["run_id"], LEDGER_LAST, ["source", "started_at"], stored=True)
     return reduced.drop(FIRST_SEQ, LAST_SEQ)
 
 

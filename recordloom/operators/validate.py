@@ -54,31 +54,27 @@ class Cell:
 _NUMERIC = ("BIGINT", "DOUBLE", "FLOAT")
 
 
-def _json_value(kind: str, raw: Column, text: Column, json_type: Column) -> tuple[Column, Column]:
+def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Column]:
     """(typed value, convertible). The JSON type decides before any cast: a cast alone is laxer than
-    the rules (1.5 would become the integer 1). Scalars are cast from their text."""
+    the rules (1.5 would become the integer 1)."""
     is_text = json_type == "STRING"
     is_bool = json_type == "BOOLEAN"
     is_number = json_type.isin(*_NUMERIC) | json_type.startswith("DECIMAL")
+    text = F.try_variant_get(raw, "$", "string")
     if kind == "str":
         return F.when(is_text, text), is_text
     if kind == "clean_str":
-        return C.clean_string(text), F.lit(True)
+        return C.clean_string(F.when(is_text, text).when(json_type != "VOID", F.to_json(raw))), F.lit(True)
     if kind == "int":
-        number = text.try_cast("double")
+        number = F.try_variant_get(raw, "$", "double")
         value = (
-            F.when(json_type == "BIGINT", text.try_cast("bigint"))
+            F.when((json_type == "BIGINT") | is_bool, F.try_variant_get(raw, "$", "bigint"))
             .when(is_text, C.to_bigint(text))
-            .when(is_bool, text.try_cast("boolean").cast("bigint"))
             .when(is_number & (number == F.floor(number)), number.try_cast("bigint"))
         )
         return value, value.isNotNull()
     if kind == "float":
-        value = (
-            F.when(is_number, text.try_cast("double"))
-            .when(is_text, C.to_double(text))
-            .when(is_bool, text.try_cast("boolean").cast("double"))
-        )
+        value = F.when(is_number | is_bool, F.try_variant_get(raw, "$", "double")).when(is_text, C.to_double(text))
         return value, value.isNotNull()
     if kind == "iso_time":
         return C.iso_timestamp(text), F.lit(True)
@@ -94,21 +90,15 @@ def _json_value(kind: str, raw: Column, text: Column, json_type: Column) -> tupl
     raise ValueError(kind)
 
 
-def _json_cells(
-    df: DataFrame, fields: Sequence[Field], payload: Column, text: Column
-) -> tuple[DataFrame, dict[str, Cell]]:
-    raws = {f.name: F.try_variant_get(payload, f"$.{f.raw_key}", "variant") for f in fields}
-    df = df.withColumns(
-        {
-            **{f"_type_{n}": F.schema_of_variant(raw) for n, raw in raws.items()},
-            # The texts of all fields in one pass over the document.
-            "_texts": F.from_json(text, ", ".join(f"`{f.raw_key}` STRING" for f in fields)),
-        }
-    )
+def _json_cells(df: DataFrame, fields: Sequence[Field], payload: Column) -> tuple[DataFrame, dict[str, Cell]]:
+    """The document is unfolded once, into a map of its fields; types and values are read from there."""
+    df = df.withColumn("_cells", payload.try_cast("map<string,variant>"))
+    df = df.withColumns({f"_raw_{f.name}": F.try_element_at("_cells", F.lit(f.raw_key)) for f in fields})
+    df = df.withColumns({f"_type_{f.name}": F.schema_of_variant(f"_raw_{f.name}") for f in fields})
     cells = {}
     for f in fields:
-        json_type, field_text = F.col(f"_type_{f.name}"), F.col(f"_texts.{f.raw_key}")
-        value, convertible = _json_value(f.kind, raws[f.name], field_text, json_type)
+        json_type = F.col(f"_type_{f.name}")
+        value, convertible = _json_value(f.kind, F.col(f"_raw_{f.name}"), json_type)
         cells[f.name] = Cell(json_type.isNull(), json_type == "VOID", value, convertible)
     return df, cells
 
@@ -218,27 +208,20 @@ def _apply(
     checked = F.struct(
         message_list(F.col("_joined")).alias("errors"),
         F.struct(*[c.value.alias(n) for n, c in typed.items()]).alias("rec"),
+        *([extras.alias("_extras")] if extras is not None else []),
     )
     out = df.select(*keep, F.inline(F.array(checked)))
     hashed = {f.name: F.col(f"rec.{f.name}") for f in fields}
-    return out.withColumn("checksum", record_checksum(hashed, extras))
+    return out.withColumn("checksum", record_checksum(hashed, None if extras is None else F.col("_extras"))).drop("_extras")
 
 
-def validate_json(
-    df: DataFrame, fields: Sequence[Field], payload: str = "payload", text: str = "data"
-) -> DataFrame:
-    """Validate a document given as VARIANT and as the text it was parsed from; undeclared keys are
-    kept and enter the checksum."""
+def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payload") -> DataFrame:
+    """Validate a document given as VARIANT; undeclared keys are kept and enter the checksum."""
     declared = [f.raw_key for f in fields]
-    extras = F.map_filter(
-        F.col(payload).try_cast("map<string,variant>"), lambda k, v: ~k.isin(*declared)
-    )
-    malformed = F.when(
-        F.col(payload).isNull() | ~F.schema_of_variant(F.col(payload)).startswith("OBJECT"),
-        F.lit("record: not an object"),
-    )
-    staged, cells = _json_cells(df, fields, F.col(payload), F.col(text))
-    return _apply(staged, df.columns, fields, cells, extras, [malformed])
+    staged, cells = _json_cells(df, fields, F.col(payload))
+    staged = staged.withColumn("_extras", F.map_filter("_cells", lambda k, v: ~k.isin(*declared)))
+    malformed = F.when(F.col("_cells").isNull(), F.lit("record: not an object"))
+    return _apply(staged, df.columns, fields, cells, F.col("_extras"), [malformed])
 
 
 def validate_text(

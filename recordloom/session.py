@@ -23,9 +23,6 @@ def build_session(app_name: str = "recordloom", master: str | None = None, **con
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # Call sites per Column cost a gateway round trip each; plans here have thousands of Columns.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        # Validation rules generate methods beyond the 8,000 bytes that the JVM compiles by default.
-        "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
-        "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

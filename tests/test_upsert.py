@@ -95,9 +95,12 @@ def test_raw_upsert_keeps_first_checksum(spark):
 
 def test_winners_are_found_without_a_sort_of_rows(spark):
     """Only keys, sequences and fixed-width columns are aggregated, by hash and before the shuffle."""
-    plan = U.upsert_unified(writes(spark)[1])._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and "partial_max(" in plan and "LeftSemi" in plan
+    rows = writes(spark)[1].withColumns({"ingested_at": F.col("written_at"), "updated_at": F.col("written_at")})
+    reduced = U.reduce_by_key(rows, ["canonical_id"], U.LAST_WRITE, U.FIRST_WRITE, stored=True)
+    plan = reduced._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "partial_max(" in plan
     assert all("content" not in line for line in plan.splitlines() if "partial_max(" in line)
+    assert table(reduced) == table(U.upsert_unified(writes(spark)[1]))
 
 
 def test_sequences_keep_the_order_of_their_parts(spark):
@@ -114,7 +117,7 @@ def test_columns_of_every_width_and_shared_sequences(spark):
     """Keys may share a sequence and be null; null values count."""
     rows = [("a", 1, None, 1.0), ("a", 2, "x", None), (None, 2, "y", 2.0), (None, 1, "z", 3.0), ("b", 2, None, None)]
     df = U.versioned(spark.createDataFrame(rows, "k string, seq long, wide string, thin double"))
-    got = U.reduce_by_key(df, ["k"], ["wide", "thin"], [], written_once=True).collect()
+    got = U.reduce_by_key(df, ["k"], ["wide", "thin"], [], stored=True).collect()
     assert {r.k: (r.wide, r.thin) for r in got} == {"a": ("x", None), None: ("y", 2.0), "b": (None, None)}
-    got = U.reduce_by_key(df, ["k"], [], ["wide", "thin"], written_once=True).collect()
+    got = U.reduce_by_key(df, ["k"], [], ["wide", "thin"], stored=True).collect()
     assert {r.k: (r.wide, r.thin) for r in got} == {"a": (None, 1.0), None: ("z", 3.0), "b": (None, None)}

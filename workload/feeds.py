@@ -214,10 +214,6 @@ DERIVED = {
 }
 
 
-#: Session setting of the benchmark; see ``feed``.
-REBALANCE = "spark.recordloom.rebalanceInput"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -225,15 +221,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def feed(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
     """A derived feed. Files of the given tables hold zone-less times; they are UTC instants here.
 
-    ``heavy`` announces CPU-bound work per row. Only where the session sets ``REBALANCE`` (the
-    benchmark does: its files have one row group each) such a scan is dealt out anew.
+    ``heavy`` announces CPU-bound work per row: a file of one row group is one task however long that takes, so its rows are
+    dealt out over ``spark.sql.shuffle.partitions`` first. Moving a row costs little of what parsing its document does.
     """
     text, base = DERIVED[name]
     # Braces of JSON texts are doubled, the one of the table is a parameter.
     template = text.replace("{", "{{").replace("}", "}}").replace(f"FROM {base}", f"FROM {{{base}}}")
     rows = table(spark, sf_dir, base)
-    if heavy and spark.conf.get(REBALANCE, "false") == "true":
-        rows = rows.repartition(spark.sparkContext.defaultParallelism)
+    if heavy:
+        rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     df = spark.sql(template, **{base: rows})
     zoneless = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
