@@ -7,8 +7,9 @@ that has any. A language that lacks a known word or n-gram gets a penalty. The t
 mean over its words.
 
 The model is fitted on a bounded sample of labelled documents: about ``per_language`` documents of
-each language, chosen by a hash of the id, and at most ``entries`` words and n-grams, the most
-frequent ones. Predictions read the whole text and nothing else.
+each language, chosen by a hash of the id, and of each language its ``entries`` most frequent words and n-grams, so that a
+rare language keeps as many as a frequent one. It is held as sorted 64-bit hashes with the languages and scores of each.
+Predictions read the whole text and nothing else.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or a table without a
 label to learn from; ties go to the language with more documents, then by name; repeated rows get
@@ -20,11 +21,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import blocks, narrowed
@@ -32,15 +34,17 @@ from recordloom.llm.common import blocks, narrowed
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST_GRAM = 5
+#: Documents of each language that the model learns from, and entries it keeps of each.
+PER_LANGUAGE, ENTRIES = 3_000, 150_000
 #: Added to the largest score of the model where a language lacks an entry, in natural logarithms.
 PENALTY = 2.0
-REMEMBERED = 120_000
+REMEMBERED = 60_000
 #: Absolute fit: quantile of the share of known words, words of a document that counts for it, and chance of a wrong rejection.
 LOW = 0.01
 EVIDENCE = 20
 CHANCE = 0.001
-#: Words from which the share required no longer grows.
-MANY = 200
+#: A document whose best language is less likely than this among the learned ones is rejected.
+LEAST_SCORE = 0.4
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -48,16 +52,20 @@ def grams(word: str, n: int) -> list[str]:
     return [held[i : i + n] for i in range(len(held) - n + 1)] if n > 1 else list(word)
 
 
+def entry_key(size: int, entry: str) -> int:
+    """Hash of an entry; size 0 is a whole word. (A size as seed would not do: short inputs of other seeds collide.)"""
+    return xxhash.xxh3_64_intdigest(f"{size}{entry}".encode("utf-8", "surrogatepass"))
+
+
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, size, entry, n) of a stretch of labelled texts; size 0 is a whole word."""
+    """(lang, size, key, n) of a stretch of labelled texts."""
     counts: Counter = Counter()
 
     def flush():
-        columns = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) if counts else [()] * 4
-        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()]
-        out = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        columns = list(zip(*((lang, size, entry_key(size, entry), n) for (lang, size, entry), n in counts.items()), strict=True)) if counts else [()] * 4
+        out = [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(np.array(columns[2], dtype=np.uint64).view(np.int64)), pa.array(columns[3], pa.int64())]
         counts.clear()
-        return pa.RecordBatch.from_arrays(out, names=["lang", "size", "entry", "n"])
+        return pa.RecordBatch.from_arrays(out, names=["lang", "size", "key", "n"])
 
     for block in blocks(batches, "text"):
         words: Counter = Counter()
@@ -68,46 +76,78 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for size in range(1, LONGEST_GRAM + 1):
                 for g in grams(word, size):
                     counts[lang, size, g] += n
-        if len(counts) > 1_000_000:
+        if len(counts) > 300_000:
             yield flush()
     yield flush()
 
 
 class Model:
-    """Scores per entry and language; ``tables[size][entry]`` is a row of ``scores``."""
+    """Scores per entry and language: those of ``keys[i]`` stand from ``start[i]`` to ``start[i + 1]`` in ``lang`` and ``score``."""
 
-    def __init__(self, languages: list[str], rows: list[tuple[str, int, str, int]]):
-        self.languages = languages
+    def __init__(self, languages: list[str], rows: Sequence[tuple[str, int, str, int]] = ()):
+        """From (language, size, entry, count)."""
         at = {lang: i for i, lang in enumerate(languages)}
-        totals = np.zeros((LONGEST_GRAM + 1, len(languages)))
-        for lang, size, _, n in rows:
-            totals[size, at[lang]] += n
-        self.tables: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-        counts, sizes = [], []
-        for lang, size, entry, n in rows:
-            place = self.tables[size].setdefault(entry, len(counts))
-            if place == len(counts):
-                counts.append([0] * len(languages))
-                sizes.append(size)
-            counts[place][at[lang]] += n
-        table = np.array(counts, dtype=float).reshape(len(counts), len(languages))
-        share = table / np.maximum(totals[np.array(sizes, dtype=int)], 1)
-        with np.errstate(divide="ignore"):
-            self.scores = np.log(share)
-        known = self.scores[np.isfinite(self.scores)]
-        self.floor = float(known.min() - PENALTY) if len(known) else -math.log(2)
-        self.scores[~np.isfinite(self.scores)] = self.floor
-
-    def score_word(self, word: str) -> np.ndarray:
-        place = self.tables[0].get(word)
-        if place is not None:
-            return self.scores[place]
+        columns = list(zip(*((at[lang], size, entry_key(size, entry), n) for lang, size, entry, n in rows), strict=True)) or [()] * 4
+        self._fill(languages, *(np.array(c, dtype=t) for c, t in zip(columns, (np.int64, np.int64, np.uint64, np.int64), strict=True)))
+
+    @classmethod
+    def of(cls, languages: list[str], lang: np.ndarray, size: np.ndarray, key: np.ndarray, n: np.ndarray) -> Model:
+        model = cls.__new__(cls)
+        model._fill(languages, lang, size, key, n)
+        return model
+
+    def _fill(self, languages: list[str], lang: np.ndarray, size: np.ndarray, key: np.ndarray, n: np.ndarray) -> None:
+        self.languages = languages
+        totals = np.zeros((LONGEST_GRAM + 1, max(len(languages), 1)))
+        np.add.at(totals, (size, lang), n)
+        order = np.lexsort((lang, key))
+        lang, size, key, n = lang[order], size[order], key[order], n[order]
+        score = np.log(n / np.maximum(totals[size, lang], 1))
+        self.floor = float(score.min() - PENALTY) if len(score) else -math.log(2)
+        self.keys, self.start = np.unique(key, return_index=True)
+        self.start = np.append(self.start, len(key))
+        self.lang, self.score = lang.astype(np.uint16), score.astype(np.float32)
+
+    def find(self, hashes: list[int]) -> np.ndarray:
+        """Place of each hash among the keys, -1 where the model does not know it."""
+        wanted = np.array(hashes, dtype=np.uint64)
+        if not len(self.keys):
+            return np.full(len(wanted), -1)
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[place] == wanted, place, -1)
+
+    def rows(self, places: np.ndarray) -> np.ndarray:
+        """Score of each place in every language."""
+        size = self.start[places + 1] - self.start[places]
+        row = np.repeat(np.arange(len(places)), size)
+        at = np.repeat(self.start[places], size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        out = np.full((len(places), len(self.languages)), self.floor, dtype=np.float32)
+        out[row, self.lang[at]] = self.score[at]
+        return out
+
+    def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per word its scores in all languages, and in which of them it is known as a word."""
+        scores = np.full((len(words), len(self.languages)), self.floor, dtype=np.float32)
+        whole = np.zeros(scores.shape, dtype=bool)
+        found = self.find([entry_key(0, w) for w in words])
+        known = np.flatnonzero(found >= 0)
+        scores[known] = self.rows(found[known])
+        whole[known] = scores[known] > self.floor
+        rest = np.flatnonzero(found < 0)
         for size in range(LONGEST_GRAM, 0, -1):
-            table = self.tables[size]
-            found = [table[g] for g in grams(word, size) if g in table]
-            if found:
-                return self.scores[found].mean(axis=0)
-        return np.full(len(self.languages), self.floor)
+            if not len(rest):
+                break
+            parts = [grams(words[i], size) for i in rest]
+            owner = np.repeat(np.arange(len(rest)), [len(p) for p in parts])
+            place = self.find([entry_key(size, g) for p in parts for g in p])
+            owner, place = owner[place >= 0], place[place >= 0]
+            n = np.bincount(owner, minlength=len(rest))
+            sums = np.zeros((len(rest), len(self.languages)))
+            np.add.at(sums, owner, self.rows(place))
+            some = n > 0
+            scores[rest[some]] = sums[some] / n[some, None]
+            rest = rest[~some]
+        return scores, whole
 
 
 class Predictor:
@@ -119,62 +159,85 @@ class Predictor:
 
     def reset(self) -> None:
         self.places: dict[str, int] = {}
-        self.rows = np.zeros((1024, len(self.model.languages)))
+        self.rows = np.zeros((1024, len(self.model.languages)), dtype=np.float32)
         self.whole = np.zeros(self.rows.shape, dtype=bool)
 
-    def _place(self, word: str) -> int:
-        place = self.places[word] = len(self.places)
-        if place == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.whole = np.concatenate([self.whole, np.zeros_like(self.whole)])
-        self.rows[place] = self.model.score_word(word)
-        self.whole[place] = word in self.model.tables[0] and self.rows[place] > self.model.floor
-        return place
+    def _learn(self, words: list[str]) -> None:
+        new = [w for w in dict.fromkeys(words) if w not in self.places]
+        if not new:
+            return
+        need = len(self.places) + len(new)
+        if need > len(self.rows):
+            grown = np.zeros((max(need, 2 * len(self.rows)), self.rows.shape[1]), dtype=np.float32)
+            grown[: len(self.rows)] = self.rows
+            whole = np.zeros(grown.shape, dtype=bool)
+            whole[: len(self.whole)] = self.whole
+            self.rows, self.whole = grown, whole
+        at = slice(len(self.places), need)
+        self.rows[at], self.whole[at] = self.model.score_words(new)
+        self.places.update(zip(new, range(at.start, need), strict=True))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        return self.look(text)[:2]
-
-    def look(self, text: str | None) -> tuple[str, float, int, int]:
-        """Language, score, number of words, and of those the model knows as words of that language."""
-        words = WORD.findall(text.lower()) if text else []
+        return self.look([text])[0][:2]
+
+    def look(self, texts: list[str | None]) -> list[tuple[str, float, int, int]]:
+        """Per text: language, score, number of words, and of those the model knows as words of that language."""
+        split = [WORD.findall(t.lower()) if t else [] for t in texts]
+        if self.model.languages:
+            if len(self.places) > REMEMBERED:
+                self.reset()
+            self._learn([w for words in split for w in words])
+        return [self._judge(words) for words in split]
+
+    def _judge(self, words: list[str]) -> tuple[str, float, int, int]:
         if not self.model.languages or not any(c.isalpha() for w in words for c in w):
             return UNKNOWN, 0.0, len(words), 0
-        if len(self.places) > REMEMBERED:
-            self.reset()
-        known, place = self.places.get, self._place
-        at = [i if (i := known(w)) is not None else place(w) for w in words]
-        score = self.rows[at].mean(axis=0)
+        at = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+        score = self.rows[at].mean(axis=0, dtype=np.float64)
         best = int(score.argmax())  # the first of equals
         odds = np.exp(np.clip((score - score[best]) * min(len(words), 20), -60, 0))
         return self.model.languages[best], float(1 / odds.sum()), len(words), int(self.whole[at, best].sum())
 
 
-def fit(labelled: DataFrame, lang_col: str, id_col: str, text_col: str, per_language: int = 2_000, entries: int = 200_000) -> Model:
-    """Fit on rows with a label: about ``per_language`` documents of each language and ``entries`` entries at most."""
+#: Steps of the draw that chooses documents; a share of a table of any size is a number of them.
+_DRAW = 1 << 60
+
+
+def _about(lang: Column, sizes: dict[str, int], per_language: int, key: str) -> Column:
+    """Documents chosen by a hash: about ``per_language`` of each language."""
+    chosen, draw = F.lit(False), F.pmod(F.xxhash64(F.col(key)), F.lit(_DRAW))
+    for name, n in sizes.items():
+        chosen = chosen | ((lang == name) & (draw < math.ceil(_DRAW * min(1.0, per_language / n))))
+    return chosen
+
+
+def fit(labelled: DataFrame, lang_col: str, id_col: str, text_col: str, per_language: int = PER_LANGUAGE, entries: int = ENTRIES) -> Model:
+    """Fit on rows with a label: about ``per_language`` documents and at most ``entries`` entries of each language."""
     texts = labelled.select(
         F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")
     ).filter("lang IS NOT NULL")
     sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     if not languages:
-        return Model([], [])
-    chosen = F.lit(False)
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    for lang in languages:
-        chosen = chosen | ((F.col("lang") == lang) & (draw < math.ceil(1_000_000 * min(1.0, per_language / sizes[lang]))))
-    counts = texts.filter(chosen).select("lang", "text").mapInArrow(_count_rows, "lang string, size int, entry string, n long")
-    totals = counts.groupBy("lang", "size", "entry").agg(F.sum("n").alias("n")).filter("n > 1 OR size = 0")
-    top = totals.orderBy(F.desc("n"), "size", "entry", "lang").limit(entries)
-    return Model(languages, [tuple(r) for r in top.toArrow().to_pandas().itertuples(index=False)])
+        return Model([])
+    chosen = texts.filter(_about(F.col("lang"), sizes, per_language, "doc_id"))
+    counts = chosen.select("lang", "text").mapInArrow(_count_rows, "lang string, size int, key long, n long")
+    totals = counts.groupBy("lang", "size", "key").agg(F.sum("n").alias("n")).filter("n > 1 OR size = 0")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "size", "key"))
+    top = totals.withColumn("rank", rank).filter(F.col("rank") <= entries).select("lang", "size", "key", "n").toArrow()
+    at = {lang: i for i, lang in enumerate(languages)}
+    lang = np.array([at[x] for x in top.column("lang").to_pylist()], dtype=np.int64)
+    size, key, n = (top.column(c).to_numpy().astype(np.int64) for c in ("size", "key", "n"))
+    return Model.of(languages, lang, size, key.view(np.uint64), n)
 
 
 def _predict_rows(model: Model):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(model)
         for block in blocks(batches, "text"):
-            found = [predictor.predict(t.as_py()) for t in block.column(1)]
+            found = predictor.look(block.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([y for _, y in found], pa.float64())],
+                [block.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())],
                 names=["doc_id", "lang_pred", "score"],
             )
 
@@ -186,50 +249,70 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     return narrowed(docs, id_col, text_col).mapInArrow(_predict_rows(model), "doc_id long, lang_pred string, score double")
 
 
-def predict_column(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_lang_pred``, ``_score``, ``_words`` and ``_known``, for decisions on whole rows. No shuffle."""
-
-    @F.pandas_udf("lang string, score double, words long, known long")
-    def look(texts):
-        import pandas as pd
-
+def _share_rows(model: Model):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predictor = Predictor(model)
-        return pd.DataFrame([predictor.look(t) for t in texts], columns=["lang", "score", "words", "known"])
+        for block in blocks(batches, "text"):
+            found = zip(block.column(0).to_pylist(), predictor.look(block.column(1).to_pylist()), strict=True)
+            good = [(lang, known / words) for lang, (best, _, words, known) in found if best == lang and words >= EVIDENCE]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in good], pa.string()), pa.array([x[1] for x in good], pa.float64())], names=["lang", "share"])
 
-    found = look(F.col(f"`{text_col}`").cast("string"))
-    return docs.withColumn("_found", found).select(
-        *[F.col(f"`{c}`") for c in docs.columns], F.col("_found.lang").alias("_lang_pred"), F.col("_found.score").alias("_score"),
-        F.col("_found.words").alias("_words"), F.col("_found.known").alias("_known"),
-    )
+    return rows
 
 
-def known_shares(labelled: DataFrame, model: Model, lang_col: str, text_col: str, per_language: int = 2_000) -> dict[str, float]:
+def known_shares(labelled: DataFrame, model: Model, lang_col: str, text_col: str, per_language: int = PER_LANGUAGE) -> dict[str, float]:
     """Per language the share of known words that all but LOW of its documents of EVIDENCE words or more reach.
 
-    ``labelled`` are documents the model has not learned from; about ``per_language`` of each language are read.
+    ``labelled`` are documents the model has not learned from; about ``per_language`` of each language are read. A language
+    without such documents takes the least share of the others.
     """
     texts = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.filter(F.col("lang").isin(model.languages))
     sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for lang, n in sizes.items():
-        chosen = chosen | ((F.col("lang") == lang) & (draw < math.ceil(1_000_000 * min(1.0, per_language / n))))
-    found = predict_column(texts.filter(chosen), model).filter((F.col("_lang_pred") == F.col("lang")) & (F.col("_words") >= EVIDENCE))
-    shares = found.groupBy("lang").agg(F.percentile(F.col("_known") / F.col("_words"), F.lit(LOW)).alias("share"))
-    return {r["lang"]: r["share"] for r in shares.collect()}
+    found = texts.filter(_about(F.col("lang"), sizes, per_language, "text")).mapInArrow(_share_rows(model), "lang string, share double")
+    shares = {r["lang"]: r["share"] for r in found.groupBy("lang").agg(F.percentile("share", F.lit(LOW)).alias("share")).collect()}
+    return {lang: shares.get(lang, min(shares.values(), default=0.0)) for lang in model.languages}
 
 
-def least_known(words: int, share: float) -> int:
+class LeastKnown:
     """Fewest known words of a text of a language of which at least ``share`` of the words are known: fewer have a chance below CHANCE."""
-    total, term = 0.0, 0.0
-    for k in range(words + 1):
-        term = math.exp(math.lgamma(words + 1) - math.lgamma(k + 1) - math.lgamma(words - k + 1)
-                        + k * math.log(max(share, 1e-9)) + (words - k) * math.log(max(1 - share, 1e-9)))
-        total += term
-        if total >= CHANCE:
-            return k
-    return words
+
+    def __init__(self):
+        self.log_factorials = np.zeros(1)
+        self.found: dict[tuple[int, float], int] = {}
+
+    def __call__(self, words: int, share: float) -> int:
+        if share <= 0 or not words:
+            return 0
+        least = self.found.get((words, share))
+        if least is None:
+            if words >= len(self.log_factorials):
+                self.log_factorials = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 2 * words + 1)))])
+            f, k = self.log_factorials, np.arange(words + 1)
+            log = f[words] - f[k] - f[words - k] + k * math.log(share) + (words - k) * math.log(max(1 - share, 1e-9))
+            least = int(np.searchsorted(np.cumsum(np.exp(log)), CHANCE))
+            if len(self.found) > 20_000:
+                self.found.clear()
+            self.found[words, share] = least = min(least, words)
+        return least
+
+
+def _kept_rows(model: Model, shares: dict[str, float], text: str):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        predictor, least = Predictor(model), LeastKnown()
+        for block in blocks(batches, text):
+            found = predictor.look(block.column(block.schema.get_field_index(text)).to_pylist())
+            fits = [lang != UNKNOWN and score >= LEAST_SCORE and known >= least(words, shares[lang]) for lang, score, words, known in found]
+            yield block.filter(pa.array(fits, pa.bool_()))
+
+    return rows
+
+
+def keep_learned(docs: DataFrame, model: Model, shares: dict[str, float], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is in one of the model's languages: the best one is likely
+    enough among them, and knows as many of the words as its own documents let expect. No shuffle and no further column."""
+    typed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    return typed.mapInArrow(_kept_rows(model, shares, text_col), typed.schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
