@@ -201,12 +201,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one row of each text."""
+    """The rows of ``docs`` that stay, with all their columns; one row of each text.
+
+    Of several rows with the id that stays and an equal text, that whose columns come first as JSON stays. A row travels as one
+    struct, so no name of a column of ``docs`` can clash with one used here.
+    """
     decisions = exact_duplicates(docs, id_col, text_col, **options).filter("kept")
-    stay = decisions.select(F.col("text_sha256").alias("_sha"), _id_key("doc_id").alias("_id")).distinct()
-    keys = ["_sha", "_id"]
-    keyed = docs.withColumns({"_sha": F.sha2(_normal_column(text_col), 256), "_id": _id_key(id_col)})
-    return keyed.join(stay, keys, "left_semi").dropDuplicates(keys).drop(*keys)
+    stay = decisions.select(F.col("text_sha256").alias("sha"), _id_key("doc_id").alias("id")).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    boxed = docs.select(F.struct(*columns).alias("row"), F.sha2(_normal_column(text_col), 256).alias("sha"), _id_key(id_col).alias("id"))
+    first = F.min_by("row", F.to_json("row")).alias("row")
+    return boxed.join(stay, ["sha", "id"], "left_semi").groupBy("sha", "id").agg(first).select("row.*")
 
 
 def _id_key(id_col: str):

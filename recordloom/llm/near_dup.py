@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from recordloom.llm.common import Words, blocks, cut, mix, narrowed, text_buffer, written
 from recordloom.llm.components import block_grid, connected, open_clusters
+from recordloom.operators.ordered import with_position
 
 SHINGLE = 5
 BUCKETS = 256
@@ -228,6 +229,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _digest(text_col: str):
+    return F.unhex(F.sha2(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary"), 256))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group the document with the smallest id.
+
+    A document is an id and a text. Different texts under one id are different documents, the one of the smaller SHA-256 first:
+    for the search the others get numbers behind the largest id. Rows that repeat an id and a text have one fate. Rows without
+    an id stay and decide nothing.
+    """
+    known = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("id IS NOT NULL")
+    known = known.withColumn("digest", _digest("text"))
+    largest = known.agg(F.max("id")).first()[0]
+    if largest is None:
+        return docs
+    several = known.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).filter("low < high")
+    others = known.select("id", "digest").join(several.select("id", "low"), "id").filter("digest > low").select("id", "digest").distinct()
+    others = written(with_position(others, ["id", "digest"]), "other-texts")
+    nodes = known.join(others, ["id", "digest"], "left").withColumn("node", F.coalesce(F.col("position") + largest + 1, F.col("id")))
+    found = near_duplicates(nodes, "node", "text").select(F.col("doc_id").alias("node"), "component_id").distinct()
+    placed = written(nodes.select("node", "id", "digest").distinct().join(found, "node"), "near-groups")
+    one = F.struct("id", "digest")
+    firsts = placed.groupBy("component_id").agg(F.min(one).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    gone = placed.join(firsts, "component_id").filter(one != F.col("first"))
+    names = {c: f"{c} of what goes" for c in ("id", "digest")}
+    while set(names.values()) & set(docs.columns):
+        names = {c: f"{n}'" for c, n in names.items()}
+    gone = gone.select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = [F.col(f"`{id_col}`") == F.col(f"`{names['id']}`"), _digest(text_col) == F.col(f"`{names['digest']}`")]
+    return docs.join(gone, same, "left_anti")
+
+
 def _grid_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cell = None
     held: tuple[list, list] = ([], [])
