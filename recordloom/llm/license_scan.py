@@ -17,6 +17,7 @@ get equal results; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -299,7 +300,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documen
     """Train on the notices and on one paragraph of about ``documents`` documents at most, chosen by a hash of the id."""
     texts = narrowed(docs, id_col, text_col)
     share = min(1.0, documents / max(texts.count(), 1))
-    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 60)) < math.ceil(share * (1 << 60)))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.length(F.trim(x)).between(1, TRAIN_LENGTH))
     line = F.element_at(lines, F.pmod(F.xxhash64("text"), F.size(lines)).cast("int") + 1)
     rows = sample.select("doc_id", F.when(F.size(lines) > 0, line).alias("line")).dropna().collect()

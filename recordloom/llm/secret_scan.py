@@ -13,6 +13,7 @@ labelled line the field adds nothing; repeated rows get equal results; other col
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -282,7 +283,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documen
     texts = narrowed(docs, id_col, text_col)
     total = texts.count()
     share = min(1.0, documents / max(total, 1))
-    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = texts.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 60)) < math.ceil(share * (1 << 60)))
     found = sample.mapInArrow(_training_rows, "doc_id long, tokens array<string>, labels array<int>, files array<int>").collect()
     found = sorted(tuple(r) for r in found if r["doc_id"] is not None)
     if not any(BEGIN in r[2] for r in found):
@@ -486,14 +487,19 @@ def redact_column(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     if tagger is not None:
         tagger.reset()
 
-    @F.pandas_udf("string")
-    def redact(texts):
-        values = texts.tolist()
-        for i in range(0, len(values), 256):
-            part = [v or "" for v in values[i : i + 256]]
-            found = field_spans(tagger, part) if tagger else [[] for _ in part]
-            clean = [redacted(t, all_spans(base_spans(t), f)) for t, f in zip(part, found, strict=True)]
-            values[i : i + 256] = [None if v is None else c for v, c in zip(values[i : i + 256], clean, strict=True)]
-        return texts.__class__(values, dtype="object")
-
-    return docs.withColumn(text_col, redact(F.col(f"`{text_col}`").cast("string")))
+    typed = docs.withColumn(text_col, F.col(f"`{text_col}`").cast("string"))
+    return typed.mapInArrow(_redact(tagger, text_col), typed.schema)
+
+
+def _redact(tagger: Tagger | None, text_col: str):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, text_col):
+            at = block.schema.get_field_index(text_col)
+            values = block.column(at).to_pylist()
+            texts = [v or "" for v in values]
+            found = field_spans(tagger, texts) if tagger else [[] for _ in texts]
+            clean = [redacted(t, all_spans(base_spans(t), f)) for t, f in zip(texts, found, strict=True)]
+            clean = pa.array([None if v is None else c for v, c in zip(values, clean, strict=True)], block.column(at).type)
+            yield block.set_column(at, block.schema.field(at), clean)
+
+    return rows

@@ -15,7 +15,8 @@ SCHEMA = "doc_id long, text string"
 def hard(spark):
     """The hard texts, with other columns under names that the operators use themselves."""
     docs = spark.createDataFrame(plain.HARD, SCHEMA).repartition(3)
-    clash = ["key", "h", "n", "rep", "component", "kept", "chunk", "short", "regs", "spans", "line", "id", "a", "b"]
+    clash = ["key", "h", "n", "rep", "component", "kept", "chunk", "short", "regs", "spans", "line", "id", "a", "b",
+             "_found", "_score", "_words", "_known", "_lang_pred", "_sha", "_id", "digest", "row"]
     return docs.withColumns({c: F.lit(None).cast("string") for c in clash})
 
 

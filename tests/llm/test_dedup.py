@@ -170,37 +170,85 @@ def test_no_line_goes_that_a_plain_comparison_keeps(small):
     assert least <= got <= most
 
 
-def _changed_lines(n, rng):
-    """Pairs of lines of ten or 25 words, of which one is another word."""
-    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5))
-    pairs = []
-    for k in range(n):
-        words = [word() for _ in range(25 if k % 3 == 2 else 10)]
-        other = list(words)
-        other[rng.randrange(len(words))] = word()
-        pairs.append((" ".join(words), " ".join(other)))
-    return pairs
-
-
-def test_recall_of_fuzzy_pairs_alone(spark):
-    """Of the pairs that a comparison of all lines finds, without equal normal forms, nearly all are found."""
-    pairs = _changed_lines(300, random.Random(3))
-    forms = [line for pair in pairs for line in pair]
+def _lines(n, length, rng):
+    """Lines of about ``length`` letters of words of three to eight."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9)))
+    pool = [word() for _ in range(3_000)]
+    out = []
+    for _ in range(n):
+        words = []
+        while sum(map(len, words)) + len(words) < length:
+            words.append(rng.choice(pool))
+        out.append(" ".join(words))
+    return out
+
+
+def _scattered(line, share, rng):
+    """``line`` with that share of its letters replaced, at places drawn one by one."""
+    letters = list(line)
+    for k in rng.sample([i for i, c in enumerate(letters) if c != " "], max(1, round(share * len(letters)))):
+        letters[k] = rng.choice([c for c in "abcdefghijklmnopqrstuvwxyz" if c != letters[k]])
+    return "".join(letters)
+
+
+def test_recall_of_scattered_changes(spark):
+    """From 200 letters on, lines of which one letter in 200 differs meet in nine of ten cases or more; nothing else is removed."""
+    rng = random.Random(3)
+    lines = _lines(250, 220, rng) + _lines(150, 420, rng)
+    forms = [x for line in lines for x in (line, _scattered(line, 0.005, rng))]
     brute = {(a, b) for a, x in enumerate(forms) for b, y in enumerate(forms) if a < b and fuzzy_lines.similar(x, y)}
-    assert brute == {(k, k + 1) for k in range(0, 600, 2)}
+    assert brute == {(k, k + 1) for k in range(0, 800, 2)}
     docs = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
     gone = {r.doc_id for r in fuzzy_lines.line_decisions(docs).collect() if r.n_removed}
-    assert gone <= {b for _, b in brute} and len(gone) >= 0.97 * len(brute)
+    assert gone <= {b for _, b in brute} and len(gone) >= 0.9 * len(brute)
 
 
-def test_a_pair_meets_in_a_table_of_any_size(spark):
-    """The keys of a line do not depend on the other lines of its table or block."""
-    import numpy as np
+def _simhashes(texts):
     import pyarrow as pa
 
-    pairs = _changed_lines(40, random.Random(4))
-    more = [f"{line} {k}x{k}" for k in range(50) for pair in pairs for line in pair]
-    alone = fuzzy_lines.Lines(pa.array(["\n".join(pair) for pair in pairs]))
-    among = fuzzy_lines.Lines(pa.array(["\n".join(pair) for pair in pairs] + more))
-    keys = [sorted(zip(*(x.tolist() for x in t.band_keys(np.arange(len(t.some)) < 80)), strict=True)) for t in (alone, among)]
-    assert keys[0] == keys[1] and keys[0]
+    lines = fuzzy_lines.Lines(pa.array(texts))
+    owner, words = lines.simhashes(np.ones(len(lines.some), dtype=bool))
+    return {int(lines.hash[k]): words[i] for i, k in enumerate(owner)}
+
+
+def test_simhash_is_the_majority_of_its_windows_wherever_a_line_stands():
+    rng = random.Random(4)
+    lines = _lines(40, 90, rng) + _lines(2, 150_000, rng) + ["ab", "x"]
+    alone = {h: w for line in lines for h, w in _simhashes([line]).items()}
+    among = _simhashes(["\n".join(lines), "something else\nentirely", *lines[:3]])
+    assert set(alone) <= set(among) and all((alone[h] == among[h]).all() for h in alone)
+    for line in lines[:5]:
+        (word,) = _simhashes([line]).values()
+        form, votes = f" {line}".encode(), []
+        for k in range(len(form) - 2):
+            value = fuzzy_lines.mix(np.array([int.from_bytes(form[k : k + 3], "big") + 0x632BE5AB], dtype=np.uint64))
+            if value[0] & np.uint64(1):
+                votes.append(np.unpackbits(fuzzy_lines.mix(value + fuzzy_lines._SEEDS).view(np.uint8)))
+        assert (np.packbits(2 * np.sum(votes, axis=0) > len(votes)).view(np.uint64) == word).all()
+
+
+def test_forms_within_the_radius_always_meet(spark):
+    """Fewer than BLOCKS differing bits leave a block without one."""
+    rng = random.Random(6)
+    lines = _lines(60, 900, rng)
+    forms = [x for line in lines for x in (line, _scattered(line, 0.001, rng))]
+    near = []
+    for k in range(0, len(forms), 2):
+        (a,), (b,) = (_simhashes([x]).values() for x in forms[k : k + 2])
+        if int(np.unpackbits((a ^ b).view(np.uint8)).sum()) < fuzzy_lines.BLOCKS:
+            near.append(k + 1)
+    docs = spark.createDataFrame(list(enumerate(forms)), "doc_id long, text string")
+    gone = {r.doc_id for r in fuzzy_lines.line_decisions(docs).collect() if r.n_removed}
+    assert len(near) > 20 and set(near) <= gone
+
+
+def test_stages_keep_columns_of_any_name_and_texts_under_a_repeated_id(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    rows = [(3, text), (7, text + " more"), (7, "another text that nothing else in this table resembles at all"), (9, text), (None, text), (9, text)]
+    docs = spark.createDataFrame([(i, t, "a", k, "d", "r") for k, (i, t) in enumerate(rows)], "doc_id long, text string, _sha string, _id int, digest string, row string")
+    kept = near_dup.drop_near_duplicates(docs).orderBy("_id").collect()
+    assert [tuple(r) for r in kept] == [(*rows[k], "a", k, "d", "r") for k in (0, 2, 4)]
+    exact = exact_dedup.drop_exact_duplicates(docs).orderBy("_id").collect()
+    assert [tuple(r) for r in exact] == [(*rows[k], "a", k, "d", "r") for k in (0, 1, 2)]
+    tied = docs.filter("doc_id = 9").withColumn("row", docs._id.cast("string"))
+    assert exact_dedup.drop_exact_duplicates(tied).first().row == "3"

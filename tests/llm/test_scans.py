@@ -23,6 +23,31 @@ def test_language(small, spark, empty):
     assert {r.lang_pred for r in language_id.predict(docs, nothing).collect()} == {"und"}
 
 
+def test_a_rare_language_keeps_its_entries(spark):
+    """The cut is per language: a language of a hundredth of the documents keeps as many entries as any."""
+    spell = lambda n: "".join("bdfglmnprs"[int(d)] + "aeiou"[int(d) % 5] for d in str(n))
+    common = [(k, "en", " ".join(f"the{spell((k * 7 + j) % 997)} and{spell(j % 31)}" for j in range(60))) for k in range(600)]
+    rare = [(10_000 + k, "xx", " ".join(f"zu{spell((k * 5 + j) % 89)}q ka{spell(j % 13)}" for j in range(30))) for k in range(6)]
+    docs = spark.createDataFrame(common + rare, "doc_id long, lang string, text string")
+    model = language_id.fit(docs, "lang", "doc_id", "text", entries=150)
+    held = {lang: int((model.lang == i).sum()) for i, lang in enumerate(model.languages)}
+    assert held["en"] == 150 and held["xx"] == 150
+    assert language_id.Predictor(model).predict(f"zu{spell(3)}q ka{spell(1)} zu{spell(77)}q")[0] == "xx"
+
+
+def test_rejection_keeps_all_columns_and_knows_the_words_expected():
+    import pyarrow as pa
+
+    model = language_id.Model(["en"], [("en", 0, w, 5) for w in ("plain", "words", "of", "prose")])
+    batch = pa.RecordBatch.from_pydict({"_found": [{"a": 1}] * 3, "_score": [1, 2, 3], "text": ["plain words of prose " * 9, "zzz qqq " * 30, None]})
+    (out,) = language_id._kept_rows(model, {"en": 0.9}, "text")(iter([batch]))
+    assert out.schema == batch.schema and out.column(1).to_pylist() == [1]
+    least = language_id.LeastKnown()
+    exact = lambda n, p: next(k for k in range(n + 1) if sum(__import__("math").comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) >= language_id.CHANCE)
+    assert [least(n, 0.8) for n in (1, 5, 30, 300, 900)] == [exact(n, 0.8) for n in (1, 5, 30, 300, 900)]
+    assert 0.79 * 100_000 < least(100_000, 0.8) < 80_000
+
+
 def test_unknown_words_back_off_to_grams():
     rows = [("en", 0, "word", 5), ("fr", 0, "mot", 5), ("en", 2, "rd", 5), ("fr", 1, "m", 5), ("en", 1, "w", 5)]
     model = language_id.Model(["en", "fr"], rows)
