@@ -4,8 +4,10 @@ The model file is a protobuf message; it is parsed here, and normaliser, blank m
 and byte fallback are rebuilt as a ``tokenizers`` pipeline. BPE models become merges ordered by the
 score of the merged piece, unigram models keep their scores. Where no piece of the vocabulary goes on
 after a blank marker, text is cut before each run of markers: no merge crosses such a cut, so the
-stretches are encoded apart, as multithreaded batches, and remembered. Every text is also encoded by
-the ``sentencepiece`` library, and ``parity`` tells whether the ids agree.
+stretches are encoded apart, as multithreaded batches, and remembered. In unigram models two segmentations of a stretch can have
+the same score; then single-precision sums over the whole text decide, so a text with such a stretch is segmented as a whole.
+Every text is also encoded by the ``sentencepiece`` library, and ``parity`` tells whether the ids agree; for unigram models with
+user-defined pieces it is reported, not promised.
 
 Defined results: a null or empty text has no ids; control pieces are never produced from text;
 ``round_trip`` tells whether decoding gives the text back, which byte fallback makes true wherever the
@@ -113,6 +115,71 @@ class Spec:
         return [(self.pieces[left][0], self.pieces[right][0]) for _, _, left, right in sorted(found)]
 
 
+class Unigrams:
+    """Segmentations by unigram scores, for texts in which rounding decides between equal ones."""
+
+    #: What an unknown character costs below the least score; differences that single precision may not tell apart.
+    UNKNOWN_COST, CLOSE = 10.0, 1e-2
+
+    def __init__(self, spec: Spec, unknown: int):
+        usable = [(p, i, s, kind) for i, (p, s, kind) in enumerate(spec.pieces) if kind in (NORMAL, USER)]
+        scores = [s for _, _, s, kind in usable if kind == NORMAL]
+        self.least, most = min(scores, default=0.0), max(scores, default=0.0)
+        # A user's own piece outbids any other segmentation of its characters.
+        self.pieces = {p: (i, len(p.encode()) * most - 0.1 if kind == USER else s) for p, i, s, kind in usable}
+        self.longest = max(map(len, self.pieces), default=1)
+        others = [re.escape(p) for p, _, kind in spec.pieces if p and kind != NORMAL]
+        self.special = re.compile("|".join(others) or "(?!)")
+        self.unknown = unknown
+        self.bytes = {int(p[1:-1], 16): i for i, (p, _, kind) in enumerate(spec.pieces) if kind == BYTE} if spec.byte_fallback else {}
+
+    def _candidates(self, text: str, start: int) -> Iterator[tuple[int, int, float]]:
+        """(end, id, score) of the pieces that begin at a place, the shortest first; an unknown character is one of its own."""
+        get, single = self.pieces.get, False
+        for end in range(start + 1, min(len(text), start + self.longest) + 1):
+            found = get(text[start:end])
+            if found is not None:
+                single |= end == start + 1
+                yield end, *found
+        if not single:
+            yield start + 1, self.unknown, self.least - self.UNKNOWN_COST
+
+    def tied(self, text: str) -> bool:
+        """Whether two ways of reaching some place of the text are about equally good, or it spells a special piece."""
+        if self.special.search(text):
+            return True
+        best = [0.0] + [-np.inf] * len(text)
+        for start in range(len(text)):
+            for end, _, score in self._candidates(text, start):
+                score += best[start]
+                if abs(score - best[end]) < self.CLOSE:
+                    return True
+                best[end] = max(best[end], score)
+        return False
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of the best segmentation, its scores added up in single precision from the start of the text."""
+        best, back = np.full(len(text) + 1, -np.inf, dtype=np.float32), [(0, 0)] * (len(text) + 1)
+        best[0] = 0
+        for start in range(len(text)):
+            for end, piece, score in self._candidates(text, start):
+                reached = best[start] + np.float32(score)
+                if reached > best[end]:
+                    best[end], back[end] = reached, (start, piece)
+        out: list[int] = []
+        at = len(text)
+        while at:
+            start, piece = back[at]
+            if piece != self.unknown:
+                out.append(piece)
+            elif self.bytes:
+                out.extend(self.bytes[b] for b in reversed(text[start:at].encode()))
+            elif not out or out[-1] != self.unknown:
+                out.append(piece)
+            at = start
+        return np.array(out[::-1], dtype="<u4")
+
+
 class Codec:
     """Encoder and decoder of one model file."""
 
@@ -122,6 +189,8 @@ class Codec:
         from tokenizers import Regex, Tokenizer, models, normalizers
 
         spec = self.spec = Spec.parse(message)
+        self.unigrams: Unigrams | None = None
+        self.tied: set[str] = set()  # stretches with two equal segmentations
         if spec.suffix_marker:
             raise ValueError("models with the blank marker as suffix are not supported")
         vocab = {p: i for i, (p, _, _) in enumerate(spec.pieces)}
@@ -132,6 +201,7 @@ class Codec:
             )
         elif spec.model == UNIGRAM:
             model = models.Unigram([(p, s) for p, s, _ in spec.pieces], unknown, spec.byte_fallback)
+            self.unigrams = Unigrams(spec, unknown)
         else:
             raise ValueError("only BPE and unigram models are supported")
         self.tokenizer = Tokenizer(model)
@@ -182,6 +252,7 @@ class Codec:
         if len(self.known) + len(self.words) > REMEMBERED:
             self.known.clear()
             self.words.clear()
+            self.tied.clear()
         known, words = self.known, self.words
         plain = [self.plain_words(t) for t in texts]
         cut = [None if p is not None else self.stretches(t) for p, t in zip(plain, texts, strict=True)]
@@ -196,8 +267,15 @@ class Codec:
                 (words if len(x) <= 32 else long_words)[x] = ids
             for x, ids in zip(new, found[len(new_words) :], strict=True):
                 (known if len(x) <= 32 else long_ones)[x] = ids
+        tied = set(self.tied)
+        if self.unigrams is not None:
+            tied.update(x for x in spelled if self.unigrams.tied(x))
+            self.tied.update(x for x in tied if len(x) <= 33)
         out = []
-        for p, c in zip(plain, cut, strict=True):
+        for text, p, c in zip(texts, plain, cut, strict=True):
+            if tied and any(MARK + x in tied for x in p) if p is not None else any(x in tied for x in c):
+                out.append(self.unigrams.ids(self.normal(text)))
+                continue
             held, extra, parts = (words, long_words, p) if p is not None else (known, long_ones, c)
             got = [held[x] if x in held else extra[x] for x in parts] if extra else list(map(held.__getitem__, parts))
             out.append(np.frombuffer(b"".join(got), dtype="<u4"))

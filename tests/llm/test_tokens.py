@@ -84,6 +84,34 @@ def test_odd_texts_keep_parity():
     assert [x.tolist() for x in codec.encode(odd)] == known.encode(odd)
 
 
+@pytest.mark.parametrize("options", [
+    {"byte_fallback": True},
+    {"byte_fallback": False},
+    {"byte_fallback": True, "normalization_rule_name": "identity", "remove_extra_whitespaces": False},
+    {"byte_fallback": True, "add_dummy_prefix": False},
+])
+def test_unigram_models_keep_parity(small, options):
+    """Models trained here: scores, byte fallback and normaliser give the library's ids on every line, tie and odd text."""
+    import io
+
+    import sentencepiece
+
+    texts = [t for _, t in small[1] if t]
+    lines = [x for t in texts for x in t.split("\n") if x.strip()]
+    message = io.BytesIO()
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines[:4000]), model_writer=message, vocab_size=700, model_type="unigram", character_coverage=0.995,
+        minloglevel=2, num_threads=1, **options,
+    )
+    codec = sentencepiece_codec.Codec(message.getvalue())
+    known = sentencepiece.SentencePieceProcessor(model_proto=message.getvalue())
+    more = ["▁x ▁▁ y", "<s> </s> <unk> <0x41>", "  lead", "trail  ", "ﬁ ①② Ünïcode", "日本語日本 語", "### ## #### $$$ $$ $", "ＡＢＣ é", "\u200b a\u200bb", "que quequ"]
+    odd = [*lines, *texts, *ODD, *more, *[t or "" for _, t in plain.HARD if len(t or "") < 10_000]]
+    assert codec.spec.model == sentencepiece_codec.UNIGRAM
+    assert [x.tolist() for x in codec.encode(odd)] == known.encode(odd)
+    assert any(codec.unigrams.tied(x) for x in ("▁###", "▁$$$")) or not codec.tied
+
+
 def test_pipeline_equals_its_plain_version(spark, small):
     """Stage by stage on the same documents: what stays, and every token of it in the sequences."""
     docs, pairs = small
