@@ -8,7 +8,7 @@ is trained here, on the notices below with words left out and other text around
 paragraphs of a bounded sample of the corpus as ``unknown``. Probabilities are calibrated on held-out
 paragraphs by a temperature, and a family is only predicted above the level that the held-out unknown
 ones stay under. A prediction counts if the line or stretch also holds most word pairs of a notice of that
-family. A stretch that overlaps a line that counts is the same notice; of overlapping stretches the best counts.
+family, where any version stands for any other, or an SPDX expression that names it. A stretch that overlaps a line that counts is the same notice; of overlapping stretches the best counts.
 
 Defined results: a null or empty text has no paragraph; lines without a word are none; repeated rows
 get equal results; an empty table gives no rows; other columns are not read.
@@ -34,40 +34,37 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License',
         "This project is distributed under the terms of the Apache License 2.0",
-        "SPDX-License-Identifier: Apache-2.0",
     ),
     "MIT": (
         "Released under the MIT License",
         "This software is licensed under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-        "SPDX-License-Identifier: MIT",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "Licensed under the GNU GPL version 2 or later",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Distributed under the GNU General Public License v3.0",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1",
         "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
-        "SPDX-License-Identifier: LGPL-3.0-only",
+        "Distributed under the GNU Lesser General Public License v3.0",
     ),
     "AGPL": (
         "Licensed under the GNU Affero General Public License, version 3",
         "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
-        "SPDX-License-Identifier: AGPL-3.0-only",
+        "Distributed under the GNU Affero General Public License v3.0",
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Use of this source code is governed by a BSD-style license",
         "Released under the BSD 3-Clause License",
-        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
         "Licensed under the Mozilla Public License 2.0",
-        "SPDX-License-Identifier: MPL-2.0",
+        "Mozilla Public License Version 2.0",
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
@@ -76,7 +73,6 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "CC-BY": (
         "Licensed under CC BY 4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
-        "SPDX-License-Identifier: CC-BY-4.0",
     ),
     "CC-BY-SA": (
         "Licensed under CC BY-SA 4.0",
@@ -89,9 +85,43 @@ NOTICES: dict[str, tuple[str, ...]] = {
     "CC0": (
         "To the extent possible under law, the author has waived all copyright and related rights to this work",
         "Dedicated to the public domain under CC0 1.0",
+    ),
+    "Unlicense": (
         "This is free and unencumbered software released into the public domain",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+        "Released under the Unlicense",
+    ),
+    "EPL": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0",
+        "Licensed under the Eclipse Public License 2.0",
     ),
 }
+#: Identifiers of the SPDX list, without version suffixes, by family. Fixed values.
+SPDX: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache-2.0",),
+    "MIT": ("MIT", "MIT-0"),
+    "GPL": ("GPL-2.0", "GPL-3.0"),
+    "LGPL": ("LGPL-2.1", "LGPL-3.0"),
+    "AGPL": ("AGPL-3.0",),
+    "BSD": ("BSD-2-Clause", "BSD-3-Clause", "0BSD"),
+    "MPL-2.0": ("MPL-2.0",),
+    "ISC": ("ISC",),
+    "CC-BY": ("CC-BY-3.0", "CC-BY-4.0"),
+    "CC-BY-SA": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"),
+    "CC-BY-NC": ("CC-BY-NC-3.0", "CC-BY-NC-4.0"),
+    "CC0": ("CC0-1.0",),
+    "Unlicense": ("Unlicense",),
+    "EPL": ("EPL-1.0", "EPL-2.0"),
+}
+
+
+def _spdx_notices(family: str) -> list[str]:
+    """Tags of the family's identifiers, with the suffixes that the GNU licences have."""
+    ends = ("", "-only", "-or-later") if family in ("GPL", "LGPL", "AGPL") else ("",)
+    return [f"SPDX-License-Identifier: {name}{end}" for name in SPDX[family] for end in ends]
+
+
+NOTICES = {family: (*notices, *_spdx_notices(family)) for family, notices in NOTICES.items()}
 UNKNOWN = "unknown"
 FAMILIES = [UNKNOWN, *NOTICES]
 SLOTS = 1 << 16
@@ -170,15 +200,48 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def word_pairs(text: str) -> set[tuple[str, str]]:
-    words = re.findall(r"[^\W_]+", text.lower())
+    """Pairs of neighbouring words; a version, however it is written, is one word that equals any other version."""
+    words: list[str] = []
+    for word in re.findall(r"[^\W_]+", text.lower()):
+        if re.fullmatch(r"v?\d{1,2}", word):
+            if words and words[-1] in ("v", "version"):
+                words.pop()
+            if not words or words[-1] != "#":
+                words.append("#")
+        else:
+            words.append(word)
     return set(zip(words, words[1:], strict=False))
 
 
+_SPDX_TAG = re.compile(r"SPDX-License-Identifier:[ \t]*([^\n]*)", re.IGNORECASE)
+_SPDX_FAMILY = {re.sub(r"-\d[\d.]*$", "", name).lower(): family for family, names in SPDX.items() for name in names}
+
+
+def spdx_families(text: str) -> set[str]:
+    """Families of the identifiers in the licence expressions of SPDX tags: ids joined by AND and OR, with exceptions after WITH."""
+    found = set()
+    for expression in _SPDX_TAG.findall(text):
+        last = ""
+        for word in re.findall(r"[A-Za-z0-9.+-]+", expression):
+            if word in ("AND", "OR", "WITH"):
+                last = word
+                continue
+            name = re.sub(r"(\+|-only|-or-later)$", "", word.lower())
+            family = _SPDX_FAMILY.get(name) or _SPDX_FAMILY.get(re.sub(r"-\d[\d.]*$", "", name))
+            if family and last != "WITH":
+                found.add(family)
+            last = ""
+    return found
+
+
 _PAIRS = {family: [word_pairs(n) for n in notices] for family, notices in NOTICES.items()}
 
 
 def confirmed(family: str, paragraph: str) -> bool:
-    """Whether the paragraph holds most word pairs of a notice of the family."""
+    """Whether the paragraph holds most word pairs of a notice of the family, or an SPDX tag that names it; a tag of others is no notice."""
+    tagged = spdx_families(paragraph)
+    if tagged:
+        return family in tagged
     pairs = word_pairs(paragraph)
     return any(len(pairs & notice) >= CONFIRMED * len(notice) for notice in _PAIRS[family])
 
