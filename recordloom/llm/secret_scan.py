@@ -3,8 +3,9 @@
 Three patterns find assignments, access keys and long hexadecimal runs. The field tags every token of
 a line as begin, inside or outside of a secret, from its shape, the words around it and features of
 the file, decoded by Viterbi. It is trained here, on lines of a bounded sample of documents labelled
-by the patterns; what it adds are secrets the patterns miss because no key word or other letters
-stand around them. Spans of the field that touch a span of a pattern are not added.
+by the patterns, on lines with tokens of usual kinds, and on lines with what only looks like one: addresses, links, paths, versions,
+dates, numbers and identifiers. What it adds are secrets the patterns miss because no key word or other letters
+stand around them. Spans of the field that the patterns cover are not added.
 
 Defined results: a null text is empty and has no span; every text is scanned whole; without a
 labelled line the field adds nothing; repeated rows get equal results; other columns are not read.
@@ -35,6 +36,8 @@ KINDS = ("assign", "access", "hex", "field")
 TRAIN_DOCUMENTS = 4_000
 #: Labelled stretches of one of them, at most.
 TRAIN_STRETCHES = 20
+#: Generated lines with a secret; as many as twice that have none.
+GENERATED = 1_500
 REMEMBERED = 300_000
 
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
@@ -111,10 +114,31 @@ def shape_features(shape: str) -> tuple[int, ...]:
         73 + length * 3 + min(mixed, 3) - 1 if mixed else 115,
         116 + (min(int(10 * changes / n), 9)),
         126 + (1 if kinds[:4] == "AAAA" and digits else 0),
+        128 + _harmless(shape, kinds),
     )
 
 
-N_SHAPE = 128
+N_SHAPE = 136
+_UUID = re.compile(r"[9h]{8}(-[9h]{4}){3}-[9h]{12}|[9H]{8}(-[9H]{4}){3}-[9H]{12}")
+_DATE = re.compile(r"9999[-/.]99[-/.]99.*|99?[-/.]99?[-/.]9999")
+_VERSION = re.compile(r"a?9+(\.9+)+([-.+]?a+9*)?")
+
+
+def _harmless(shape: str, kinds: str) -> int:
+    """What a token of such a shape usually is, if it is no secret: 0 nothing known."""
+    if set(shape) <= {"9", ".", "-", "+", "/"}:
+        return 1  # numbers, addresses, dates in digits
+    if _UUID.fullmatch(shape):
+        return 2
+    if _DATE.fullmatch(shape):
+        return 3
+    if _VERSION.fullmatch(kinds):
+        return 4
+    parts = re.split(r"[/.\-_+]", kinds)
+    # Parts of paths, hosts and compound words are words or numbers, seldom both in turns.
+    if len(parts) > 1 and all(p.isalpha() or set(p) <= {"9"} or re.fullmatch("a+9{1,4}", p) for p in parts):
+        return 5 if "/" in shape else 6
+    return 7 if kinds.isalpha() else 0
 
 
 class Tagger:
@@ -288,13 +312,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", documen
     found = sorted(tuple(r) for r in found if r["doc_id"] is not None)
     if not any(BEGIN in r[2] for r in found):
         return None
+    plain = [t for r in found if BEGIN not in r[2] for t in r[1]][:20_000]
+    generated = _generated(plain, GENERATED)
     found += _augmented(found)
     near: Counter = Counter()
     for _, tokens, labels, _ in found:
         for i in (i for i, x in enumerate(labels) if x == BEGIN):
             near.update({t.lower() for t in tokens[max(0, i - 3) : i] + tokens[i + 1 : i + 2] if len(t) < 24})
     words = [w for w, n in sorted(near.items(), key=lambda x: (-x[1], x[0]))[:200] if n >= 5]
-    return _trained(found, words, rounds)
+    return _trained(found + generated, words, rounds)
 
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
@@ -320,6 +346,86 @@ def _augmented(found: list[tuple]) -> list[tuple]:
     return out
 
 
+#: Characters of generated tokens.
+_HEXADECIMAL, _BASE64 = "0123456789abcdef", _ALPHABET + "+/"
+
+
+def _spell(rng: np.random.Generator, alphabet: str, n: int) -> str:
+    return "".join(alphabet[i] for i in rng.integers(0, len(alphabet), n))
+
+
+def generated_secret(rng: np.random.Generator) -> str:
+    """A token of a usual kind: prefixed, signed in three parts, of one alphabet, or a password with signs."""
+    n = int(rng.integers(20, 44))
+    kind = int(rng.integers(0, 7))
+    if kind == 0:
+        return ["ghp_", "gho_", "sk-", "sk_live_", "glpat-", "xoxb-", "pat-", "npm_"][int(rng.integers(0, 8))] + _spell(rng, _ALPHABET, n)
+    if kind == 1:
+        return ".".join("eyJ" * (k < 2) + _spell(rng, _ALPHABET + "-_", n) for k in range(3))
+    if kind == 2:
+        return _spell(rng, _BASE64, 40)
+    if kind == 3:
+        return _spell(rng, _BASE64, n) + "=" * int(rng.integers(1, 3))
+    if kind == 4:
+        return _spell(rng, _ALPHABET[:26] + _ALPHABET[52:], n)
+    if kind == 5:
+        return _spell(rng, _ALPHABET, 8) + "!&@#%^*"[int(rng.integers(0, 7))] + _spell(rng, _ALPHABET, 9)
+    return _spell(rng, _ALPHABET, n)
+
+
+def generated_harmless(rng: np.random.Generator, words: list[str]) -> str:
+    """What looks like a secret and is none."""
+    word = lambda: (words[int(rng.integers(0, len(words)))].lower().strip("-./+_") or "page") if words else "page"
+    number = lambda high: str(int(rng.integers(0, high)))
+    kind = int(rng.integers(0, 11))
+    if kind == 0:
+        return ".".join(number(256) for _ in range(4)) + ["", ":" + number(60000)][int(rng.integers(0, 2))]
+    if kind == 1:
+        return f"https://{word()}.{word()}.com/{word()}/{number(3000)}/{word()}-{word()}-{word()}" + ["", ".html"][int(rng.integers(0, 2))]
+    if kind == 2:
+        return f"/usr/{word()}/{word()}{number(30)}/{word()}.{word()}"
+    if kind == 3:
+        return ["v", ""][int(rng.integers(0, 2))] + ".".join(number(40) for _ in range(3)) + ["", "-rc1", "-beta2"][int(rng.integers(0, 3))]
+    if kind == 4:
+        return "-".join(_spell(rng, _HEXADECIMAL, n) for n in (8, 4, 4, 4, 12))
+    if kind == 5:
+        return f"20{number(90)}-{int(rng.integers(10, 13))}-{int(rng.integers(10, 29))}T{int(rng.integers(10, 24))}:30:00Z"
+    if kind == 6:
+        return f"{word()}_{word()}_{word()}_{number(500)}"
+    if kind == 7:
+        return f"{word()}.{word()}{number(90)}@{word()}.org"
+    if kind == 8:
+        return "+" + number(100) + "-" + "-".join(str(int(rng.integers(100, 1000))) for _ in range(3))
+    if kind == 9:
+        return "".join(word().capitalize() for _ in range(4)) + number(10)
+    return "".join(str(int(rng.integers(0, 10))) for _ in range(int(rng.integers(8, 20))))
+
+
+def generated_line(rng: np.random.Generator, words: list[str], secret: bool) -> tuple[str, tuple[int, int] | None]:
+    """A line of plain words around a secret, or around something harmless; and where the secret stands."""
+    pick = lambda n: [words[int(i)] for i in rng.integers(0, len(words), n)] if words else ["word"] * n
+    before, after = " ".join(pick(int(rng.integers(0, 7)))), " ".join(pick(int(rng.integers(0, 5))))
+    token = generated_secret(rng) if secret else generated_harmless(rng, words)
+    head = f"{before} " if before else ""
+    return f"{head}{token} {after}".rstrip(), (len(head), len(head) + len(token)) if secret else None
+
+
+def _generated(plain: list[str], n: int) -> list[tuple]:
+    """Labelled stretches of ``n`` generated lines with a secret and twice as many without."""
+    rng, out = np.random.default_rng(11), []
+    words = [w for w in plain if w.isalpha()] or plain
+    for k in range(3 * n):
+        line, span = generated_line(rng, words, k % 3 == 0)
+        labels, begun = [], False
+        found = list(TOKEN.finditer(line))
+        for m in found:
+            inside = span is not None and m.start() < span[1] and span[0] < m.end()
+            labels.append(OUT if not inside else INSIDE if begun else BEGIN)
+            begun |= inside
+        out.append((-1 - k, [m[0] for m in found], labels, list(file_features(line))))
+    return out
+
+
 def _trained(found: list[tuple], words: list[str], rounds: int, penalty: float = 3e-4) -> Tagger:
     """Maximise the conditional likelihood with Adam; expectations by forward and backward passes over all lines."""
     sizes = {"shape": N_SHAPE, "before": len(words) + 8, "before2": len(words) + 8, "after": len(words) + 8, "file": _FILE_FEATURES}

@@ -219,3 +219,49 @@ def test_a_field_span_that_reaches_beyond_the_base_spans_stays():
     assert secret_scan.redacted(text, spans) == "[SECRET] and [SECRET]"
     assert secret_scan.all_spans([(0, 0, 4), (4, 1, 9)], [(1, 8), (8, 10)]) == [(0, 0, 4), (4, 1, 9), (8, 3, 10)]
     assert secret_scan.redacted("abcdefghijkl", secret_scan.all_spans([(2, 0, 5)], [(4, 8)])) == "ab[SECRET]ijkl"
+
+
+SHORT_FORMS = {
+    "SPDX-License-Identifier: BSD-3-Clause": "BSD", "# SPDX-License-Identifier: GPL-2.0-only": "GPL", "SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL",
+    "// SPDX-License-Identifier: CC-BY-SA-4.0": "CC-BY-SA", "SPDX-License-Identifier: ISC": "ISC", "Licensed under CC BY 3.0": "CC-BY",
+    "Distributed under the GNU General Public License v2.0": "GPL", "Mozilla Public License Version 2.0": "MPL-2.0", "SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0": "GPL",
+    "This is free and unencumbered software released into the public domain.": "Unlicense", "SPDX-License-Identifier: EPL-2.0": "EPL",
+    "Released under the Unlicense": "Unlicense", "Licensed under the Apache License, Version 2.0": "Apache-2.0", "SPDX-License-Identifier: MIT": "MIT",
+}
+
+
+def test_short_forms_versions_and_spdx_expressions(spark, small):
+    rows = [(-1 - k, f"some words before\n\n{text}\n\nand some after it") for k, text in enumerate(SHORT_FORMS)]
+    plain_lines = ["We study the public domain of a function of 2.0 variables.", "Version 3 of the general public transport plan was released under protest."]
+    rows += [(-100 - k, x) for k, x in enumerate(plain_lines)]
+    docs = small[0].select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.n_licences, r.families) for r in license_scan.scan_licences(docs).collect()}
+    wrong = {text: got[-1 - k] for k, (text, family) in enumerate(SHORT_FORMS.items()) if got[-1 - k] != (1, family)}
+    assert not wrong
+    assert all(got[-100 - k] == (0, "") for k in range(len(plain_lines)))
+    assert license_scan.spdx_families("SPDX-License-Identifier: (MIT OR Apache-2.0) AND CC0-1.0") == {"MIT", "Apache-2.0", "CC0"}
+    assert not license_scan.confirmed("MIT", "SPDX-License-Identifier: BSD-2-Clause")
+
+
+def test_added_spans_on_lines_the_field_has_not_seen(tagger):
+    """Precision and recall of what the field adds: generated lines of another draw and other words, and known cases."""
+    import numpy as np
+
+    rng = np.random.default_rng(2024)
+    words = "the harvest of this valley was good and people from all around came to see what had grown there".split()
+    lines = [secret_scan.generated_line(rng, words, k % 2 == 0) for k in range(1_200)]
+    found = secret_scan.field_spans(tagger, [line for line, _ in lines])
+    hits = sum(any(a < s[1] and s[0] < b for a, b in f) for f, (_, s) in zip(found, lines) if s)
+    whole = sum((s[0], s[1]) in f for f, (_, s) in zip(found, lines) if s)
+    wrong = sum(len(f) for f, (_, s) in zip(found, lines) if s is None)
+    secrets = sum(s is not None for _, s in lines)
+    assert hits >= 0.9 * secrets and hits >= 0.9 * (hits + wrong), (hits, whole, wrong, secrets)
+    harmless = [
+        "see https://news.example.org/2024/05/a-long-article-about-the-weather-in-may.html for more", "connect to 192.168.10.254 first",
+        "/usr/local/lib/python3.11/site-packages/numpy", "release 10.4.12-rc1 is out", "id 3f2504e0-4f89-11d3-9a0c-0305e82c3301 was closed",
+        "on 2024-05-17T10:30:00Z it rained", "write to anna.schmidt42@example.com", "order number 4815162342108", "a well-known state-of-the-art method",
+    ]
+    assert secret_scan.field_spans(tagger, harmless) == [[]] * len(harmless)
+    tokens = ["use ghp_aB3dE6gH9jK2mN5pQ8sT1vW4xY7zA0cD3fG6 here", "it is zQ7hK2mX9vB4nT8sL3wR ok",
+              "auth eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"]
+    assert all(secret_scan.field_spans(tagger, tokens))
