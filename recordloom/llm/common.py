@@ -140,6 +140,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             j = max(i + 1, int(np.searchsorted(at, at[i] + BLOCK, side="right")) - 1)
             yield batch.slice(i, j - i)
             i = j
+    # Workers are kept for later tasks; what this one needed goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def narrowed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
