@@ -28,6 +28,9 @@ MARKET_URL = "https://www.coingecko.com/en/coins/"
 POST_URL = "https://jsonplaceholder.typicode.com"
 
 
+# The categories, content forms and extra_data keys of the mappings below.
+
+
 def _r(name: str) -> Column:
     return F.col(f"rec.{name}")
 

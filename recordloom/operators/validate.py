@@ -267,6 +267,8 @@ def drop_internal(df: DataFrame) -> DataFrame:
 
 # --- the five feeds ------------------------------------------------------------------------------
 
+# The fields of each feed, their types and limits.
+
 TICKER_FIELDS = (
     Field("id", "str", required=True),
     Field("name", "str", required=True, max_len=255),

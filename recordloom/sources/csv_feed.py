@@ -60,17 +60,46 @@ def read_csv(
             raise
         ddl = [f"`{c}` STRING" for c in columns] + ["_extra_fields BOOLEAN"] + [f"{c} {t}" for c, t in _PLACE.items()]
         return spark.createDataFrame([], ", ".join(ddl))
-    meta = F.col("_metadata")
-    lines = text.filter(F.col("value").rlike(r"[^\x00-\x20]")).select(
-        "value", meta["file_path"].alias("_file"), meta["file_block_start"].alias("_block"), F.monotonically_increasing_id().alias("_mid")
-    )
+    lines = _numbered(text.select("value", *file_columns()))
+    if not multi_line:
+        return parse_lines(lines, columns)
     splits = _splits(lines)
+    forms, others = _forms(splits, columns)
+    frames = [_scanned(spark, path, splits, h, names, columns, others) for h, names in forms.items()]
+    return reduce(DataFrame.unionByName, frames) if frames else parse_lines(lines, columns)
+
+
+def file_columns() -> list[Column]:
+    """What tells the lines of different files and splits apart, for a scan or a stream of text."""
+    meta = F.col("_metadata")
+    return [
+        meta["file_path"].alias("_file"), meta["file_block_start"].alias("_block"), meta["file_modification_time"].alias("_time")
+    ]
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """The lines with something in them, and the counter of their task."""
+    return lines.filter(F.col("value").rlike(r"[^\x00-\x20]")).withColumn("_mid", F.monotonically_increasing_id())
+
+
+def _forms(splits: DataFrame, columns: Sequence[str]) -> tuple[dict[str, list[str]], list[str]]:
+    """Column names per distinct header line, and all names beyond ``columns``."""
     headers = sorted(r[0] for r in splits.select("_header").distinct().collect() if r[0] is not None)
     forms = {h: _names(h) for h in headers}
-    others = list(dict.fromkeys(n for names in forms.values() for n in names if n not in columns))
-    if multi_line:
-        frames = [_scanned(spark, path, splits, h, names, columns, others) for h, names in forms.items()]
-        return reduce(DataFrame.unionByName, frames) if frames else read_csv(spark, path, columns)
+    return forms, list(dict.fromkeys(n for names in forms.values() for n in names if n not in columns))
+
+
+def parse_batch(batch: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a micro-batch of whole files, read as text with ``file_columns``; ``_row_pos`` and ``_row_file`` give their order."""
+    rows = parse_lines(_numbered(batch), columns, timed=True)
+    file = F.struct(F.col("_time").alias("time"), F.col("_file_path").alias("path"), F.lit(0).cast("bigint").alias("block"))
+    return rows.withColumns({"_row_pos": F.col("_row_number"), "_row_file": file}).drop("_time")
+
+
+def parse_lines(lines: DataFrame, columns: Sequence[str], timed: bool = False) -> DataFrame:
+    """Rows of numbered lines of whole files, each parsed under its own file's header."""
+    splits = _splits(lines)
+    forms, others = _forms(splits, columns)
     # One row per input split; its size is measured by the planner, so no hint is given.
     rows = lines.join(splits, ["_file", "_block"]).filter((F.col("_block") > 0) | (F.col("_mid") > F.col("_first")))
     # The header is one of the lines before, so the first row after it has number 1.
@@ -89,6 +118,7 @@ def read_csv(
         *[chosen(lambda row, c=c: row.get(c), "string").alias(c) for c in [*columns, *others]],
         chosen(lambda row: row[_EXTRA], "boolean").alias("_extra_fields"),
         F.col("_file").alias("_file_path"), F.element_at(F.split("_file", "/"), -1).alias("_file_name"), "_row_number",
+        *(["_time"] if timed else []),
     )
 
 

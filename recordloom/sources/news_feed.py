@@ -39,6 +39,35 @@ def read_news(spark: SparkSession, path: str | Sequence[str], feed_titles: DataF
     return entries.join(titles, "_feed_url", "left").fillna("", ["_feed_title"])
 
 
+def read_news_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The entries of landed feed documents as a stream; new files are the increments.
+
+    A document is one row, as it was fetched: feeds are documents of some MB at most. ``_row_file`` and ``_row_pos`` give the order
+    of entries. Items that cannot be read are left out, as in ``read_news``.
+    """
+    reader = spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    text = F.decode("content", "UTF-8")
+    head = F.regexp_extract(text, r"(?s)^(.*?)(<item[\s>]|<entry[\s>]|$)", 1)
+    title = F.regexp_extract(head, r"(?s)<title[^>]*>(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?</title>", 1)
+    files = reader.load(path).select(
+        text.alias("text"), F.col("path").alias("_feed_url"), _unescaped(title).alias("_feed_title"),
+        F.struct(F.col("modificationTime").alias("time"), "path", F.lit(0).cast("bigint").alias("block")).alias("_row_file"),
+    )
+    keep = ["_feed_title", "_row_file", "_row_pos"]
+
+    def records(tag: str, schema: str) -> DataFrame:
+        found = files.select(
+            F.posexplode(F.regexp_extract_all("text", F.lit(rf"(?s)<{tag}[\s>].*?</{tag}>"), 0)).alias("_row_pos", "xml"), "_feed_url", *keep[:2]
+        )
+        parsed = found.withColumn("r", F.from_xml("xml", schema, {"columnNameOfCorruptRecord": _MALFORMED}))
+        return parsed.filter(F.col(f"r.{_MALFORMED}").isNull()).select("r.*", "_feed_url", *keep).drop(_MALFORMED)
+
+    items = entries_from_items(records("item", _ITEM_SCHEMA), keep)
+    return items.unionByName(entries_from_items(_as_items(records("entry", _ENTRY_SCHEMA), keep), keep))
+
+
 def unreadable_items(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(feed_url, record, error) of items and entries that are no well-formed XML."""
     frames = [_scan(spark, path, tag, schema) for tag, schema in (("item", _ITEM_SCHEMA), ("entry", _ENTRY_SCHEMA))]
@@ -77,7 +106,7 @@ def _unescaped(text: Column) -> Column:
     return text
 
 
-def _as_items(atom: DataFrame) -> DataFrame:
+def _as_items(atom: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Atom entries under the names of RSS items."""
     page = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
     return atom.select(
@@ -93,10 +122,11 @@ def _as_items(atom: DataFrame) -> DataFrame:
         "updated",
         F.transform("category", lambda x: x["_term"]).alias("category"),
         "_feed_url",
+        *keep,
     )
 
 
-def entries_from_items(items: DataFrame) -> DataFrame:
+def entries_from_items(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Feed items to entry records: missing texts are '', the id falls back to the link, the content
     to the summary."""
 
@@ -116,4 +146,5 @@ def entries_from_items(items: DataFrame) -> DataFrame:
         text("updated").alias("updated"),
         F.transform(tags, lambda t: F.coalesce(t, F.lit(""))).alias("tags"),
         "_feed_url",
+        *keep,
     )

@@ -138,3 +138,66 @@ def test_agreement_and_collisions(spark):
     got = {r.canonical_id: tuple(r)[1:] for r in E.source_agreement(df, F.col("v"), ["x", "y"]).collect()}
     assert got == {"k": (7.0, 4.0, 2, 3.0), "z": (1.0, None, 1, None)}
     assert [tuple(r) for r in E.id_collisions(df).collect()] == [("k", "x", 2)]
+
+
+@pytest.mark.parametrize("kind", ["text", "number"])
+def test_pages_through_heavy_ties(spark, monkeypatch, kind):
+    """Stretches, instants and leading characters are divided until little is left to sort."""
+    monkeypatch.setattr(L, "SORTED", 6)
+    monkeypatch.setattr(L, "STRETCHES", 5)
+    at = [T0] * 120 + [T0 + dt.timedelta(days=3650 * (i % 3), microseconds=i) for i in range(60)] + [None] * 40
+    tie = [f"page/{'same-prefix-' * (i % 2)}{i * 7919 % 997:04d}" if kind == "text" else (i * 7919 % 997 - 500) * 10**15 for i in range(len(at))]
+    rows = list(zip(at, tie))
+    df = spark.createDataFrame(rows, f"ingested_at timestamp, canonical_id {'string' if kind == 'text' else 'long'}").repartition(3).cache()
+    every = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or T0).timestamp(), r[1]))
+    for offset, limit in ((0, 9), (30, 10), (55, 20), (118, 30), (175, 12), (178, 4), (181, 30), (215, 20), (400, 5)):
+        got = [(r.ingested_at, r.canonical_id) for r in L.page(df, limit, offset).collect()]
+        assert got == every[offset : offset + limit], (offset, limit)
+
+
+def test_a_page_reads_a_range_of_the_files(spark, tmp_path):
+    rows = [(f"id{i:06d}", T0 + dt.timedelta(minutes=i)) for i in range(20_000)]
+    spark.createDataFrame(rows, "canonical_id string, ingested_at timestamp").coalesce(1).write.parquet(str(tmp_path / "t"))
+    found = L.page(spark.read.parquet(str(tmp_path / "t")), 10, 15_000)
+    assert [r.canonical_id for r in found.collect()] == [f"id{i:06d}" for i in range(4_999, 4_989, -1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ingested_at), GreaterThanOrEqual(ingested_at,2024-01-" in plan and "LessThanOrEq" in plan
+    assert "Exchange rangepartitioning" not in plan
+
+
+def test_clustered_tables_are_read_in_part(spark, tmp_path):
+    from recordloom.plans import layout
+
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = [(f"c{i}", "t", f"{words[i % 4]} {words[i // 7 % 4]}" + (" needle-Ünïque" if i in (17, 1900) else ""), T0 + dt.timedelta(minutes=i)) for i in range(2_500)]
+    df = spark.createDataFrame(rows, "canonical_id string, title string, content string, ingested_at timestamp")
+    path, signatures = str(tmp_path / "t"), str(tmp_path / "s")
+    layout.write_clustered(df, path)
+    layout.write_signatures(spark, path, signatures)
+    blocks = spark.read.parquet(signatures)
+    assert blocks.count() == 50
+    assert layout.possible_blocks(blocks, "NEEDLE-ü").count() == 2 and layout.possible_blocks(blocks, "alpha").count() == 50
+    for text in ("NEEDLE-ü", "needle%que", "beta gam", "nothing like it", "al", "t\nalpha"):
+        got = sorted(r.canonical_id for r in layout.search_clustered(spark, path, signatures, text).collect())
+        assert got == sorted(r.canonical_id for r in L.filter_records(df, search=text).collect()), text
+    plan = layout.search_clustered(spark, path, signatures, "needle")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    start, end = T0 + dt.timedelta(minutes=700), T0 + dt.timedelta(minutes=760)
+    found = L.filter_records(spark.read.parquet(path), start=start.isoformat(sep=" "), end=end.isoformat(sep=" "))
+    groups = _row_groups(path)
+    reached = [g for g in groups if g[0] <= end and g[1] >= start]
+    assert found.count() == 61 and len(reached) <= 3 < len(groups)
+
+
+def _row_groups(path):
+    """First and last instant of every row group of a table."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    out = []
+    for file in Path(path).rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("ingested_at")
+        out += [(s.min.replace(tzinfo=None), s.max.replace(tzinfo=None)) for s in (meta.row_group(k).column(at).statistics for k in range(meta.num_row_groups))]
+    return out

@@ -16,7 +16,7 @@ from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
 from recordloom.sources.news_feed import read_news
 from recordloom.sources.registry import SOURCES
-from recordloom.streaming.ingest import drain, unseen_entries
+from recordloom.streaming.ingest import drain, drain_csv, drain_news, unseen_entries
 from recordloom.streaming.rate import drain_admission
 
 T0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -230,3 +230,93 @@ def test_unified_rows_of_both_feeds_meet(spark):
     seq = F.when(F.col("source") == "coinpaprika", 1).otherwise(2)
     out = upsert_unified(versioned(rows.withColumns({"written_at": F.current_timestamp(), "seq": seq}))).collect()
     assert [(r.canonical_id, r.source) for r in out] == [("btc", "coingecko")]
+
+
+def test_folders_with_files_of_one_name(spark, tmp_path):
+    tables, columns = Tables(str(tmp_path / "t")), ["product_id", "name", "category", "price"]
+    head = "product_id,name,category,price\n"
+    for folder, n in (("x", 5), ("y", 3)):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        (tmp_path / "in" / folder / "p.csv").write_text(head + "".join(f"{folder}{i},n,c,{i}\n" for i in range(n)))
+    paths = [str(tmp_path / "in" / f) for f in ("x", "y")]
+    for n in range(2):
+        run = Run("csv", T0 + dt.timedelta(hours=n))
+        run_source(spark, tables, run, lambda r: ingest_csv(spark, tables, r, paths, columns))
+    assert tables.counters.current(spark, run.run_id).first().records_fetched == 0
+    assert tables.raw_csv.current(spark).count() == 8 and tables.unified.current(spark).count() == 8
+    marks = {r.source.split("/")[-2]: r.last_value.split("|")[0] for r in tables.checkpoints.current(spark).collect()}
+    assert marks == {"x": "5", "y": "3"}
+
+
+def test_a_batch_is_transformed_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        calls.add(1)
+        return text
+
+    base = SOURCES["coinpaprika"]
+    spec = replace(base, name="mirror", transform=lambda df, keep=(): base.transform(df, keep).withColumn("title", counted("title")))
+    land(tmp_path / "in", "d.json", [coin(i, 1.0) for i in range(40)] + [{"id": "broken"}])
+    tables, run = Tables(str(tmp_path / "t")), Run("mirror", T0, spec=spec)
+    ingest_batch(tables, run, read_documents(spark, str(tmp_path / "in")), 1)
+    assert calls.value == 41
+    counts = tables.counters.current(spark).first()
+    assert (counts.records_fetched, counts.records_processed, counts.records_failed) == (41, 40, 1)
+
+
+def test_csv_files_as_a_stream(spark, tmp_path):
+    tables, landing = Tables(str(tmp_path / "t")), tmp_path / "in"
+    (landing / "x").mkdir(parents=True)
+    (landing / "y").mkdir()
+    (landing / "x" / "p.csv").write_text("product_id,name,category,price\nP1,a,c,1\nP2,b,c,-1\n")
+    (landing / "y" / "p.csv").write_text("price,colour,name,product_id,category\n5,red,a2,P1,c\n")
+    os.utime(landing / "x" / "p.csv", (1_700_000_000, 1_700_000_000))
+    columns = ["product_id", "name", "category", "price"]
+
+    def go(hour):
+        run = Run("csv", T0 + dt.timedelta(hours=hour))
+        run_source(spark, tables, run, lambda r: drain_csv(spark, tables, r, str(landing), columns, str(tmp_path / "cp"), 1))
+        return tables.counters.current(spark, run.run_id).agg(F.sum("records_fetched")).first()[0]
+
+    assert go(0) == 3
+    (landing / "y" / "q.csv").write_text("product_id,name,category,price\nP3,z,c,9\n")
+    assert go(1) == 1
+    rows = {r.source_id: (r.title, json.loads(r.extra_data)["price"]) for r in tables.unified.current(spark).collect()}
+    assert rows == {"P1": ("a2", 5.0), "P3": ("z", 9.0)}
+    raw = sorted((r.file_name.split("/")[-2], r.row_number) for r in tables.raw_csv.current(spark).collect())
+    assert raw == [("x", 1), ("x", 2), ("y", 1), ("y", 1)]
+
+
+def test_news_documents_as_a_stream(spark, tmp_path):
+    tables, landing = Tables(str(tmp_path / "t")), tmp_path / "in"
+    landing.mkdir()
+    rss = "<rss><channel><title>A &amp; B</title><item><guid>g1</guid><title>One</title><link>http://x/1</link><description>d</description></item>{}</channel></rss>"
+    atom = '<feed><title>Notes</title><entry><id>u1</id><title>Two</title><link href="http://y/1"/><summary>s</summary><category term="t"/></entry></feed>'
+    (landing / "a.xml").write_text(rss.format("<item><title>broken</titel></item>"))
+
+    def go(hour):
+        run = Run("rss", T0 + dt.timedelta(hours=hour))
+        run_source(spark, tables, run, lambda r: drain_news(spark, tables, r, str(landing), str(tmp_path / "cp"), 1))
+
+    go(0)
+    (landing / "b.xml").write_text(atom)
+    go(1)
+    rows = {r.source_id: (r.title, r.content, r.category, r.updated_at.hour) for r in tables.unified.current(spark).collect()}
+    assert rows == {"g1": ("One", "d", None, 0), "u1": ("Two", "s", "news", 1)}
+
+
+def test_a_store_without_raw_rows_rebuilds_to_nothing(spark, tmp_path):
+    empty = rebuild(spark, Tables(str(tmp_path / "t")))
+    assert empty.count() == 0 and "canonical_id" in empty.columns
+
+
+def test_replayed_entries_leave_a_bounded_state(spark):
+    from workload.ingest_queries import replay_entries
+
+    path, held = replay_entries(spark, "/root/testdata/sf0.01")
+    rows = spark.read.parquet(path)
+    total = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").count()
+    assert rows.count() == rows.select("id").distinct().count() == total
+    assert max(held) < 0.25 * total and held[-1] <= 1.2 * held[1]

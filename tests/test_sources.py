@@ -126,3 +126,40 @@ def test_a_changed_text_of_equal_length_changes_its_file_alone(spark, tmp_path):
         seen.append({r.file: r.fingerprint for r in QUERIES["S9_text_fingerprints"](spark, f"{tmp_path}/{k}").collect()})
     assert seen[0].keys() == {"0", "1", "2", "whole"}
     assert {f for f in seen[0] if seen[0][f] != seen[1][f]} == {"1", "whole"}
+
+
+def test_files_of_one_name_are_different_files(spark, tmp_path):
+    for folder, n in (("x", 5), ("y", 3)):
+        (tmp_path / folder).mkdir()
+        write(tmp_path / folder / "p.csv", "product_id,name,category,price\n" + "".join(f"{folder}{i},n,c,{i}\n" for i in range(1, n + 1)))
+    rows = S.read_csv(spark, [str(tmp_path / "x"), str(tmp_path / "y")], COLUMNS).collect()
+    assert sorted((r._file_path.split("/")[-2], r._row_number, r.product_id) for r in rows) == [("x", i, f"x{i}") for i in range(1, 6)] + [("y", i, f"y{i}") for i in range(1, 4)]
+    assert {r._file_name for r in rows} == {"p.csv"}
+
+
+def test_fingerprint_sees_the_order_of_lines_and_not_the_splits(spark, tmp_path):
+    lines = [f"line {i} " + "x" * (i % 40) for i in range(3000)]
+    write(tmp_path / "a.txt", "\n".join(lines) + "\n")
+    swapped = [lines[1], lines[0], *lines[2:]]
+    write(tmp_path / "b.txt", "\n".join(swapped) + "\n")
+    write(tmp_path / "c.txt", "\r\n".join(lines) + "\r\n")
+
+    def prints():
+        return {r.file.rsplit("/", 1)[1]: (r.lines, r.fingerprint) for r in S.content_fingerprints(spark, str(tmp_path)).collect()}
+
+    whole = prints()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        assert prints() == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {n for n, _ in whole.values()} == {3000} and len({f for _, f in whole.values()}) == 3
+
+
+def test_powers(spark):
+    exponents = [0, 1, 63, 64, 12345, (1 << 33) - 1, (1 << 36) - 1]
+    df = spark.createDataFrame([(e,) for e in exponents], "e long").select(*[S.power(b, F.col("e")) for b in S.BASES])
+    assert [tuple(r) for r in df.collect()] == [tuple(pow(b, e, S.PRIME) for b in S.BASES) for e in exponents]

@@ -17,8 +17,8 @@ def errors(checked):
     return [list(r.errors) for r in checked.orderBy("i").collect()]
 
 
-TICKER = {"id": "btc-bitcoin", "name": "Bitcoin", "symbol": "BTC", "rank": 1, "last_updated": "2024-01-15T10:30:00Z",
-          "quotes": {"USD": {"price": 50000.5, "volume_24h": 10}}}
+TICKER = {"id": "dgr-digger", "name": "Digger", "symbol": "DGR", "rank": 4, "last_updated": "2023-08-02T06:15:00Z",
+          "quotes": {"USD": {"price": 17.25, "volume_24h": 10}}}
 
 
 def test_ticker_types(spark):
@@ -106,12 +106,12 @@ def test_news(spark):
 
 def test_ticker_and_market_records(spark):
     one = SOURCES["coinpaprika"].process(docs(spark, [TICKER]))[0].first()
-    assert (one.canonical_id, one.symbol, one.content) == ("btc", "btc", "BTC - Rank #1")
+    assert (one.canonical_id, one.symbol, one.content) == ("dgr", "dgr", "DGR - Rank #4")
     extra = json.loads(one.extra_data)
-    assert len(extra) == 11 and extra["price_usd"] == 50000.5 and extra["max_supply"] is None
-    market = {"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "market_cap_rank": 0, "ath_date": "2024-01-15T10:30:00.5Z"}
+    assert len(extra) == 11 and extra["price_usd"] == 17.25 and extra["max_supply"] is None
+    market = {"id": "digger", "symbol": "dgr", "name": "Digger", "market_cap_rank": 0, "ath_date": "2024-01-15T10:30:00.5Z"}
     two = SOURCES["coingecko"].process(docs(spark, [market]))[0].first()
-    assert (two.canonical_id, two.content) == ("btc", "BTC - Rank #N/A")
+    assert (two.canonical_id, two.content) == ("dgr", "DGR - Rank #N/A")
     extra = json.loads(two.extra_data)
     assert len(extra) == 14 and extra["ath_date"] == "2024-01-15T10:30:00.500000+00:00"
 

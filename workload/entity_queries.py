@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,12 @@ from recordloom.operators import entities as E
 from recordloom.operators import reports as R
 from recordloom.operators import upsert as U
 from recordloom.operators import validate as V
+from recordloom.plans.ingest import Run, ingest_batch, run_source
+from recordloom.plans.rebuild import rebuild as rebuild_store
 from recordloom.plans.rebuild import rebuild_unified
+from recordloom.plans.tables import Tables
+from recordloom.session import scratch_path
+from recordloom.sources.json_feed import parse_documents
 from workload import inputs as I
 from workload import sqltext as S
 from workload.feeds import cte, feed, table
@@ -257,6 +264,43 @@ def run_counters(spark: SparkSession, sf: str) -> DataFrame:
     return U.run_counters(checked, ["category"])
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """Documents with the order of their writes as one number."""
+    place = F.unix_date(F.to_date("written_at")).cast("decimal(38,0)") * F.lit(str(10**24)).cast("decimal(25,0)")
+    place = place.cast("decimal(38,0)") + F.col("batch_no").cast("decimal(38,0)") * F.lit(str(10**13)).cast("decimal(14,0)") + F.col("row_pos")
+    return docs.withColumn("_row_pos", place.cast("decimal(38,0)")).select("data", "payload", "_row_pos")
+
+
+@query(
+    "W7_all_feeds",
+    S.BOTH_UNIFIED + ", " + S.PRODUCTS_CHECKED[len("WITH "):] + ", " + S.POSTS_CHECKED[len("WITH "):] + ", " + S.NEWS_ENTRIES[len("WITH "):] + """,
+    kept AS (SELECT * FROM u WHERE (source, source_id, seq) IN (
+        SELECT 'coinpaprika', id, max(row(written_at, 0, batch_no, row_pos)) FROM tv GROUP BY id
+        UNION ALL SELECT 'coingecko', id, max(row(written_at, 1, batch_no, row_pos)) FROM mv GROUP BY id)),
+    coins AS (SELECT canonical_id, arg_max(row(source, source_id, title), row(source_order, seq)) AS l FROM kept GROUP BY canonical_id)
+    SELECT canonical_id, l[1] AS source, l[2] AS source_id, l[3] AS title FROM coins
+    UNION ALL SELECT 'product_' || product_id, 'csv', product_id, name FROM pv WHERE error = ''
+    UNION ALL SELECT 'rss_' || substr(md5(id), 1, 12), 'rss', id, title FROM ne
+    UNION ALL SELECT 'api_post_' || CAST(id AS VARCHAR), 'api', CAST(id AS VARCHAR), clean_title FROM pe WHERE error = ''""",
+)
+def rebuild_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Five feeds written to a store, one run after another, and the unified table rebuilt from its raw tables."""
+    tables = Tables(scratch_path(spark, "tables"))
+    documents = {
+        name: _placed(parse_documents(feed(spark, sf, kind, heavy=True), "doc")) for name, kind in (("coinpaprika", "tickers"), ("coingecko", "markets"))
+    }
+    frames = {
+        **documents,
+        "csv": I.products(spark, sf).withColumns({"_file_name": F.lit("products.csv"), "_row_number": F.col("_k")}),
+        "rss": I.news_entries(spark, sf),
+        "api": I.post_documents(spark, sf),
+    }
+    for hour, (name, raw) in enumerate(frames.items()):
+        run = Run(name, dt.datetime(2024, 1, 1, hour, tzinfo=dt.timezone.utc))
+        run_source(spark, tables, run, lambda r, raw=raw: ingest_batch(tables, r, raw, 1))
+    return rebuild_store(spark, tables).select("canonical_id", "source", "source_id", "title")
+
+
 @query(
     "W7_rebuild",
     S.BOTH_UNIFIED + f""", kept AS (SELECT * FROM u WHERE (source, source_id, seq) IN (

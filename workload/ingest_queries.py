@@ -18,7 +18,7 @@ from recordloom.plans.tables import Tables
 from recordloom.session import scratch_path
 from recordloom.sources import csv_feed, json_feed, news_feed
 from recordloom.sources.registry import SourceSpec, reject_report
-from recordloom.streaming.ingest import drain
+from recordloom.streaming.ingest import drain, drain_csv, drain_news, drain_unseen
 from workload import inputs as I
 from workload import sqltext as S
 from workload.feeds import cte, feed, table
@@ -35,10 +35,11 @@ PRODUCT_COLUMNS = ["product_id", "name", "category", "price", "description", "st
 _FOLDERS = 16
 
 
-def _landed_products(spark: SparkSession, sf: str, path: str | None = None, where: F.Column | None = None) -> str:
+def _landed_products(spark: SparkSession, sf: str, path: str | None = None, where: F.Column | None = None, price: str | None = None) -> str:
     """One file per folder, all of one header; files written by one task have the same name."""
     path = path or scratch_path(spark, "csv")
     rows = feed(spark, sf, "products").filter(F.lit(True) if where is None else where)
+    rows = rows.withColumn("price", F.lit(price)) if price else rows
     (
         rows.select(*PRODUCT_COLUMNS, "k", (F.col("k") % _FOLDERS).cast("int").alias("folder"))
         .repartition(_FOLDERS, "folder").sortWithinPartitions("folder", "k").drop("k")
@@ -117,17 +118,7 @@ def post_documents(spark: SparkSession, sf: str) -> DataFrame:
     CASE WHEN tag_list = '' THEN '' ELSE tag_list END AS tags FROM news""",
 )
 def news_items(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "xml")
-    tags = F.when(F.col("tag_list") != "", F.split("tag_list", ","))
-    content = F.when(F.col("content") != "", F.array("content"))
-    (
-        feed(spark, sf, "news").select(
-            "guid", "title", "link", F.col("summary").alias("description"), content.alias("content"),
-            "author", F.col("published").alias("pubDate"), "updated", tags.alias("category"),
-        )
-        .write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
-    )
-    rows = news_feed.read_news(spark, path)
+    rows = news_feed.read_news(spark, _landed_news(spark, sf))
     return rows.select(
         "id", "title", "link", "summary", "content", "author", F.array_join("tags", ",").alias("tags")
     )
@@ -347,6 +338,33 @@ def unseen_entries(spark: SparkSession, sf: str) -> DataFrame:
     return P.unseen(entries, seen, "id")
 
 
+_PARTS, _OVERLAP = 5, 400
+
+
+def replay_entries(spark: SparkSession, sf: str) -> tuple[str, list[int]]:
+    """Orders as entries of five runs, one after another; every part but the first also repeats the end of the one before it,
+    with a later time. Returns the table's folder and the number of keys held after each run."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey")
+    landing, out, checkpoint = (scratch_path(spark, n) for n in ("entries", "unseen", "unseen-stream"))
+    last = orders.agg(F.max("id")).first()[0] or 0
+    held = []
+    for k in range(_PARTS):
+        low, high = (last + 1) * k // _PARTS, (last + 1) * (k + 1) // _PARTS
+        new = orders.filter((F.col("id") >= low) & (F.col("id") < high)).withColumn("at", F.timestamp_seconds(F.col("id") + 10**9))
+        again = orders.filter((F.col("id") >= low - _OVERLAP) & (F.col("id") < low)).withColumn("at", F.timestamp_seconds(F.col("id") + 10**9 + 30))
+        new.unionByName(again).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(new.schema).parquet(landing)
+        query = drain_unseen(stream, "at", "15 minutes", ("id",), out, checkpoint)
+        held.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    return out, held
+
+
+@query("I4_stream_unseen", "SELECT o_orderkey AS id, o_custkey FROM orders")
+def stream_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """Each entry once, however often it is replayed."""
+    return spark.read.parquet(replay_entries(spark, sf)[0]).select("id", "o_custkey")
+
+
 @query(
     "I5_high_water_mark",
     """WITH mark AS (SELECT source, CASE WHEN source = 'src3' THEN NULL ELSE max(doc_id) END AS m
@@ -396,6 +414,55 @@ def drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "I6_drain_csv",
+    S.PRODUCTS_CHECKED + f""", e AS (SELECT *, stock_v IS NULL OR stock_v < 0 OR (created_at IS NOT NULL AND created_v IS NULL) AS bad FROM pv WHERE product_id IS NOT NULL)
+    SELECT 'product_' || product_id AS canonical_id, coalesce(name, '') AS title, category, CASE WHEN k % 4 = 0 THEN 7.25 ELSE price_v END AS price,
+    stock_v AS stock, {S.ts_text("created_v")} AS created FROM e
+    WHERE NOT bad AND (k % 4 = 0 OR (price_v IS NOT NULL AND price_v >= 0 AND NOT isnan(price_v)))""",
+)
+def drain_csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Product files drain five at a time; files that land later in the same folders give a quarter of the products a new price."""
+    tables, landing = Tables(scratch_path(spark, "tables")), scratch_path(spark, "csv")
+    for at, where, price in ((_RUN_AT[0], None, None), (_RUN_AT[1], F.col("k") % 4 == 0, "$7.25")):
+        _landed_products(spark, sf, landing, where, price)
+        run = Run("csv", at)
+        run_source(spark, tables, run, lambda r: drain_csv(spark, tables, r, landing, PRODUCT_COLUMNS, f"{tables.root}/stream", 5))
+    rows = tables.unified.current(spark).filter("source_id != ''").withColumn("x", F.from_json("extra_data", "price double, stock_quantity bigint"))
+    return rows.select(
+        "canonical_id", "title", "category", F.col("x.price").alias("price"), F.col("x.stock_quantity").alias("stock"),
+        ts_text("external_created_at").alias("created"),
+    )
+
+
+def _landed_news(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "xml")
+    tags = F.when(F.col("tag_list") != "", F.split("tag_list", ","))
+    content = F.when(F.col("content") != "", F.array("content"))
+    rows = feed(spark, sf, "news").select(
+        "guid", "title", "link", F.col("summary").alias("description"), content.alias("content"),
+        "author", F.col("published").alias("pubDate"), "updated", tags.alias("category"),
+    )
+    rows.repartition(6).write.option("maxRecordsPerFile", 500).format("xml").option("rowTag", "item").option("rootTag", "channel").save(path)
+    return path
+
+
+@query(
+    "I6_drain_news",
+    S.NEWS_ENTRIES + f""" SELECT id AS source_id, 'rss_' || substr(md5(id), 1, 12) AS canonical_id, trim(title) AS title,
+    CASE WHEN content = '' THEN summary ELSE trim(content) END AS content, author, CASE WHEN len(tags) > 0 THEN 'news' END AS category, link AS url,
+    {S.ts_text("coalesce(published, updated)")} AS created FROM ne""",
+)
+def drain_news_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Feed documents drain two at a time."""
+    tables, landing = Tables(scratch_path(spark, "tables")), _landed_news(spark, sf)
+    run = Run("rss", _RUN_AT[0])
+    run_source(spark, tables, run, lambda r: drain_news(spark, tables, r, landing, f"{tables.root}/stream", 2))
+    return tables.unified.current(spark).select(
+        "source_id", "canonical_id", "title", "content", "author", "category", "url", ts_text("external_created_at").alias("created")
+    )
+
+
 def _checkpoint_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = feed(spark, sf, "runs").select(
         "source", F.col("run_id").alias("last_value"), F.col("started_at").alias("last_processed_at"),

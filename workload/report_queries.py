@@ -11,6 +11,8 @@ from recordloom.operators import drift as D
 from recordloom.operators import listing as L
 from recordloom.operators import rate as A
 from recordloom.operators import reports as R
+from recordloom.plans import layout
+from recordloom.session import scratch_path
 from workload import inputs as I
 from workload import sqltext as S
 from workload.feeds import cte, feed, table
@@ -41,6 +43,28 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
     return L.filter_records(_records(spark, sf), search="SRC1").select("canonical_id", "title")
 
 
+@query("Q3_signature_search", cte("records") + " SELECT canonical_id, title, content FROM records WHERE title ILIKE '%akia%' OR content ILIKE '%akia%' ")
+def signature_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search over a clustered table, of which only the blocks are read whose signature has all trigrams."""
+    path, signatures = scratch_path(spark, "clustered"), scratch_path(spark, "signatures")
+    layout.write_clustered(_records(spark, sf), path)
+    layout.write_signatures(spark, path, signatures)
+    return layout.search_clustered(spark, path, signatures, "AKIA").select("canonical_id", "title", "content")
+
+
+@query(
+    "Q4_clustered_range",
+    cte("records") + f""" SELECT canonical_id, category, {S.ts_text("ingested_at")} AS ingested_at FROM records
+    WHERE source = 'src2' AND ingested_at >= TIMESTAMP '2024-01-01 02:00:00' AND ingested_at <= TIMESTAMP '2024-01-01 05:00:00'""",
+)
+def clustered_range(spark: SparkSession, sf: str) -> DataFrame:
+    """A range of a clustered table: row groups outside it are skipped by their statistics."""
+    path = scratch_path(spark, "clustered")
+    layout.write_clustered(_records(spark, sf), path)
+    found = L.filter_records(spark.read.parquet(path), source="src2", start="2024-01-01 02:00:00", end="2024-01-01 05:00:00")
+    return found.select("canonical_id", "category", ts_text("ingested_at").alias("ingested_at"))
+
+
 @query(
     "Q4_date_range",
     cte("records") + f""" SELECT canonical_id, {S.ts_text("ingested_at")} AS ingested_at FROM records
