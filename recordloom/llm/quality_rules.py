@@ -1,8 +1,9 @@
 """Line-first quality rules: judge each line, remove the failures, then reject documents that lost too much.
 
 A line fails for one of three reasons: ``navigation`` (menu separators, or a short line of menu
-words), ``boilerplate`` (stock phrases of web pages) and ``punctuation`` (most of its words carry
-symbols, or it is all capitals without a final mark).
+words), ``boilerplate`` (a fifth or more of its letters belong to stock phrases of web pages, however long it is) and
+``punctuation`` (most of its words carry symbols, or it is all capitals without a final mark). Words and phrases are those
+of English, French, German and Spanish pages, compared without case and accents.
 A document is rejected if its base counts fail, or if the failed lines hold more than ``most_lost``
 of its word characters.
 
@@ -13,6 +14,7 @@ neither judged nor counted; repeated rows get equal results; other columns are n
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,17 +27,36 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 SEPARATORS = ("|", ">", "»", "•", "·", "::")
+# Words of menus and stock phrases of pages, without accents.
 MENU_WORDS = frozenset(
     "home menu login logout register search next previous back top contact about help sitemap share print archive "
-    "startseite kontakt impressum inicio contacto accueil connexion".split()
+    "startseite kontakt impressum anmelden suche weiter zuruck hilfe inicio contacto buscar siguiente anterior ayuda "
+    "accueil connexion recherche suivant precedent retour aide".split()
 )
 STOCK_PHRASES = (
-    "cookie policy", "cookies policy", "cookie settings", "cookies to improve", "accept cookies", "accept all cookies",
+    "cookie policy", "cookies policy", "cookie settings", "cookies to improve", "use cookies", "uses cookies", "accept cookies", "accept all cookies",
     "privacy policy", "terms of use", "terms of service", "terms and conditions", "all rights reserved",
     "enable javascript", "javascript is disabled", "javascript is required", "subscribe to our", "sign up for our",
     "newsletter", "click here", "read more", "powered by", "lorem ipsum", "skip to content", "skip to main content",
     "follow us on", "share this", "share on",
+    "accepter les cookies", "accepter tous les cookies", "politique de confidentialite", "conditions d'utilisation", "mentions legales",
+    "tous droits reserves", "utilise des cookies", "s'abonner", "abonnez-vous", "cliquez ici", "lire la suite", "suivez-nous", "partager sur",
+    "cookies akzeptieren", "alle cookies", "verwendet cookies", "datenschutzerklarung", "datenschutz und impressum", "alle rechte vorbehalten",
+    "nutzungsbedingungen", "hier klicken", "klicken sie hier", "weiterlesen", "folgen sie uns", "jetzt abonnieren",
+    "aceptar cookies", "aceptar las cookies", "aceptar todas las cookies", "utiliza cookies", "politica de privacidad", "politica de cookies",
+    "condiciones de uso", "aviso legal", "todos los derechos reservados", "haga clic aqui", "haz clic aqui", "leer mas", "siguenos en", "suscribete a",
 )
+_STOCK = re.compile("|".join(map(re.escape, sorted(STOCK_PHRASES, key=len, reverse=True))))
+#: Share of a line's letters that belong to stock phrases, at least, in a line of boilerplate.
+STOCK_SHARE = 0.2
+
+
+def folded(text: str) -> str:
+    """The text without case and accents."""
+    low = text.lower()
+    return low if low.isascii() else "".join(c for c in unicodedata.normalize("NFKD", low) if not unicodedata.combining(c))
+
+
 SYMBOL_RUN = re.compile(r"""[^\w\s"'”’)\]]{2,}""")
 FINAL_MARKS = (".", "!", "?", '"', "'", ":", ";", "…", "”", "»", "。", "！", "？", ")")
 
@@ -45,12 +66,11 @@ def line_failure(line: str) -> str | None:
     words = line.split()
     if sum(map(words.count, SEPARATORS)) >= max(2, len(words) // 8):
         return "navigation"
-    if len(words) <= 5 and sum(w.strip(".,:;|>»-").lower() in MENU_WORDS for w in words) * 2 > len(words):
+    if len(words) <= 5 and sum(folded(w.strip(".,:;|>»-")) in MENU_WORDS for w in words) * 2 > len(words):
         return "navigation"
-    if len(words) <= 40:
-        low = line.lower()
-        if any(phrase in low for phrase in STOCK_PHRASES):
-            return "boilerplate"
+    stock = sum(len(m.replace(" ", "")) for m in _STOCK.findall(folded(line)))
+    if stock and stock >= STOCK_SHARE * sum(map(len, words)):
+        return "boilerplate"
     if len(SYMBOL_RUN.findall(line)) * 2 > len(words):
         return "punctuation"
     if len(words) >= 5 and line.isupper() and not line.rstrip().endswith(FINAL_MARKS):
