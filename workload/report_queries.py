@@ -43,13 +43,13 @@ def text_search(spark: SparkSession, sf: str) -> DataFrame:
     return L.filter_records(_records(spark, sf), search="SRC1").select("canonical_id", "title")
 
 
-@query("Q3_signature_search", cte("records") + " SELECT canonical_id, title, content FROM records WHERE title ILIKE '%akia%' OR content ILIKE '%akia%' ")
+@query("Q3_signature_search", cte("records") + " SELECT canonical_id, title, content FROM records WHERE title ILIKE '%licensed under%' OR content ILIKE '%licensed under%' ")
 def signature_search(spark: SparkSession, sf: str) -> DataFrame:
     """The same search over a clustered table, of which only the blocks are read whose signature has all trigrams."""
     path, signatures = scratch_path(spark, "clustered"), scratch_path(spark, "signatures")
     layout.write_clustered(_records(spark, sf), path)
     layout.write_signatures(spark, path, signatures)
-    return layout.search_clustered(spark, path, signatures, "AKIA").select("canonical_id", "title", "content")
+    return layout.search_clustered(spark, path, signatures, "Licensed UNDER").select("canonical_id", "title", "content")
 
 
 @query(
