@@ -267,13 +267,13 @@ class Codec:
                 (words if len(x) <= 32 else long_words)[x] = ids
             for x, ids in zip(new, found[len(new_words) :], strict=True):
                 (known if len(x) <= 32 else long_ones)[x] = ids
-        tied = set(self.tied)
+        tied: set[str] = set()
         if self.unigrams is not None:
-            tied.update(x for x in spelled if self.unigrams.tied(x))
+            tied = self.tied.union(x for x in spelled if self.unigrams.tied(x))
             self.tied.update(x for x in tied if len(x) <= 33)
         out = []
         for text, p, c in zip(texts, plain, cut, strict=True):
-            if tied and any(MARK + x in tied for x in p) if p is not None else any(x in tied for x in c):
+            if tied and (any(MARK + x in tied for x in p) if p is not None else any(x in tied for x in c)):
                 out.append(self.unigrams.ids(self.normal(text)))
                 continue
             held, extra, parts = (words, long_words, p) if p is not None else (known, long_ones, c)
