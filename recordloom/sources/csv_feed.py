@@ -172,8 +172,9 @@ def file_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     )
 
 
-def content_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file, lines, fingerprint) of whole files, digested in parallel.
+def content_fingerprints(spark: SparkSession, path: str | Sequence[str], parts: bool = False) -> DataFrame:
+    """(file, lines, fingerprint) of whole files, digested in parallel. With ``parts`` the files of a folder, in the order of
+    their names, are one file that bears the folder's path; so a file of any size can be written by several tasks.
 
     The digest of a stretch of lines is its length n and four sums of h(line) * base^place modulo a prime; stretches combine by
     concatenation, (n1, s1) and (n2, s2) to (n1 + n2, s1 + base^n1 * s2). So each split is digested by itself, any cut into
@@ -187,8 +188,11 @@ def content_fingerprints(spark: SparkSession, path: str | Sequence[str]) -> Data
             raise
         return spark.createDataFrame([], "file string, lines bigint, fingerprint string")
     meta = F.col("_metadata")
+    file, block = meta["file_path"], meta["file_block_start"]
+    if parts:
+        file, block = F.regexp_replace(file, r"/[^/]*$", ""), F.struct(file.alias("part"), block.alias("start"))
     lines = text.select(
-        meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.md5("value").alias("h"),
+        file.alias("file"), block.alias("block"), F.md5("value").alias("h"),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place"),
     )
     return ordered_digest(lines)

@@ -163,3 +163,36 @@ def test_powers(spark):
     exponents = [0, 1, 63, 64, 12345, (1 << 33) - 1, (1 << 36) - 1]
     df = spark.createDataFrame([(e,) for e in exponents], "e long").select(*[S.power(b, F.col("e")) for b in S.BASES])
     assert [tuple(r) for r in df.collect()] == [tuple(pow(b, e, S.PRIME) for b in S.BASES) for e in exponents]
+
+
+def test_parts_of_a_folder_are_one_file(spark, tmp_path):
+    lines = [f"{k}|{'x' * (k % 7)}" for k in range(50)]
+    (tmp_path / "whole").mkdir()
+    (tmp_path / "whole" / "a").write_text("\n".join(lines) + "\n")
+    (tmp_path / "cut").mkdir()
+    for part, (low, high) in enumerate(((0, 7), (7, 30), (30, 50))):
+        (tmp_path / "cut" / f"part-{part}").write_text("\n".join(lines[low:high]) + "\n")
+    whole, cut = (S.content_fingerprints(spark, str(tmp_path / n), parts=True).collect() for n in ("whole", "cut"))
+    assert [(r.lines, r.fingerprint) for r in whole] == [(r.lines, r.fingerprint) for r in cut] and len(cut) == 1
+    assert cut[0].file.endswith("/cut")
+
+
+def test_texts_land_in_parts(spark, tmp_path):
+    """A file of the documents is written by several tasks, whole lines of all rows, nulls and copies included."""
+    from pathlib import Path
+
+    from workload.ingest_queries import _landed_texts
+
+    rows = [(k % 90 if k % 11 else None, f"text {k % 70}\nmore", "en", "s", k) for k in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        landed = Path(_landed_texts(spark, str(tmp_path)).removeprefix("file:"))
+    finally:
+        spark.conf.unset(setting)
+    parts = sorted(landed.glob("file=*/*.txt"))
+    assert len(parts) > 3 and sum(len(p.read_text().splitlines()) for p in parts) == 400
+    for folder in landed.glob("file=*"):
+        ids = [int(line.split("|")[0] or -1) for p in sorted(folder.glob("*.txt")) for line in p.read_text().splitlines()]
+        assert ids == sorted(ids)
