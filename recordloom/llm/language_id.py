@@ -260,16 +260,15 @@ def _share_rows(model: Model):
     return rows
 
 
-def known_shares(labelled: DataFrame, model: Model, lang_col: str, text_col: str, per_language: int = PER_LANGUAGE) -> dict[str, float]:
+def known_shares(labelled: DataFrame, model: Model, lang_col: str, text_col: str) -> dict[str, float]:
     """Per language the share of known words that all but LOW of its documents of EVIDENCE words or more reach.
 
-    ``labelled`` are documents the model has not learned from; about ``per_language`` of each language are read. A language
-    without such documents takes the least share of the others.
+    ``labelled`` are documents the model has not learned from; all of them are read. A language without such documents
+    takes the least share of the others.
     """
     texts = labelled.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
     texts = texts.filter(F.col("lang").isin(model.languages))
-    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
-    found = texts.filter(_about(F.col("lang"), sizes, per_language, "text")).mapInArrow(_share_rows(model), "lang string, share double")
+    found = texts.mapInArrow(_share_rows(model), "lang string, share double")
     shares = {r["lang"]: r["share"] for r in found.groupBy("lang").agg(F.percentile("share", F.lit(LOW)).alias("share")).collect()}
     return {lang: shares.get(lang, min(shares.values(), default=0.0)) for lang in model.languages}
 

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import plain
 import pytest
 from recordloom.llm import language_id, license_scan, quality_rules, secret_scan
@@ -35,6 +36,17 @@ def test_a_rare_language_keeps_its_entries(spark):
     assert language_id.Predictor(model).predict(f"zu{spell(3)}q ka{spell(1)} zu{spell(77)}q")[0] == "xx"
 
 
+def test_least_shares_come_from_all_held_out_documents(spark):
+    """More documents of a language than the model learns from; the lowest shares of known words differ from text to text."""
+    model = language_id.Model(["en"], [("en", 0, "known", 5)])
+    n = 2 * language_id.PER_LANGUAGE
+    texts = ["known " * (30 + k % 500) + "other " * max(0, 150 - k) for k in range(n)]
+    shares = np.array([t.split().count("known") / len(t.split()) for t in texts])
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(4)
+    got = language_id.known_shares(docs, model, "lang", "text")
+    assert got["en"] == pytest.approx(float(np.quantile(shares, language_id.LOW)))
+
+
 def test_rejection_keeps_all_columns_and_knows_the_words_expected():
     import pyarrow as pa
 
