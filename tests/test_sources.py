@@ -196,3 +196,13 @@ def test_texts_land_in_parts(spark, tmp_path):
     for folder in landed.glob("file=*"):
         ids = [int(line.split("|")[0] or -1) for p in sorted(folder.glob("*.txt")) for line in p.read_text().splitlines()]
         assert ids == sorted(ids)
+
+
+def test_each_folder_of_products_lands_by_a_task_of_its_own(spark):
+    from pathlib import Path
+
+    from workload.ingest_queries import _FOLDERS, _landed_products
+
+    landed = Path(_landed_products(spark, "/root/testdata/sf0.001").removeprefix("file:"))
+    files = list(landed.glob("folder=*/*.csv"))
+    assert len(files) == _FOLDERS == len({f.name.split("-")[1] for f in files})

@@ -36,13 +36,13 @@ _FOLDERS = 16
 
 
 def _landed_products(spark: SparkSession, sf: str, path: str | None = None, where: F.Column | None = None, price: str | None = None) -> str:
-    """One file per folder, all of one header; files written by one task have the same name."""
+    """One file per folder, all of one header, each written by a task of its own."""
     path = path or scratch_path(spark, "csv")
     rows = feed(spark, sf, "products").filter(F.lit(True) if where is None else where)
     rows = rows.withColumn("price", F.lit(price)) if price else rows
     (
         rows.select(*PRODUCT_COLUMNS, "k", (F.col("k") % _FOLDERS).cast("int").alias("folder"))
-        .repartition(_FOLDERS, "folder").sortWithinPartitions("folder", "k").drop("k")
+        .repartitionById(_FOLDERS, F.pmod(F.coalesce("folder", F.lit(0)), F.lit(_FOLDERS))).sortWithinPartitions("folder", "k").drop("k")
         .write.mode("append").partitionBy("folder").option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -311,7 +311,7 @@ _RUN_AT = [dt.datetime(2024, 1, 1, hour, tzinfo=dt.timezone.utc) for hour in ran
     CAST(count(*) OVER (PARTITION BY folder, later) AS VARCHAR) AS end_row, 0 AS fetched_again FROM f""",
 )
 def csv_folders(spark: SparkSession, sf: str) -> DataFrame:
-    """Three incremental runs over folders with files of equal names; the second finds new files, the third nothing."""
+    """Three incremental runs over folders; the second finds new files, the third nothing."""
     tables, path, fetched = Tables(scratch_path(spark, "tables")), scratch_path(spark, "csv"), 0
     for at, where in zip(_RUN_AT, (F.col("k") % 3 != 0, F.col("k") % 3 == 0, None)):
         if where is not None:
