@@ -228,6 +228,26 @@ def test_simhash_is_the_majority_of_its_windows_wherever_a_line_stands():
         assert (np.packbits(2 * np.sum(votes, axis=0) > len(votes)).view(np.uint64) == word).all()
 
 
+def test_every_window_of_a_line_counts():
+    """Windows that an own hash would leave out change the SimHash as well, and a line of them alone has one."""
+    import pyarrow as pa
+
+    left_out = [f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"]
+    left_out = [w for w in left_out if int.from_bytes(f" {w}".encode(), "big") * 0x9E3779B1 % (1 << 32) >= 1 << 30][:40]
+    lines = fuzzy_lines.Lines(pa.array(left_out))
+    owner, words = lines.simhashes(np.ones(len(left_out), dtype=bool), every=True)
+    assert owner.tolist() == list(range(40)) and len({w.tobytes() for w in words}) == 40
+    (row,) = fuzzy_lines._line_rows(iter([pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(left_out)], names=["doc_id", "text"])]))
+    assert row.column("w0").null_count == 0
+    (line,) = _lines(1, 90, random.Random(8))
+    form, votes = f" {line}".encode(), []
+    for k in range(len(form) - 3):
+        value = fuzzy_lines.mix(np.array([int.from_bytes(form[k : k + 4], "big") + 0x632BE5AB], dtype=np.uint64))
+        votes.append(np.unpackbits(fuzzy_lines.mix(value + fuzzy_lines._SEEDS).view(np.uint8)))
+    _, (word,) = fuzzy_lines.Lines(pa.array([line])).simhashes(np.ones(1, dtype=bool), every=True)
+    assert (np.packbits(2 * np.sum(votes, axis=0) > len(votes)).view(np.uint64) == word).all()
+
+
 def test_forms_within_the_radius_always_meet(spark):
     """Fewer than BLOCKS differing bits leave a block without one."""
     rng = random.Random(6)
