@@ -60,11 +60,16 @@ def _emit(df: DataFrame, keep: tuple[str, ...], **columns: Column) -> DataFrame:
     return df.select(*keep, *[columns[n].alias(n) for n in UNIFIED_INPUT])
 
 
+_USD = ("price", "volume_24h", "market_cap", "percent_change_24h", "percent_change_7d")
+
+
 def ticker(df: DataFrame, keep: tuple[str, ...] = (), source: str = "coinpaprika") -> DataFrame:
     def usd(name: str) -> Column:
-        return F.try_variant_get(_r("quotes"), f"$.USD.{name}", "double")
+        return F.col(f"_quotes.USD.{name}")
 
     resolved = with_canonical_id(df, F.lit(source), _r("id"), _r("symbol"), _r("name"), "_cid")
+    # One cast for all quotes: a path that leads nowhere costs more than one that does, and most documents lack some.
+    resolved = resolved.withColumn("_quotes", _r("quotes").try_cast("struct<USD:struct<" + ",".join(f"{n}:double" for n in _USD) + ">>"))
     return _emit(
         resolved,
         keep,

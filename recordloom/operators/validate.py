@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recordloom.functions import cleaning as C
 from recordloom.functions.checksum import record_checksum
@@ -91,9 +92,10 @@ def _json_value(kind: str, raw: Column, json_type: Column) -> tuple[Column, Colu
 
 
 def _json_cells(df: DataFrame, fields: Sequence[Field], payload: Column) -> tuple[DataFrame, dict[str, Cell]]:
-    """The document is unfolded once, into a map of its fields; types and values are read from there."""
-    df = df.withColumn("_cells", payload.try_cast("map<string,variant>"))
-    df = df.withColumns({f"_raw_{f.name}": F.try_element_at("_cells", F.lit(f.raw_key)) for f in fields})
+    """The document is unfolded once, into a struct of the declared fields; types and values are read from there."""
+    keys = dict.fromkeys(f.raw_key for f in fields)
+    df = df.withColumn("_cells", payload.try_cast(T.StructType([T.StructField(k, T.VariantType()) for k in keys])))
+    df = df.withColumns({f"_raw_{f.name}": F.col("_cells").getField(f.raw_key) for f in fields})
     df = df.withColumns({f"_type_{f.name}": F.schema_of_variant(f"_raw_{f.name}") for f in fields})
     cells = {}
     for f in fields:
@@ -205,23 +207,22 @@ def _apply(
             typed[f.name] = Cell(cell.missing, cell.null, cell.value, cell.value.isNotNull())
     rules = [r for f in fields for r in _violations(f, typed[f.name])] + list(extra_rules)
     df = df.withColumn("_joined", joined(rules))
-    checked = F.struct(
-        message_list(F.col("_joined")).alias("errors"),
-        F.struct(*[c.value.alias(n) for n, c in typed.items()]).alias("rec"),
-        *([extras.alias("_extras")] if extras is not None else []),
-    )
-    out = df.select(*keep, F.inline(F.array(checked)))
-    hashed = {f.name: F.col(f"rec.{f.name}") for f in fields}
-    return out.withColumn("checksum", record_checksum(hashed, None if extras is None else F.col("_extras"))).drop("_extras")
+    # Only the messages go through ``inline``: values and checksum pass beside it, so those nobody reads are not computed.
+    checksum = record_checksum({n: c.value for n, c in typed.items()}, extras).alias("_checksum")
+    passed = [f"_val_{n}" for n in typed]
+    checked = F.struct(message_list(F.col("_joined")).alias("errors"))
+    out = df.select(*keep, *passed, checksum, "_joined").select(*keep, *passed, "_checksum", F.inline(F.array(checked)))
+    rec = F.struct(*[c.value.alias(n) for n, c in typed.items()]).alias("rec")
+    return out.select(*keep, "errors", rec, F.col("_checksum").alias("checksum"))
 
 
 def validate_json(df: DataFrame, fields: Sequence[Field], payload: str = "payload") -> DataFrame:
     """Validate a document given as VARIANT; undeclared keys are kept and enter the checksum."""
     declared = [f.raw_key for f in fields]
     staged, cells = _json_cells(df, fields, F.col(payload))
-    staged = staged.withColumn("_extras", F.map_filter("_cells", lambda k, v: ~k.isin(*declared)))
+    extras = F.map_filter(F.col(payload).try_cast("map<string,variant>"), lambda k, v: ~k.isin(*declared))
     malformed = F.when(F.col("_cells").isNull(), F.lit("record: not an object"))
-    return _apply(staged, df.columns, fields, cells, F.col("_extras"), [malformed])
+    return _apply(staged, df.columns, fields, cells, extras, [malformed])
 
 
 def validate_text(

@@ -123,6 +123,27 @@ def test_rules_run_once_per_row(spark):
     assert plan.count("rank: not a valid int") == 1
 
 
+def test_what_nobody_reads_is_not_computed(spark):
+    checked = V.validate_json(docs(spark, [TICKER, {**TICKER, "note": 1}]), V.TICKER_FIELDS)
+    unused = checked.agg(F.count_if(F.size("errors") == 0))._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_filter" not in unused.lower() and "mapfilter" not in unused.lower() and "beta_value" in unused
+    names = checked.filter(F.size("errors") == 0).select("rec.name")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_raw_first_data_at" not in names and "first_data_at: " not in names and "sha2" not in names
+    assert checked.select("checksum").distinct().count() == 2
+
+
+def test_quotes_are_cast_at_once(spark):
+    """Each value by itself: one that is no number, or a level that is no object, takes no other with it."""
+    quotes = [{"USD": {"price": "x", "volume_24h": "2.5", "market_cap": True}}, {"USD": 7}, {}, {"EUR": {"price": 1}}, {"USD": {"price": [1], "percent_change_7d": 1e3}}]
+    rows = T.ticker(V.accepted(V.validate_json(docs(spark, [{**TICKER, "quotes": q} for q in [*quotes, None]]), V.TICKER_FIELDS)), ("i",)).orderBy("i")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "$.USD" not in plan
+    names = ("price_usd", "volume_24h_usd", "market_cap_usd", "percent_change_24h", "percent_change_7d")
+    got = [[json.loads(r.extra_data)[n] for n in names] for r in rows.collect()]
+    none = [None] * 5
+    assert got == [[None, 2.5, 1.0, None, None], none, none, none, [None, None, None, None, 1000.0], none]
+
+
 def test_width_limits(spark):
     df = spark.range(1).select(*[F.lit("x" * 101).alias(c) for c in V.UNIFIED_WIDTHS])
     assert df.select(V.width_errors()).first()[0] == [
