@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recordloom.operators.upsert import upsert_unified, versioned
 from recordloom.plans.ingest import Run, close_run, ingest_batch, ingest_csv, open_run, run_all, run_source, save_checkpoint
-from recordloom.plans.rebuild import rebuild
+from recordloom.plans.rebuild import rebuild, rebuild_unified
 from recordloom.plans.tables import Tables
 from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
@@ -180,6 +180,20 @@ def test_rebuild(spark, tmp_path):
     assert {r.canonical_id: (r.source, r.title, json.loads(r.extra_data)["price_usd"]) for r in again} == expected
 
 
+def test_rebuild_computes_its_documents_once(spark):
+    """Two feeds are read from what was computed for both."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(f"coinpaprika_{k}", json.dumps({"id": str(k), "name": "n", "symbol": f"s{k}", "rank": 1}), k) for k in range(20)]
+    raw = spark.createDataFrame(rows, "external_id string, data string, _last_seq long").withColumn("fetched_at", F.current_timestamp())
+    assert rebuild_unified(raw.mapInArrow(counted, raw.schema)).count() == 20 and seen.value == 20
+
+
 def test_rebuild_of_rows_and_entries(spark, tmp_path):
     tables = Tables(str(tmp_path / "t"))
     (tmp_path / "p.csv").write_text("product_id,name,category,price,colour\nP1,Lamp,home,3.5,red\nP2,,home,1,\n")
