@@ -387,6 +387,8 @@ def high_water_mark(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _YEARS = range(1992, 2003)
+#: Parts a year's documents are staged in.
+_YEAR_PARTS = 8
 
 
 @query(
@@ -399,10 +401,14 @@ _YEARS = range(1992, 2003)
 def drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Ticker documents land as one file a year, very unequal in size; a stream drains two at a time. The last file's writes win."""
     tables, landing = Tables(scratch_path(spark, "tables")), scratch_path(spark, "json")
-    docs = feed(spark, sf, "tickers")
+    # Documents are made by all tasks in one pass over the table; what is left to the one task of a file is its own rows.
+    staged = scratch_path(spark, "years")
+    year = F.greatest(F.least(F.year("written_at"), F.lit(_YEARS[-1])), F.lit(_YEARS[0]))
+    made = feed(spark, sf, "tickers", heavy=True).filter("written_at IS NOT NULL").withColumn("year", year)
+    made.repartition("year", F.pmod(F.hash("batch_no"), F.lit(_YEAR_PARTS))).write.partitionBy("year").parquet(staged)
+    docs = spark.read.schema(made.schema).parquet(staged)
     for year in _YEARS:
-        last = F.year("written_at") >= year if year == _YEARS[-1] else F.year("written_at") == year
-        mine = docs.filter(last if year > _YEARS[0] else F.year("written_at") <= year)
+        mine = docs.filter(F.col("year") == year)
         mine.coalesce(1).sortWithinPartitions("written_at", "batch_no", "row_pos").select("doc").write.mode("append").text(landing)
     run = Run("coinpaprika", _RUN_AT[0])
     run_source(spark, tables, run, lambda r: drain(tables, r, json_feed.read_document_stream(spark, landing, 2), f"{tables.root}/stream"))
