@@ -33,6 +33,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str) -> DataFrame:
+    """``written``, and the shuffle files behind the table go as soon as it is there, not when the driver collects its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a small table of an iterative computation."""
     shared_dir(df.sparkSession)
