@@ -33,15 +33,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """``written``, and the shuffle files behind the table go as soon as it is there, not when the driver collects its garbage."""
-    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(key)
-    conf.set(key, "true")
+def settled(df: DataFrame, name: str, **more: str) -> DataFrame:
+    """``written`` under more settings; the shuffle files behind the table go as soon as it is there, not when the driver collects garbage."""
+    conf = df.sparkSession.conf
+    settings = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **more}
+    before = {key: conf.get(key) for key in settings}
     try:
+        for key, value in settings.items():
+            conf.set(key, value)
         return written(df, name)
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -263,6 +263,56 @@ def test_forms_within_the_radius_always_meet(spark):
     assert len(near) > 20 and set(near) <= gone
 
 
+def _shuffle_bytes(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(k).length() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_"))
+
+
+def test_tables_of_line_dedup_leave_no_shuffle_files(spark):
+    rng = random.Random(7)
+    docs = spark.createDataFrame([(k, "\n".join(_lines(20, 60, rng))) for k in range(100)], "doc_id long, text string")
+    before = _shuffle_bytes(spark)
+    lines, _ = fuzzy_lines.repeated_lines(docs)
+    assert _shuffle_bytes(spark) - before < 100_000  # the 16 keys of each form alone take half a megabyte
+    assert lines.count() == 2_000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_partners_by_arrays_are_those_of_a_plain_comparison():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    rows, want = [], set()
+    for cell in range(40):
+        block = cell % fuzzy_lines.BLOCKS
+        cluster = (block << 32) + cell
+        base = rng.integers(0, 1 << 63, 8).astype(np.uint64)
+        members = []
+        for k in range(int(rng.integers(2, 9))):
+            word = base.copy()
+            if k % 3:  # the first bits of other blocks differ
+                word[rng.integers(0, 8)] ^= np.uint64(1 << 40)
+                word[rng.integers(0, 8)] ^= np.uint64(3)
+            else:
+                word ^= rng.integers(0, 1 << 63, 8).astype(np.uint64) * np.uint64(k > 0)
+            members.append((k + 10 * cell, int(rng.integers(0, 4)), word))
+        outside = [m for m in members if m[1]]
+        rows += [(cluster, 0, 0, 0, *m) for m in outside] + [(cluster, 0, 0, 1, *m) for m in members]
+        for x in outside:
+            for y in members:
+                halves = [int(v) for w in x[2] ^ y[2] for v in (w >> np.uint64(32), w & np.uint64((1 << 32) - 1))]
+                if x[1] != y[1] and sum(v.bit_count() for v in halves) <= fuzzy_lines.RADIUS and all(halves[:block]):
+                    want |= {(cluster, x[0]), (cluster, y[0])}
+    names = ["cluster", "row", "col", "side", "id", "component", *fuzzy_lines._COLUMNS]
+    columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(6)]
+    columns += [pa.array(np.array([r[6][k] for r in rows]).view(np.int64)) for k in range(8)]
+    batch = pa.RecordBatch.from_arrays(columns, names=names)
+    for step in (1, 7, len(rows)):
+        parts = fuzzy_lines._partner_rows(iter([batch.slice(k, step) for k in range(0, len(rows), step)]))
+        got = [tuple(r.values()) for part in parts for r in part.to_pylist()]
+        assert set(got) == want and want
+
+
 def test_stages_keep_columns_of_any_name_and_texts_under_a_repeated_id(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(3, text), (7, text + " more"), (7, "another text that nothing else in this table resembles at all"), (9, text), (None, text), (9, text)]
