@@ -268,14 +268,21 @@ def _shuffle_bytes(spark):
     return sum(files.apply(k).length() for k in range(files.size()) if files.apply(k).getName().startswith("shuffle_"))
 
 
-def test_tables_of_line_dedup_leave_no_shuffle_files(spark):
+def test_tables_of_line_dedup_leave_no_shuffle_files(spark, monkeypatch):
     rng = random.Random(7)
     docs = spark.createDataFrame([(k, "\n".join(_lines(20, 60, rng))) for k in range(100)], "doc_id long, text string")
-    before = _shuffle_bytes(spark)
+    known, then, left = _shuffle_bytes(spark), fuzzy_lines._within_radius, []
+
+    def spy(pairs, sketches):  # called as soon as the buckets are written
+        left.append(_shuffle_bytes(spark) - known)
+        return then(pairs, sketches)
+
+    monkeypatch.setattr(fuzzy_lines, "_within_radius", spy)
+    setting = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
     lines, _ = fuzzy_lines.repeated_lines(docs)
-    assert _shuffle_bytes(spark) - before < 100_000  # the 16 keys of each form alone take half a megabyte
     assert lines.count() == 2_000
-    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert left[0] < 100_000  # the 16 keys of each form alone take half a megabyte
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
 
 
 def test_partners_by_arrays_are_those_of_a_plain_comparison():
