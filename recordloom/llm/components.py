@@ -2,33 +2,84 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordloom.llm.common import cut
 
+#: Edges a task holds at once. A table of no more of them is finished by one task, larger ones are contracted by joins.
+TASK_EDGES = 1 << 20
+
 
 def connected(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(id, component): smallest id reachable from each node with a smaller one; other nodes have no row.
 
-    Each round every node hooks to its smallest neighbour below it, chains of hooks are flattened and
-    the edges are contracted to the roots. A star contracts in one round, any graph in a logarithmic
-    number. Hooks are aggregated before the shuffle and joins may split a hot root.
+    Tasks first reduce the edges they hold to trees. Rows are dealt by their smaller node, and a hot node is split over tasks.
+    As long as more than ``TASK_EDGES`` are left, every node hooks to its smallest neighbour below it, chains of hooks are
+    flattened and the edges are contracted to the roots. A star contracts in one round, any graph in a logarithmic number.
+    Hooks are aggregated before the shuffle and joins may split a hot root. Every round costs the driver a dozen jobs however
+    small its tables are, so the last edges, of a bounded number, take one task instead.
     """
     a, b = F.col(left), F.col(right)
-    edges = edges.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
-    edges = cut(edges)
+    edges = edges.filter(a != b).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    edges = cut(_trees(edges.hint("rebalance", "a")))
     found: DataFrame | None = None
-    while not edges.isEmpty():
+    while edges.count() > TASK_EDGES:
         hooks = _flattened(edges.groupBy("b").agg(F.min("a").alias("root")).withColumnRenamed("b", "id"))
         edges = edges.join(hooks.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
         edges = edges.join(hooks.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
         ra, rb = F.coalesce("ra", "a"), F.coalesce("rb", "b")
-        edges = cut(edges.filter(ra != rb).select(F.least(ra, rb).alias("a"), F.greatest(ra, rb).alias("b")).distinct())
+        edges = edges.filter(ra != rb).select(F.least(ra, rb).alias("a"), F.greatest(ra, rb).alias("b"))
+        edges = cut(_trees(edges.hint("rebalance", "a")))
         found = hooks if found is None else _through(found, hooks).unionByName(hooks)
+    last = cut(_trees(edges.coalesce(1)).select(F.col("b").alias("id"), F.col("a").alias("root")))
     if found is None:
-        return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return cut(found.withColumnRenamed("root", "component"))
+        return last.withColumnRenamed("root", "component")
+    return cut(_through(found, last).unionByName(last).withColumnRenamed("root", "component"))
+
+
+def _trees(edges: DataFrame) -> DataFrame:
+    """Edges with the same components of each task's share: every node and the smallest one it reaches there."""
+    return edges.mapInArrow(_tree_rows, "a long, b long")
+
+
+def _tree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    a = b = np.zeros(0, dtype=np.int64)
+    waiting: list[pa.RecordBatch] = []
+    rows = 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += batch.num_rows
+        if rows >= TASK_EDGES:
+            a, b = _joined_trees(a, b, waiting)
+            waiting, rows = [], 0
+            if len(a) >= TASK_EDGES:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                a = b = np.zeros(0, dtype=np.int64)
+    a, b = _joined_trees(a, b, waiting)
+    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+
+def _joined_trees(a: np.ndarray, b: np.ndarray, batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    a, b = (np.concatenate([held, *[x.column(k).to_numpy() for x in batches]]) for k, held in enumerate((a, b)))
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        rx, ry = root[x], root[y]
+        apart = rx != ry
+        if not apart.any():
+            break
+        x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+        np.minimum.at(root, np.maximum(rx, ry), np.minimum(rx, ry))
+        while not np.array_equal(up := root[root], root):
+            root = up
+    below = root < np.arange(len(root))
+    return nodes[root[below]], nodes[below]
 
 
 def _through(first: DataFrame, then: DataFrame) -> DataFrame:

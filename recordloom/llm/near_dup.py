@@ -218,7 +218,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = open_clusters(connected(star), labels)
     if not members.isEmpty():
         grid = block_grid(members, candidates.withColumnRenamed("rep", "id"), SIDE)
-        labels = connected(links.unionByName(cut(grid.mapInArrow(_grid_rows, "a long, b long"))))
+        joints = cut(grid.mapInArrow(_grid_rows, "a long, b long"))
+        labels = connected(labels.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(joints))
 
     labels = labels.select(F.col("id").alias("rep"), "component")
     placed = classes.join(labels, "rep", "left").select(*one_set, F.coalesce("component", "rep").alias("component"))

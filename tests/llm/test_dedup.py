@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 from recordloom.llm import components, exact_dedup, fuzzy_lines, near_dup, substring_dedup
 
@@ -51,6 +52,41 @@ def test_components_of_paths_and_stars(spark):
     assert got == {k: v for k, v in want.items() if k != v}
 
 
+def test_components_of_edges_that_no_task_holds_at_once(spark, monkeypatch):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(330)] + [(k, 1000) for k in range(500, 560)] * 2
+    edges = spark.createDataFrame([*pairs, (None, 3)], "a long, b long").repartition(5)
+    want = {k: v for k, v in plain.roots(sorted({x for e in pairs for x in e}), pairs).items() if k != v}
+    for most in (0, 50):
+        monkeypatch.setattr(components, "TASK_EDGES", most)
+        got = components.connected(edges)
+        assert got.count() == len(want) and {r.id: r.component for r in got.collect()} == want
+
+
+def test_trees_of_a_share_that_comes_in_many_batches(monkeypatch):
+    rng = random.Random(6)
+    pairs = [(k, k + 1 + rng.randrange(30)) for k in range(300)] * 2
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*pairs[k : k + 40])], names=["a", "b"]) for k in range(0, 600, 40)]
+    nodes = sorted({x for e in pairs for x in e})
+    for most in (50, 1 << 20):
+        monkeypatch.setattr(components, "TASK_EDGES", most)
+        trees = [(r["a"], r["b"]) for x in components._tree_rows(iter(batches)) for r in x.to_pylist()]
+        assert plain.roots(nodes, trees) == plain.roots(nodes, pairs)
+    assert len({b for _, b in trees}) == len(trees) < len(pairs)
+
+
+def test_components_of_a_small_table_take_few_jobs(spark):
+    """Every job leaves threads, plans and generated classes with the driver, whatever its size."""
+    edges = spark.createDataFrame([(k, 7 * k % 501) for k in range(501)], "a long, b long").repartition(4)
+    spark.sparkContext.setJobGroup("components", "components of a small table")
+    try:
+        components.connected(edges).count()
+    finally:
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("components")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 10
+
+
 def test_near_duplicates(small, hard, empty):
     docs, pairs = small
     sets, links = plain.near_links(pairs)
