@@ -3,7 +3,9 @@
 import datetime as dt
 import json
 import os
+import time
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from recordloom.operators.upsert import upsert_unified, versioned
 from recordloom.plans.ingest import Run, close_run, ingest_batch, ingest_csv, open_run, run_all, run_source, save_checkpoint
 from recordloom.plans.rebuild import rebuild, rebuild_unified
 from recordloom.plans.tables import Tables
+from recordloom.session import shared_dir
 from recordloom.sources import csv_feed
 from recordloom.sources.json_feed import parse_documents, read_document_stream, read_documents
 from recordloom.sources.news_feed import read_news
@@ -334,3 +337,30 @@ def test_replayed_entries_leave_a_bounded_state(spark):
     total = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").count()
     assert rows.count() == rows.select("id").distinct().count() == total
     assert max(held) < 0.25 * total and held[-1] <= 1.2 * held[1]
+
+
+def test_a_batch_leaves_neither_cache_nor_staging_and_places_records_across_files(spark, tmp_path):
+    """Later files win whatever their names; what a batch is staged in is gone after it."""
+    landing, tables = str(tmp_path / "in"), Tables(str(tmp_path / "t"))
+    document = '{"id":"c","name":"%s","symbol":"cc","rank":%d}'
+    for name, rank in (("zz", 1), ("aa", 2)):
+        spark.createDataFrame([(document % (name, rank),), ("broken",)], "doc string").coalesce(1).write.mode("append").text(landing)
+        time.sleep(1.1)
+    before = len(list(Path(shared_dir(spark).removeprefix("file:")).glob("batch-*")))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    raw, cached = read_documents(spark, landing), []
+    append = type(tables.unified).append
+
+    def watched(self, rows, *where):
+        cached.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+        append(self, rows, *where)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(tables.unified), "append", watched)
+        ingest_batch(tables, Run("coinpaprika"), raw, 1)
+    assert set(cached) == {held}
+    assert len(list(Path(shared_dir(spark).removeprefix("file:")).glob("batch-*"))) == before
+    row = tables.unified.current(spark).first()
+    assert (row.title, json.loads(row.extra_data)["rank"]) == ("aa", 2)
+    rejects = spark.read.parquet(tables.rejects)
+    assert rejects.count() == 2 and {json.loads(r.record)["data"] for r in rejects.collect()} == {"broken"}

@@ -15,7 +15,7 @@ from recordloom.operators.ordered import with_position
 from recordloom.operators.upsert import upsert_checkpoints, versioned
 from recordloom.plans.ingest import Run, ingest_csv, run_source
 from recordloom.plans.tables import Tables
-from recordloom.session import scratch_path
+from recordloom.session import remove, scratch_path, shuffles_dropped
 from recordloom.sources import csv_feed, json_feed, news_feed
 from recordloom.sources.registry import SourceSpec, reject_report
 from recordloom.streaming.ingest import drain, drain_csv, drain_news, drain_unseen
@@ -405,11 +405,14 @@ def drain_stream(spark: SparkSession, sf: str) -> DataFrame:
     staged = scratch_path(spark, "years")
     year = F.greatest(F.least(F.year("written_at"), F.lit(_YEARS[-1])), F.lit(_YEARS[0]))
     made = feed(spark, sf, "tickers", heavy=True).filter("written_at IS NOT NULL").withColumn("year", year)
-    made.repartition("year", F.pmod(F.hash("batch_no"), F.lit(_YEAR_PARTS))).write.partitionBy("year").parquet(staged)
+    dealt = made.repartition("year", F.pmod(F.hash("batch_no"), F.lit(_YEAR_PARTS)))
+    with shuffles_dropped(spark):
+        dealt.write.option("compression", "zstd").partitionBy("year").parquet(staged)
     docs = spark.read.schema(made.schema).parquet(staged)
     for year in _YEARS:
         mine = docs.filter(F.col("year") == year)
         mine.coalesce(1).sortWithinPartitions("written_at", "batch_no", "row_pos").select("doc").write.mode("append").text(landing)
+    remove(spark, staged)
     run = Run("coinpaprika", _RUN_AT[0])
     run_source(spark, tables, run, lambda r: drain(tables, r, json_feed.read_document_stream(spark, landing, 2), f"{tables.root}/stream"))
     counted = tables.counters.current(spark, run.run_id).agg(
